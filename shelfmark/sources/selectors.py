@@ -1,0 +1,345 @@
+"""A small HTML tree and the selectors the field specifications use.
+
+Helper of the page extractor: it sees one page at a time inside a Spark task.
+Supported XPath: ``//`` and ``/`` steps, ``following-sibling::``, position and
+boolean predicates over ``@attr``, ``.``, ``text()``, child paths, ``contains``,
+``translate``, ``=``, ``or``, ``and``, and unions. Supported CSS: tag, ``#id``,
+``.class`` and ``[attr]`` chains with descendant and child combinators.
+"""
+
+from __future__ import annotations
+
+import re
+from collections.abc import Callable, Iterator
+from functools import lru_cache
+from html.parser import HTMLParser
+
+# Fixed values of HTML: elements without content, elements whose text is not shown,
+# elements an opening tag closes, elements that end a text run.
+VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
+SILENT = frozenset({"script", "style"})
+CLOSED_BY = {
+    "li": {"li"},
+    "p": set("p div ul ol table section article h1 h2 h3 h4 h5 h6 footer nav header".split()),
+    "tr": {"tr", "tbody"},
+    "td": {"td", "th", "tr"},
+    "th": {"td", "th", "tr"},
+    "option": {"option"},
+}
+SCOPES = frozenset("ul ol table section article div body html nav td".split())
+BLOCKS = SCOPES | CLOSED_BY["p"] | frozenset("li tr th br title head".split())
+
+
+class Node:
+    __slots__ = ("tag", "attrs", "parent", "children", "order")
+
+    def __init__(self, tag: str, attrs: dict[str, str], parent: Node | None, order: int):
+        self.tag, self.attrs, self.parent, self.order = tag, attrs, parent, order
+        self.children: list[Node | str] = []
+
+    def elements(self) -> list[Node]:
+        return [c for c in self.children if isinstance(c, Node)]
+
+    def walk(self) -> Iterator[Node]:
+        stack = self.elements()[::-1]
+        while stack:
+            node = stack.pop()
+            yield node
+            stack.extend(node.elements()[::-1])
+
+    def string(self) -> str:
+        """All text below, as it stands."""
+        out, stack = [], list(self.children[::-1])
+        while stack:
+            item = stack.pop()
+            if isinstance(item, str):
+                out.append(item)
+            else:
+                stack.extend(item.children[::-1])
+        return "".join(out)
+
+    def text(self) -> str:
+        """Shown text with white space runs as one space."""
+        out, stack = [], list(self.children[::-1])
+        while stack:
+            item = stack.pop()
+            if isinstance(item, str):
+                out.append(item)
+            elif item.tag not in SILENT:
+                if item.tag in BLOCKS:
+                    out.append(" ")
+                    stack.append(" ")
+                stack.extend(item.children[::-1])
+        return re.sub(r"[ \t\n\f\r]+", " ", "".join(out)).strip(" ")
+
+    def own_texts(self) -> list[str]:
+        return [c for c in self.children if isinstance(c, str)]
+
+
+class _Builder(HTMLParser):
+    def __init__(self) -> None:
+        super().__init__(convert_charrefs=True)
+        self.root = self.open = Node("#root", {}, None, 0)
+        self.count = 0
+
+    def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
+        node = self.open
+        while node.tag != "#root":
+            if tag in CLOSED_BY.get(node.tag, ()):
+                self.open = node.parent
+                break
+            if node.tag in SCOPES:
+                break
+            node = node.parent
+        self.count += 1
+        first: dict[str, str] = {}
+        for name, value in attrs:
+            first.setdefault(name, value or "")
+        child = Node(tag, first, self.open, self.count)
+        self.open.children.append(child)
+        if tag not in VOID:
+            self.open = child
+
+    def handle_endtag(self, tag: str) -> None:
+        node = self.open
+        while node.tag != "#root":
+            if node.tag == tag:
+                self.open = node.parent
+                return
+            node = node.parent
+
+    def handle_data(self, data: str) -> None:
+        kids = self.open.children
+        if kids and isinstance(kids[-1], str):
+            kids[-1] += data
+        else:
+            kids.append(data)
+
+
+def parse_html(html: str) -> Node:
+    builder = _Builder()
+    builder.feed(html)
+    builder.close()
+    return builder.root
+
+
+def _distinct(nodes: Iterator[Node] | list[Node]) -> list[Node]:
+    return sorted({id(n): n for n in nodes}.values(), key=lambda n: n.order)
+
+
+# --- CSS ---------------------------------------------------------------------
+
+_SIMPLE = re.compile(r"([a-zA-Z][\w-]*|\*)|#([\w-]+)|\.([\w-]+)|\[([\w-]+)(?:=['\"]?([^'\"\]]*)['\"]?)?\]")
+
+
+def _css_test(part: str) -> Callable[[Node], bool]:
+    tag, rest = None, []
+    for name, ident, cls, attr, value in _SIMPLE.findall(part):
+        if name:
+            tag = None if name == "*" else name.lower()
+        elif attr:
+            rest.append(("attr", attr, value if f"[{attr}=" in part else None))
+        else:
+            rest.append(("id", ident, None) if ident else ("class", cls, None))
+
+    def test(node: Node) -> bool:
+        if tag and node.tag != tag:
+            return False
+        for kind, name, value in rest:
+            if kind == "class" and name not in node.attrs.get("class", "").split():
+                return False
+            if kind == "id" and node.attrs.get("id") != name:
+                return False
+            if kind == "attr" and (name not in node.attrs or (value is not None and node.attrs[name] != value)):
+                return False
+        return True
+
+    return test
+
+
+@lru_cache(maxsize=256)
+def css(selector: str) -> Callable[[Node], list[Node]]:
+    steps = re.sub(r"\s*>\s*", " >", selector.strip()).split()
+
+    def find(root: Node) -> list[Node]:
+        found = [root]
+        for step in tests:
+            child_only, test = step
+            found = _distinct(
+                [n for base in found for n in (base.elements() if child_only else base.walk()) if test(n)]
+            )
+        return found
+
+    tests = [(s.startswith(">"), _css_test(s.lstrip(">"))) for s in steps]
+    return find
+
+
+# --- XPath -------------------------------------------------------------------
+
+_TOKEN = re.compile(
+    r"\s*(?:('[^']*'|\"[^\"]*\")|(\d+)|(//|::|[/\[\]()|,=@*])|(\.)(?![\w])|([\w-]+(?:::)?))", re.UNICODE
+)
+
+
+class _XPath:
+    """Recursive reader; every method returns a function of the context node."""
+
+    def __init__(self, text: str):
+        self.tokens, at = [], 0
+        text = text.strip()
+        while at < len(text):
+            match = _TOKEN.match(text, at)
+            if not match:
+                raise ValueError(f"unsupported selector: {text}")
+            self.tokens.append(match.group(0).strip())
+            at = match.end()
+        self.at = 0
+
+    def peek(self, ahead: int = 0) -> str:
+        return self.tokens[self.at + ahead] if self.at + ahead < len(self.tokens) else ""
+
+    def take(self, expected: str | None = None) -> str:
+        token = self.peek()
+        if not token or (expected and token != expected):
+            raise ValueError(f"unsupported selector near {token!r}")
+        self.at += 1
+        return token
+
+    def union(self) -> Callable:
+        paths = [self.path()]
+        while self.peek() == "|":
+            self.take()
+            paths.append(self.path())
+        return lambda node: _distinct([n for p in paths for n in p(node)]) if len(paths) > 1 else paths[0](node)
+
+    def path(self) -> Callable:
+        steps, absolute = [], self.peek() in ("/", "//")
+        while True:
+            deep = False
+            if self.peek() in ("/", "//"):
+                deep = self.take() == "//"
+            steps.append(self.step(deep))
+            if self.peek() not in ("/", "//"):
+                break
+
+        def run(node: Node) -> list:
+            while absolute and node.parent is not None:
+                node = node.parent
+            found: list = [node]
+            for step in steps:
+                found = step(found)
+            return found
+
+        return run
+
+    def step(self, deep: bool) -> Callable:
+        if self.peek() == ".":
+            self.take()
+            return lambda nodes: nodes
+        if self.peek() == "@":
+            self.take()
+            name = self.take()
+            return lambda nodes: [n.attrs[name] for n in nodes if name in n.attrs]
+        axis, name = "child", self.take()
+        if name.endswith("::"):
+            axis, name = name[:-2], self.take()
+        if name == "text" and self.peek() == "(":
+            self.take(), self.take(")")
+            return lambda nodes: [t for n in nodes for t in n.own_texts()]
+        predicates = []
+        while self.peek() == "[":
+            self.take()
+            predicates.append(int(self.take()) if self.peek().isdigit() else self.either())
+            self.take("]")
+
+        def candidates(node: Node) -> list[Node]:
+            if axis == "following-sibling":
+                siblings = node.parent.elements() if node.parent else []
+                pool = [s for s in siblings if s.order > node.order]
+            else:
+                pool = node.elements()
+            return [n for n in pool if name in ("*", n.tag)]
+
+        def run(nodes: list[Node]) -> list[Node]:
+            bases = _distinct([d for n in nodes for d in (n, *n.walk())]) if deep else nodes
+            out = []
+            for base in bases:
+                hits = candidates(base)
+                for predicate in predicates:
+                    if isinstance(predicate, int):
+                        hits = hits[predicate - 1 : predicate]
+                    else:
+                        hits = [n for n in hits if predicate(n)]
+                out.extend(hits)
+            return _distinct(out)
+
+        return run
+
+    def either(self) -> Callable:
+        left = self.both()
+        while self.peek() == "or":
+            self.take()
+            first, second = left, self.both()
+            left = lambda n, a=first, b=second: bool(a(n)) or bool(b(n))
+        return left
+
+    def both(self) -> Callable:
+        left = self.compare()
+        while self.peek() == "and":
+            self.take()
+            first, second = left, self.compare()
+            left = lambda n, a=first, b=second: bool(a(n)) and bool(b(n))
+        return left
+
+    def compare(self) -> Callable:
+        left = self.value()
+        if self.peek() != "=":
+            return left
+        self.take()
+        right = self.value()
+        return lambda n: any(a == b for a in _strings(left(n)) for b in _strings(right(n)))
+
+    def value(self) -> Callable:
+        token = self.peek()
+        if token[:1] in "'\"" and token:
+            self.take()
+            return lambda n: token[1:-1]
+        if token in ("contains", "translate") and self.peek(1) == "(":
+            self.take(), self.take("(")
+            args = [self.value()]
+            while self.peek() == ",":
+                self.take()
+                args.append(self.value())
+            self.take(")")
+            if token == "contains":
+                return lambda n: _first(args[1](n)) in _first(args[0](n))
+            return lambda n: _translate(*[_first(a(n)) for a in args])
+        return self.path()
+
+
+def _strings(value) -> list[str]:
+    if isinstance(value, str):
+        return [value]
+    return [v if isinstance(v, str) else v.string() for v in value]
+
+
+def _first(value) -> str:
+    strings = _strings(value)
+    return strings[0] if strings else ""
+
+
+def _translate(text: str, source: str, target: str) -> str:
+    return text.translate({ord(c): (target[i] if i < len(target) else None) for i, c in enumerate(source)})
+
+
+@lru_cache(maxsize=256)
+def xpath(selector: str) -> Callable[[Node], list[Node]]:
+    reader = _XPath(selector)
+    find = reader.union()
+    if reader.peek():
+        raise ValueError(f"unsupported selector: {selector}")
+    return find
+
+
+def select(root: Node, kind: str, selector: str) -> list[Node]:
+    return (xpath if kind == "xpath" else css)(selector)(root)
