@@ -61,7 +61,7 @@ def image_concat_all(
     """
     texts = df.filter(F.col(images).isNotNull()).select(
         F.col(order).alias("_order"),
-        F.floor(F.col(order) / rows_per_bucket).alias("_bucket"),
+        F.expr(f"`{order}` div {rows_per_bucket}").alias("_bucket"),
         _row_text(F.col(images)).alias("_text"),
     )
     sizes = texts.groupBy("_bucket").agg(F.sum(F.octet_length("_text") + len(JOINER)).alias("_bytes"))

@@ -7,6 +7,7 @@ from datetime import date
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shelfmark.operators.lookup import fits, lookup
 from shelfmark.schemas import DATE_DIM_SCHEMA
 
 # Day number one and the two labels.
@@ -65,9 +66,11 @@ def date_dim_covering(df: DataFrame, ts: str) -> DataFrame:
 def date_fk(df: DataFrame, calendar: DataFrame, ts: str = "created_at", fk: str = "date_insert_fk") -> DataFrame:
     """Fill ``fk`` where it is NULL with the key of the day of ``ts``.
 
-    Days outside the calendar keep NULL. The calendar has one row per day, some 366
-    a year, so the optimizer broadcasts it after checking its size; no hint is set.
+    Days outside the calendar keep NULL. A load writes all its rows on one day, so a
+    shuffle on the day would put them into one task: the calendar, 366 rows a year,
+    is counted and broadcast, and only an absurdly long one is joined in slices.
     """
     days = calendar.select(F.col("full_date").alias("_day"), F.col("date_sk").alias("_sk"))
-    joined = df.withColumn("_on", F.to_date(ts)).join(days, F.col("_on") == F.col("_day"), "left")
+    dated = df.withColumns({"_day": F.to_date(ts), "_row": F.monotonically_increasing_id()})
+    joined = lookup(dated, days, ["_day"], "left", "_row", small=fits(days))
     return joined.withColumn(fk, F.coalesce(F.col(fk), F.col("_sk"))).select(*df.columns)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from shelfmark.operators.lookup import fits, lookup
 from shelfmark.operators.ranking import number_rows
 from shelfmark.schemas import LOG_STATES
 
@@ -64,7 +65,7 @@ def ready_files(logs: DataFrame, configs: DataFrame, day_column: str = "create_t
     first = ready.groupBy("config_id", "day").agg(
         F.min("file_log_id").alias("file_log_id"), F.min_by("file_path", "file_log_id").alias("file_path")
     )
-    return first.join(configs, "config_id")
+    return lookup(first, configs, ["config_id"], "inner", "file_log_id", small=fits(configs))
 
 
 def require_rows(df: DataFrame, message: str = "File path is NULL or no file with C_SE status") -> DataFrame:
@@ -168,7 +169,8 @@ def run_report(logs: DataFrame, configs: DataFrame) -> DataFrame:
         text = F.when(F.col("status") == state, words).otherwise(text)
     failed = F.col("status").isin("C_FE", "L_FE")
     note = F.format_string("count: %d, file size: %d kb", "count", F.ceil("file_size").cast("int"))
-    return logs.join(configs.select("config_id", "process_name"), "config_id").select(
+    names = configs.select("config_id", "process_name")
+    return lookup(logs, names, ["config_id"], "inner", "file_log_id", small=fits(names)).select(
         "file_log_id",
         "process_name",
         text.alias("status"),

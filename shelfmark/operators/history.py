@@ -28,19 +28,13 @@ def any_differs(left: DataFrame, right: DataFrame, columns: Sequence[str] = COMP
     return reduce(lambda a, b: a | b, [left[c] != right[c] for c in columns])
 
 
-def _collated(df: DataFrame, collation: str | None) -> DataFrame:
-    if collation is None:
-        return df
-    return df.withColumns({k: F.collate(F.col(k), collation) for k in KEYS})
-
-
-def with_key_collation(df: DataFrame, collation: str | None = "UNICODE_CI_AI_RTRIM") -> DataFrame:
+def with_key_collation(df: DataFrame, collation: str = "UNICODE_CI_AI_RTRIM") -> DataFrame:
     """Compare product keys without regard to case, accents and trailing spaces.
 
-    Apply to every table that takes part; the joins then run as sort-merge joins
-    under the collation. The default of all operators is binary comparison.
+    Apply to every table that takes part. The default of all operators is binary
+    comparison.
     """
-    return _collated(df, collation)
+    return df.withColumns({k: F.collate(F.col(k), collation) for k in KEYS})
 
 
 def _seen_keys(dim: DataFrame) -> DataFrame:
@@ -73,13 +67,14 @@ def _only_keys_of(dim: DataFrame, stg: DataFrame, small: bool) -> DataFrame:
     """Rows of ``dim`` that a counted small batch can concern, without a shuffle."""
     if not small:
         return dim
-    return dim.join(F.broadcast(stg.select(*KEYS).distinct()), list(KEYS), "left_semi").select(*dim.columns)
+    return dim.join(F.broadcast(stg.select(*KEYS)), list(KEYS), "left_semi").select(*dim.columns)
 
 
 def new_products(stg: DataFrame, dim: DataFrame, small: bool | None = None) -> DataFrame:
     """Rows of the batch whose key no version carries; a NULL key is always new.
 
-    Rows with a NULL key never enter the join, so they cannot pile up in one task.
+    ``stg`` holds one row per complete key, as de-duplication leaves it, so neither
+    side of the join can have a hot key; rows with a NULL key never enter it.
     """
     small = fits(stg) if small is None else small
     keyed = stg.filter(all_present(KEYS))

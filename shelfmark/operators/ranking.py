@@ -32,7 +32,7 @@ def number_rows(
     and they come back through a broadcast of one row per range. The ranges depend
     on the values alone, so a recomputed task numbers its rows the same way.
     """
-    keyed = df.withColumn("_range", F.floor(F.col(id_col) / rows_per_bucket))
+    keyed = df.withColumn("_range", F.expr(f"`{id_col}` div {rows_per_bucket}"))
     by = [*lead, "_range"]
     counts = running_totals(keyed.groupBy(*by).agg(F.count("*").alias("_rows")), by, "_rows")
     offsets = counts.select(*by, "_before")

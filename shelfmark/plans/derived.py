@@ -7,7 +7,7 @@ key by integer arithmetic, so the expected values are known without any parsing.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfmark.operators.staging import dedup_keep_first, drop_incomplete, to_typed
@@ -123,69 +123,68 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _pick(texts: tuple[str | None, ...], k: Column) -> Column:
-    return F.get(F.array(*[F.lit(t).cast("string") for t in texts]), k % len(texts))
+def _quoted(text: str | None) -> str:
+    return "CAST(NULL AS STRING)" if text is None else "r'" + text + "'"
 
 
-def _fill(text: Column, values: dict[str, Column]) -> Column:
+def _pick(texts: list[str | None]) -> str:
+    return f"get(array({', '.join(_quoted(t) for t in texts)}), CAST(k % {len(texts)} AS INT))"
+
+
+def _fill(text: str, values: dict[str, str]) -> str:
     for name, value in values.items():
-        text = F.replace(text, F.lit("{" + name + "}"), value)
+        text = f"replace({text}, '{{{name}}}', {value})"
     return text
 
 
-def _numbers(name: str, tenths: Column) -> dict[str, Column]:
-    mm = F.concat(F.floor(tenths / 10).cast("string"), F.lit("."), (tenths % 10).cast("string"))
-    cm = F.concat(
-        F.floor(tenths / 100).cast("string"), F.lit("."), F.lpad((tenths % 100).cast("string"), 2, "0")
-    )
+def _numbers(name: str) -> dict[str, str]:
+    """SQL texts of a length given in tenths of a millimetre, by placeholder."""
+    mm = f"concat({name} div 10, '.', {name} % 10)"
+    cm = f"concat({name} div 100, '.', lpad({name} % 100, 2, '0'))"
     return {
         name: mm,
-        f"{name},": F.translate(mm, ".", ","),
+        f"{name},": f"translate({mm}, '.', ',')",
         f"{name}c": cm,
-        f"{name}c,": F.translate(cm, ".", ","),
+        f"{name}c,": f"translate({cm}, '.', ',')",
     }
 
 
 def raw_feed(part: DataFrame, feed: str) -> DataFrame:
     """All-text staging rows of feed ``a`` or ``b``, one per part."""
-    k = F.col("p_partkey")
-    sizes = SIZE_TEXTS_A if feed == "a" else SIZE_TEXTS_B
-    weights = WEIGHT_TEXTS_A if feed == "a" else WEIGHT_TEXTS_B
-    grams, thousands = 50 + k % 70, (100 + k % 900).cast("string")
-    lengths = {
-        **_numbers("l", 1000 + k % 300),
-        **_numbers("w", 550 + k % 150),
-        **_numbers("h", 300 + k % 130),
-    }
-    kilos = F.concat(F.lit("0."), F.lpad(grams.cast("string"), 2, "0"))
-    kilos = F.when(grams >= 100, F.concat(F.lit("1."), F.lpad((grams - 100).cast("string"), 2, "0"))).otherwise(kilos)
+    sizes = [text for text, _ in (SIZE_TEXTS_A if feed == "a" else SIZE_TEXTS_B)]
+    weights = [text for text, _ in (WEIGHT_TEXTS_A if feed == "a" else WEIGHT_TEXTS_B)]
     if feed == "a":
-        price = F.when(k % 11 == 0, "Giá Liên Hệ").otherwise(F.concat(thousands, F.lit(".000đ")))
+        price = "CASE WHEN k % 11 = 0 THEN 'Giá Liên Hệ' ELSE concat(t, '.000đ') END"
     else:
         price = (
-            F.when(k % 11 == 0, "")
-            .when(k % 5 == 0, F.concat(F.lit("1."), thousands, F.lit(".000₫")))
-            .otherwise(F.concat(thousands, F.lit(".000₫")))
+            "CASE WHEN k % 11 = 0 THEN '' WHEN k % 5 = 0 THEN concat('1.', t, '.000₫') ELSE concat(t, '.000₫') END"
         )
-    url = "https://cdn/insecure/q:90/plain/https://shop/p"
-    urls = F.transform(
-        F.sequence(F.lit(1), (1 + k % 4).cast("int")),
-        lambda i: F.concat(F.lit(url), k.cast("string"), F.lit("_"), i.cast("string"), F.lit(".png")),
+    url = "concat('https://cdn/insecure/q:90/plain/https://shop/p', k, '_', i, '.png')"
+    numbers = part.selectExpr(
+        "p_partkey AS k",
+        "p_name",
+        "p_brand",
+        "50 + p_partkey % 70 AS g",
+        "100 + p_partkey % 900 AS t",
+        "1000 + p_partkey % 300 AS l",
+        "550 + p_partkey % 150 AS w",
+        "300 + p_partkey % 130 AS h",
     )
-    return part.select(
-        (k + 1).alias("id"),
-        F.col("p_name").alias("name"),
-        F.when(k % 37 == 0, F.lit(None)).otherwise(F.col("p_brand")).alias("brand"),
-        price.alias("price"),
-        _fill(_pick(tuple(t for t, _ in sizes), k), lengths).alias("size"),
-        _fill(_pick(tuple(t for t, _ in weights), k), {"g": grams.cast("string"), "kg": kilos}).alias("weight"),
-        F.concat((100 * (k % 9 + 1)).cast("string"), F.lit(" dpi")).alias("dpi"),
-        F.concat(F.lit("S"), (k % 7).cast("string")).alias("sensor"),
-        F.concat(F.lit("C"), (k % 3).cast("string")).alias("connector"),
-        F.concat(F.lit("B"), (k % 4).cast("string")).alias("pin"),
-        F.concat(F.lit("O"), (k % 5).cast("string")).alias("os"),
-        F.array_join(urls, ", ").alias("images"),
-        F.lit(CREATED).cast("timestamp_ntz").alias("created_at"),
+    return numbers.selectExpr(
+        "k + 1 AS id",
+        "p_name AS name",
+        "CASE WHEN k % 37 = 0 THEN NULL ELSE p_brand END AS brand",
+        f"{price} AS price",
+        f"{_fill(_pick(sizes), {**_numbers('l'), **_numbers('w'), **_numbers('h')})} AS size",
+        _fill(_pick(weights), {"g": "CAST(g AS STRING)", "kg": "concat(g div 100, '.', lpad(g % 100, 2, '0'))"})
+        + " AS weight",
+        "concat(100 * (k % 9 + 1), ' dpi') AS dpi",
+        "concat('S', k % 7) AS sensor",
+        "concat('C', k % 3) AS connector",
+        "concat('B', k % 4) AS pin",
+        "concat('O', k % 5) AS os",
+        f"array_join(transform(sequence(1L, 1 + k % 4), i -> {url}), ', ') AS images",
+        f"TIMESTAMP_NTZ'{CREATED}' AS created_at",
     )
 
 

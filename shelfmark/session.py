@@ -20,7 +20,8 @@ def build_session(app_name: str = "shelfmark", master: str | None = None, **conf
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.sql.parquet.filterPushdown", "true")
+        # pages are large texts: keep a batch for the Python workers small
+        .config("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
     )
     if master:
         builder = builder.master(master)

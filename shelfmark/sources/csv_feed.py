@@ -29,7 +29,7 @@ def _unescape(text: str) -> str:
     return text.replace("\\r", "\r").replace("\\n", "\n").replace("\\t", "\t")
 
 
-def _options(config: Mapping[str, Any]) -> dict[str, str]:
+def csv_options(config: Mapping[str, Any]) -> dict[str, str]:
     dialect = {**DIALECT, **{k: v for k, v in config.items() if k in DIALECT and v is not None}}
     quote = dialect["optionally_enclosed_by"]
     return {
@@ -60,7 +60,7 @@ def load_csv(spark: SparkSession, path: str | list[str], config: Mapping[str, An
     columns = map_columns(config["staging_fields"])
     skip = int(config.get("ignore_rows") if config.get("ignore_rows") is not None else DIALECT["ignore_rows"])
     schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
-    reader = spark.read.schema(schema).options(**_options(config))
+    reader = spark.read.schema(schema).options(**csv_options(config))
     if skip == 1:
         reader = reader.option("header", "true").option("enforceSchema", "true")
     rows = reader.csv(path)
@@ -87,7 +87,7 @@ def _numbered(rows: DataFrame, columns: list[str], skip: int) -> DataFrame:
         in_table = in_table.join(skipped.select("_file", "_file_offset", "_skipped"), "_file")
     else:
         in_table = in_table.withColumns({"_file_offset": F.lit(0), "_skipped": F.lit(0)})
-    # one row per file block: a block is 128 MB, so this is tiny next to the rows
+    # one row per file block, so a millionth of the data: 100 MB for 100 TB
     located = placed.join(F.broadcast(in_table), block).withColumn(
         "_row", F.col("_offset") + F.col("_seq") - F.col("_first")
     )
@@ -114,6 +114,7 @@ def export_csv(df: DataFrame, path: str) -> int:
         texts.observe(written, F.count("*").alias("rows"))
         .write.mode("overwrite")
         .options(header="true", quoteAll="true", quote='"', escape='"', emptyValue="", encoding="UTF-8")
+        .options(ignoreLeadingWhiteSpace="false", ignoreTrailingWhiteSpace="false")
         .csv(path)
     )
     return int(written.get["rows"])
