@@ -1,24 +1,72 @@
-"""One feed from its CSV file to the warehouse and the mart."""
+"""One feed from its pages to a CSV file, and from there to warehouse and mart."""
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfmark.operators.control import ready_file, require_rows, transition
+from shelfmark.operators.control import (
+    log_insert,
+    log_update,
+    ready_file,
+    require_not_run,
+    require_rows,
+    transition,
+)
 from shelfmark.operators.history import scd2_load
 from shelfmark.operators.mart import mart_sync
 from shelfmark.operators.staging import stage_feed
 from shelfmark.schemas import FEEDS, FeedSpec
 from shelfmark.session import settle
-from shelfmark.sources.csv_feed import load_csv
+from shelfmark.sources.csv_feed import export_csv, load_csv
+from shelfmark.sources.pages import extract_fields
 from shelfmark.sources.tables import reload, write_dimension
 
 
+class ExportFailed(RuntimeError):
+    """The pages could not be exported; ``log`` is the log with the failed run."""
+
+    def __init__(self, message: str, log: DataFrame):
+        super().__init__(message)
+        self.log = log
+
+
+def pages_to_csv(
+    pages: DataFrame,
+    fields: Sequence[dict[str, str]],
+    path: str,
+    logs: DataFrame,
+    config_id: int,
+    as_of: str,
+) -> DataFrame:
+    """Extract the fields of all pages into a feed file; returns the updated log.
+
+    Refuses a second run for a configuration and day. The run is logged as started,
+    then as done with its row count and size in KB, or as failed.
+    """
+    spark = pages.sparkSession
+    require_not_run(logs, config_id, as_of[:10])
+    started = spark.createDataFrame(
+        [(config_id, path, 0, "C_E")], "config_id bigint, file_path string, count bigint, status string"
+    )
+    log = settle(log_insert(logs, started, as_of))
+    log_id = log.agg(F.max("file_log_id")).first()[0]
+    try:
+        count = export_csv(extract_fields(pages, fields, keep=[]), path)
+    except Exception as error:
+        raise ExportFailed(str(error), transition(log, log_id, "C_FE", as_of)) from error
+    parts = spark.read.format("binaryFile").load(path)  # only lengths are read
+    size_kb = parts.agg(F.ceil(F.coalesce(F.sum("length"), F.lit(0)) / 1024)).first()[0]
+    done = spark.createDataFrame(
+        [(log_id, "C_SE", count, size_kb)], "file_log_id bigint, status string, count bigint, file_size bigint"
+    )
+    return log_update(log, done.withColumn("file_size", F.col("file_size").cast("decimal(10,2)")), as_of, check=True)
+
+
 def run_feed(
     raw: DataFrame,
     feed: FeedSpec | str,

@@ -83,8 +83,9 @@ def image_concat_all(spark: SparkSession, sf: str) -> DataFrame:
 
 def image_scalar_column(spark: SparkSession, sf: str) -> DataFrame:
     raw = D.raw(spark, sf, "a").select("id", "images")
-    wide = I.with_table_wide_images(raw)
-    return wide.select("id", F.char_length("image").cast("long").alias("image_chars"), F.md5("image").alias("image_md5"))
+    whole = I.image_concat_all(raw)
+    chars = whole.select(F.char_length("image").cast("long")).scalar()
+    return raw.select("id", chars.alias("image_chars"), whole.select(F.md5("image")).scalar().alias("image_md5"))
 
 
 # --- staging -------------------------------------------------------------------

@@ -8,8 +8,9 @@ from pyspark.sql import functions as F
 
 from shelfmark.operators import calendar
 from shelfmark.plans import derived as D
-from shelfmark.plans.pipeline import FeedPaths, run_feed_files
-from shelfmark.schemas import DIMENSION_SCHEMA, FEED_A_FIELDS, FEED_B_FIELDS, MART_SCHEMA
+from shelfmark.operators.control import AlreadyRun
+from shelfmark.plans.pipeline import ExportFailed, FeedPaths, pages_to_csv, run_feed_files
+from shelfmark.schemas import DIMENSION_SCHEMA, FEED_A_FIELDS, FEED_B_FIELDS, LOG_SCHEMA, MART_SCHEMA
 from shelfmark.sources import csv_feed, pages, spec, tables
 from shelfmark.sources.selectors import parse_html, select
 
@@ -165,3 +166,19 @@ def test_file_to_mart(spark, tmp_path, feed, fields):
     same = ["product_name", "price", "length", "width", "height", "weight", "manufacturer"]
     assert loaded.select(same).exceptAll(staged.select(same)).isEmpty()
     assert sorted(r.id for r in loaded.collect()) == list(range(1, loaded.count() + 1))
+
+
+def test_pages_to_csv(spark, tmp_path):
+    df = spark.createDataFrame([(PAGE_A,), (PAGE_A,)], "html string")
+    logs, path = spark.createDataFrame([], LOG_SCHEMA), str(tmp_path / "out")
+    log = pages_to_csv(df, spec.feed_a_spec(), path, logs, 2, D.AS_OF)
+    row = log.first()
+    assert (row.status, row["count"], row.file_path, row.file_log_id) == ("C_SE", 2, path, 1) and row.file_size >= 1
+    rows = csv_feed.load_csv(spark, path, {"staging_fields": ", ".join(FEED_A_FIELDS)}).collect()
+    assert [(r.name, r.images) for r in rows] == [("Chuột X1", "a.png, b.png")] * 2
+    with pytest.raises(AlreadyRun):
+        pages_to_csv(df, spec.feed_a_spec(), path, log, 2, D.AS_OF)
+    bad = [dict(spec.feed_a_spec()[0], selector="//p[last()]")]
+    with pytest.raises(ExportFailed) as failed:
+        pages_to_csv(df, bad, path, log, 3, D.AS_OF)
+    assert {r.config_id: r.status for r in failed.value.log.collect()} == {2: "C_SE", 3: "C_FE"}
