@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -33,19 +34,19 @@ def to_typed(raw: DataFrame, feed: FeedSpec | str, ignore_case: bool = False, im
 
 
 def dedup_keep_first(df: DataFrame, keys: Sequence[str] = KEYS, order: str = "id") -> DataFrame:
-    """Per key keep the row with the lowest ``order``; rows with a NULL key all stay.
+    """Per key keep the row with the lowest ``order``, a unique number; rows with a
+    NULL key all stay.
 
-    An aggregate rather than a window: copies collapse on the map side before the
-    shuffle, so a key that holds a third of the table costs one row per map task.
-    Rows with a NULL key become groups of their own, which also spreads them out.
+    Not a window, which would send all copies of a key to one task: the lowest
+    numbers are found from the key columns alone, collapsing copies on the map side,
+    and pick their rows by a join on ``order``, which is spread evenly whatever the
+    keys are. Rows with a NULL key are groups of their own.
     """
     keys = list(keys)
-    rest = [c for c in df.columns if c not in keys]
-    alone = F.when(F.greatest(*[F.col(k).isNull() for k in keys]), F.col(order)) if len(keys) > 1 else F.when(
-        F.col(keys[0]).isNull(), F.col(order)
-    )
-    first = df.groupBy(*keys, alone.alias("_alone")).agg(F.min_by(F.struct(*rest), F.col(order)).alias("_first"))
-    return first.select(*[F.col(c) if c in keys else F.col(f"_first.{c}").alias(c) for c in df.columns])
+    incomplete = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
+    alone = F.when(incomplete, F.col(order)).alias("_alone")
+    first = df.groupBy(*keys, alone).agg(F.min(order).alias(order)).select(order)
+    return df.join(first, order, "left_semi").select(*df.columns)
 
 
 def drop_incomplete(df: DataFrame, required: Sequence[str] = ("product_name", "price")) -> DataFrame:
