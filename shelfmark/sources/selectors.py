@@ -31,11 +31,12 @@ BLOCKS = SCOPES | CLOSED_BY["p"] | frozenset("li tr th br title head".split())
 
 
 class Node:
-    __slots__ = ("tag", "attrs", "parent", "children", "order")
+    __slots__ = ("tag", "attrs", "parent", "children", "order", "by_tag")
 
     def __init__(self, tag: str, attrs: dict[str, str], parent: Node | None, order: int):
         self.tag, self.attrs, self.parent, self.order = tag, attrs, parent, order
         self.children: list[Node | str] = []
+        self.by_tag: dict[str, list[Node]] | None = None  # root only: all elements
 
     def elements(self) -> list[Node]:
         return [c for c in self.children if isinstance(c, Node)]
@@ -47,6 +48,12 @@ class Node:
             yield node
             stack.extend(node.elements()[::-1])
 
+    def below(self, tag: str | None) -> list[Node]:
+        """Elements below with the tag, or all, in document order."""
+        if self.by_tag is not None and tag:
+            return self.by_tag.get(tag, [])
+        return [n for n in self.walk() if not tag or n.tag == tag]
+
     def string(self) -> str:
         """All text below, as it stands."""
         out, stack = [], list(self.children[::-1])
@@ -80,6 +87,7 @@ class _Builder(HTMLParser):
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
         self.root = self.open = Node("#root", {}, None, 0)
+        self.root.by_tag = {}
         self.count = 0
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
@@ -97,6 +105,7 @@ class _Builder(HTMLParser):
             first.setdefault(name, value or "")
         child = Node(tag, first, self.open, self.count)
         self.open.children.append(child)
+        self.root.by_tag.setdefault(tag, []).append(child)
         if tag not in VOID:
             self.open = child
 
@@ -108,6 +117,10 @@ class _Builder(HTMLParser):
                 return
             node = node.parent
 
+    def parse_marked_section(self, i: int, report: int = 1) -> int:
+        """``<![...`` is a comment up to the next ``>``; the base class may raise."""
+        return self.parse_bogus_comment(i)
+
     def handle_data(self, data: str) -> None:
         kids = self.open.children
         if kids and isinstance(kids[-1], str):
@@ -132,7 +145,7 @@ def _distinct(nodes: Iterator[Node] | list[Node]) -> list[Node]:
 _SIMPLE = re.compile(r"([a-zA-Z][\w-]*|\*)|#([\w-]+)|\.([\w-]+)|\[([\w-]+)(?:=['\"]?([^'\"\]]*)['\"]?)?\]")
 
 
-def _css_test(part: str) -> Callable[[Node], bool]:
+def _css_test(part: str) -> tuple[str | None, Callable[[Node], bool]]:
     tag, rest = None, []
     for name, ident, cls, attr, value in _SIMPLE.findall(part):
         if name:
@@ -154,7 +167,7 @@ def _css_test(part: str) -> Callable[[Node], bool]:
                 return False
         return True
 
-    return test
+    return tag, test
 
 
 @lru_cache(maxsize=256)
@@ -163,11 +176,9 @@ def css(selector: str) -> Callable[[Node], list[Node]]:
 
     def find(root: Node) -> list[Node]:
         found = [root]
-        for step in tests:
-            child_only, test = step
-            found = _distinct(
-                [n for base in found for n in (base.elements() if child_only else base.walk()) if test(n)]
-            )
+        for child_only, (tag, test) in tests:
+            pools = [base.elements() if child_only else base.below(tag) for base in found]
+            found = _distinct([n for pool in pools for n in pool if test(n)])
         return found
 
     tests = [(s.startswith(">"), _css_test(s.lstrip(">"))) for s in steps]
@@ -252,19 +263,24 @@ class _XPath:
             predicates.append(int(self.take()) if self.peek().isdigit() else self.either())
             self.take("]")
 
-        def candidates(node: Node) -> list[Node]:
+        tag = None if name == "*" else name
+
+        def groups(nodes: list[Node]) -> list[list[Node]]:
+            """Candidates that positions count within: those with one context node."""
             if axis == "following-sibling":
-                siblings = node.parent.elements() if node.parent else []
-                pool = [s for s in siblings if s.order > node.order]
-            else:
-                pool = node.elements()
-            return [n for n in pool if name in ("*", n.tag)]
+                bases = _distinct([d for n in nodes for d in (n, *n.walk())]) if deep else nodes
+                siblings = [[s for s in (b.parent.elements() if b.parent else []) if s.order > b.order] for b in bases]
+                return [[s for s in pool if tag in (None, s.tag)] for pool in siblings]
+            if not deep:
+                return [[n for n in base.elements() if tag in (None, n.tag)] for base in nodes]
+            by_parent: dict[int, list[Node]] = {}
+            for hit in _distinct([n for base in nodes for n in base.below(tag)]):
+                by_parent.setdefault(id(hit.parent), []).append(hit)
+            return list(by_parent.values())
 
         def run(nodes: list[Node]) -> list[Node]:
-            bases = _distinct([d for n in nodes for d in (n, *n.walk())]) if deep else nodes
             out = []
-            for base in bases:
-                hits = candidates(base)
+            for hits in groups(nodes):
                 for predicate in predicates:
                     if isinstance(predicate, int):
                         hits = hits[predicate - 1 : predicate]

@@ -2,6 +2,7 @@
 
 import csv
 import json
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -112,6 +113,16 @@ def test_selectors():
         select(root, "xpath", "//p[last()]")
 
 
+def test_broken_markup_is_read_somehow():
+    rng = random.Random(1)
+    pieces = ["<", ">", "<![", "foo", "[", "if", "]]>", "<!", "--", "<!--", "-->", "<p", "/", "</p>", "a=", '"', "'", " "]
+    pieces += ["&", "&#", "&#x", "&amp", "<?", "<script>", "</script", "\n", "\x00", "<style>", "é", "<li>", "</li>"]
+    for _ in range(20_000):
+        text = "".join(rng.choice(pieces) for _ in range(rng.randrange(1, 12)))
+        select(parse_html(text), "css", "li p")
+    assert [n.text() for n in select(parse_html("<p>a<![if x]>b<![endif]></p>"), "css", "p")] == ["ab"]
+
+
 def test_links_fragments_and_urls(spark):
     html = '<div class="p"><a href="/1">a</a><a href="/2">b</a></div><div class="p"><i></i></div><div class="p"><a x=1 href="/3">c</a></div>'
     df = spark.createDataFrame([(1, "https://s/x", html), (2, "http://s/y", None)], "page_id int, url string, html string")
