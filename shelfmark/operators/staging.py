@@ -12,6 +12,8 @@ from shelfmark.functions import attributes as A
 from shelfmark.functions.images import image_list
 from shelfmark.schemas import FEEDS, KEYS, RENAMED, STAGING, FeedSpec
 
+RAW_KEYS = tuple(old for key in KEYS for old, new in RENAMED.items() if new == key)
+
 
 def to_typed(raw: DataFrame, feed: FeedSpec | str, ignore_case: bool = False, image: Column | None = None) -> DataFrame:
     """Normalise one feed's text columns into the staging layout.
@@ -54,10 +56,13 @@ def drop_incomplete(df: DataFrame, required: Sequence[str] = ("product_name", "p
 
 
 def stage_feed(raw: DataFrame, feed: FeedSpec | str, **options) -> DataFrame:
-    """Typed, de-duplicated, complete rows. De-duplication comes first: if the first
-    copy of a product has no price, the product is dropped although a later copy has
-    one."""
-    return drop_incomplete(dedup_keep_first(to_typed(raw, feed, **options)))
+    """Typed, de-duplicated, complete rows.
+
+    De-duplication comes before dropping incomplete rows: if the first copy of a
+    product has no price, the product is dropped although a later copy has one. It
+    needs only the key texts, so copies go before any of their texts is parsed.
+    """
+    return drop_incomplete(to_typed(dedup_keep_first(raw, RAW_KEYS), feed, **options))
 
 
 def union_feeds(*staged: DataFrame) -> DataFrame:

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfmark.operators.staging import dedup_keep_first, drop_incomplete, to_typed
+from shelfmark.operators.staging import dedup_keep_first, drop_incomplete, stage_feed, to_typed
 from shelfmark.schemas import DIMENSION_SCHEMA, MART, NEVER
 from shelfmark.session import settle
 
@@ -197,7 +197,7 @@ def typed(spark: SparkSession, sf_dir: str, feed: str) -> DataFrame:
 
 
 def staged(spark: SparkSession, sf_dir: str, feed: str) -> DataFrame:
-    return drop_incomplete(dedup_keep_first(typed(spark, sf_dir, feed)))
+    return stage_feed(raw(spark, sf_dir, feed), feed)
 
 
 def warehouse(all_rows: DataFrame, current: DataFrame) -> DataFrame:
