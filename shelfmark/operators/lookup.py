@@ -36,19 +36,21 @@ def lookup(
     slice_by: str,
     counts: DataFrame | None = None,
     small: bool = False,
-    rows_per_task: int = ROWS_PER_TASK,
+    rows_per_task: int | None = None,
 ) -> DataFrame:
     """Equi-join ``left`` with ``right``, which has one row per key.
 
     ``small``: the caller has counted ``right`` and found it within
     ``BROADCAST_ROWS``; it is broadcast and ``left`` is not shuffled. Otherwise both
     sides are shuffled on the keys and a *slice*: a key with more than
-    ``rows_per_task`` rows on the left (``counts`` gives keys and ``n``) is cut into
+    ``rows_per_task`` rows (default ``ROWS_PER_TASK``) on the left (``counts`` gives
+    keys and ``n``) is cut into
     slices by a hash of ``slice_by`` and its one right row is repeated per slice.
     There are at most rows / ``rows_per_task`` such keys, which bounds their
     broadcast. Rows with a NULL key match nothing and are spread out.
     """
     keys = list(keys)
+    rows_per_task = rows_per_task or ROWS_PER_TASK
     if small:
         return left.join(F.broadcast(right), keys, how)
     if counts is None:

@@ -1,5 +1,6 @@
 """Operators on small fixtures, against plain Python where the result is not obvious."""
 
+import random
 from collections import Counter
 from decimal import Decimal
 
@@ -350,3 +351,64 @@ def test_checks(spark):
     df = spark.createDataFrame([(1, "C_E", "ab"), (2, "??", None), (3, None, "abcdef")], "id int, status string, t string")
     broken = checks.violations(df, "id", {"status": ("C_E",)}, ["t"], {"t": 4})
     assert sorted((r.id, r.rule) for r in broken.collect()) == [(2, "domain:status"), (2, "null:t"), (3, "length:t")]
+
+
+# --- random worlds against brute force -------------------------------------------
+
+
+def _random_version(rng, i, deleted_share=0.3):
+    deleted = rng.random() < deleted_share
+    row = _version(
+        i,
+        rng.choice(["a", "b", "c", "d", "e", "f", "g"]),
+        rng.choice(["m", "n", None]),
+        price=rng.choice([1, 2, None]),
+        sensor=rng.choice(["s", "t", None]),
+        deleted=deleted,
+        expired="2024-01-01" if deleted or rng.random() < 0.1 else "9999-12-31",
+    )
+    return row
+
+
+def _distinct_keys(rows):
+    seen, out = set(), []
+    for row in rows:
+        key = tuple(row[k] for k in KEYS)
+        if None in key or key not in seen:
+            out.append(row)
+        seen.add(key)
+    return out
+
+
+def _brute_mart(mart_rows, dw):
+    same = lambda d, m: None not in [d[k] for k in KEYS] and all(d[k] == m[k] for k in KEYS)
+    live = [d for d in dw if not d["isDelete"]]
+    ids = []
+    for m in mart_rows:
+        versions = sorted((d for d in live if same(d, m)), key=lambda d: d["id"])
+        changed = versions and _differs(versions[-1], m)
+        ids.append((m["product_name"], versions[-1]["id"] if changed else m["id"]))
+    names = {n for n, _ in ids}
+    if None not in names:
+        ids += [(d["product_name"], d["id"]) for d in live if d["product_name"] not in names]
+    gone = {d["id"] for d in dw if d["isDelete"]}
+    return sorted((n, i) for n, i in ids if i not in gone)
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_random_loads_and_syncs(spark, monkeypatch, seed):
+    rng = random.Random(seed)
+    if seed % 2:
+        for module in (history, mart):
+            monkeypatch.setattr(module, "fits", lambda df, max_rows=0: lookup.fits(df, max_rows))
+        monkeypatch.setattr(lookup, "ROWS_PER_TASK", 2)
+    dim = [_random_version(rng, i) for i in range(1, 41)]
+    stg = _distinct_keys([_random_version(rng, i) for i in range(1, 21)])
+    cal = calendar.date_dim(spark, "2024-11-01", "2024-11-30")
+    got = history.scd2_load(_make(spark, dim, DIMENSION_SCHEMA), _make(spark, stg, STAGING_SCHEMA), cal, AS_OF)
+    rows = sorted((r.id, r.product_name, r.isDelete) for r in got.collect())
+    assert rows == sorted(_brute_load(dim, stg))
+
+    shown = [m for m in _distinct_keys([_random_version(rng, i) for i in range(30, 45)]) if m["manufacturer"]]
+    synced = mart.mart_sync(_make(spark, shown, MART_SCHEMA), _make(spark, dim, DIMENSION_SCHEMA))
+    assert sorted((r.product_name, r.id) for r in synced.collect()) == _brute_mart(shown, dim)
