@@ -43,11 +43,11 @@ def lookup(
     ``small``: the caller has counted ``right`` and found it within
     ``BROADCAST_ROWS``; it is broadcast and ``left`` is not shuffled. Otherwise both
     sides are shuffled on the keys and a *slice*: a key with more than
-    ``rows_per_task`` rows (default ``ROWS_PER_TASK``) on the left (``counts`` gives
-    keys and ``n``) is cut into
-    slices by a hash of ``slice_by`` and its one right row is repeated per slice.
-    There are at most rows / ``rows_per_task`` such keys, which bounds their
-    broadcast. Rows with a NULL key match nothing and are spread out.
+    ``rows_per_task`` rows (default ``ROWS_PER_TASK``) on the left is cut into slices
+    by a hash of ``slice_by``, and its one right row is repeated per slice. There are
+    at most rows / ``rows_per_task`` such keys, which bounds their broadcast. Rows
+    with a NULL key match nothing and are spread out. ``counts`` may hand in the keys
+    with their row count ``n`` where the caller has them anyway.
     """
     keys = list(keys)
     rows_per_task = rows_per_task or ROWS_PER_TASK

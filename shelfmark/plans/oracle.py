@@ -218,6 +218,12 @@ SELECT page_id, CAST(generate_subscripts(hrefs, 1) AS BIGINT) AS n, unnest(hrefs
   SELECT page_id, [regexp_extract(b, '<a\\b[^>]*?\\bhref="([^"]*)"', 1, 's')
     for b in regexp_extract_all(html, '<li>.*?</li>', 0, 's')] AS hrefs FROM pages)"""
 
+_ENTITIES = "replace(replace(replace(replace({0}, '&copy;', '©'), '&middot;', '·'), '&quot;', '\"'), '&amp;', '&')"
+_LISTING = f"""
+SELECT page_id, CAST(generate_subscripts(hrefs, 1) AS BIGINT) AS n,
+  regexp_extract(url, '^https?://[^/]+') || {_ENTITIES.format("unnest(hrefs)")} AS href
+FROM (SELECT page_id, url, {_NAV.format('<li><a href="([^"]*)"', 1)} AS hrefs FROM pages)"""
+
 _COMPOSE = """
 SELECT page_id, url, '<section id="product">' || chr(10) || regexp_extract(html, '<nav>.*?</nav>', 0, 's') || chr(10)
   || regexp_extract(html, '<h1>.*?</h1>', 0, 's') || chr(10)
@@ -343,6 +349,7 @@ ORACLE: dict[str, str] = {
     "file_stats": "SELECT COUNT(*) AS rows, TRUE AS size_rounded_up FROM lineitem",
     "html_extract_fields": _HTML_FIELDS,
     "html_extract_links": _LINKS,
+    "html_listing_links": _LISTING,
     "html_compose": _COMPOSE,
     "absolutize_urls": _ABSOLUTE,
     "spec_from_json": "SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events",

@@ -281,6 +281,10 @@ def html_extract_links(spark: SparkSession, sf: str) -> DataFrame:
     return report(pages.extract_links(D.table(spark, sf, "pages"), "<li>.*?</li>"))
 
 
+def html_listing_links(spark: SparkSession, sf: str) -> DataFrame:
+    return report(pages.listing_links(D.table(spark, sf, "pages"), "nav li", "a[href]"))
+
+
 def html_compose(spark: SparkSession, sf: str) -> DataFrame:
     blocks = [
         ("<nav>.*?</nav>", None),
@@ -369,6 +373,7 @@ QUERIES: dict[str, Query] = {
     "file_stats": file_stats,
     "html_extract_fields": html_extract_fields,
     "html_extract_links": html_extract_links,
+    "html_listing_links": html_listing_links,
     "html_compose": html_compose,
     "absolutize_urls": absolutize_urls,
     "spec_from_json": spec_from_json,

@@ -118,6 +118,9 @@ CONFIG_SCHEMA = _struct(
     " fields_terminated_by string, optionally_enclosed_by string, lines_terminated_by string,"
     " ignore_rows int, staging_table string, property_id int"
 )
+PROPERTY_SCHEMA = _struct(
+    "property_id int, name string, header_csv string, value string, last_modified timestamp_ntz"
+)
 LOG_SCHEMA = _struct(
     "file_log_id bigint, config_id bigint, create_time timestamp_ntz, file_path string, count bigint,"
     " file_size decimal, update_at timestamp_ntz, status string"

@@ -22,6 +22,7 @@ def build_session(app_name: str = "shelfmark", master: str | None = None, **conf
         .config("spark.sql.session.timeZone", "UTC")
         # pages are large texts: keep a batch for the Python workers small
         .config("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+        .config("spark.sql.execution.arrow.maxBytesPerBatch", str(64 * 1024 * 1024))
     )
     if master:
         builder = builder.master(master)

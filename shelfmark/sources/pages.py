@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
+from urllib.parse import urljoin
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -65,6 +66,45 @@ def extract_links(pages: DataFrame, block: str, keep: Sequence[str] = ("page_id"
     )
 
 
+def listing_links(
+    pages: DataFrame,
+    blocks: str,
+    anchor: str | None = None,
+    keep: Sequence[str] = ("page_id",),
+    url: str = "url",
+    html: str = "html",
+) -> DataFrame:
+    """One row per product link of a listing page, found by CSS selectors.
+
+    With ``anchor`` it is the first hit of that selector inside each hit of
+    ``blocks``, without it the hits of ``blocks`` are the anchors. Addresses are made
+    absolute with the page's own; ``n`` is the place of the link on the page. Like
+    :func:`extract_fields` a job without a shuffle, for markup too nested for
+    :func:`extract_links`.
+    """
+    names = list(keep)
+
+    def links(page: str | None, address: str | None) -> list[str]:
+        if not page:
+            return []
+        hits = select(parse_html(page), "css", blocks)
+        if anchor:
+            hits = [found[0] for found in (select(hit, "css", anchor) for hit in hits) if found]
+        return [urljoin(address or "", hit.attrs.get("href", "")) for hit in hits]
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            batch["href"] = [links(page, address) for page, address in zip(batch["_html"], batch["_url"])]
+            yield batch[[*names, "href"]]
+
+    source = pages.select(*names, F.col(url).alias("_url"), F.col(html).alias("_html"))
+    kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in source.schema if f.name in names)
+    found = source.mapInPandas(run, f"{kept}, href array<string>")
+    return found.select(*names, F.posexplode("href").alias("_pos", "href")).select(
+        *names, (F.col("_pos") + 1).alias("n"), "href"
+    )
+
+
 def absolutize_urls(html: Column, url: Column, attrs: Sequence[str] = ("src", "data-image")) -> Column:
     """Give ``//host`` addresses in the named attributes the protocol of the page."""
     protocol = F.when(url.startswith("https"), "https:").otherwise("http:")

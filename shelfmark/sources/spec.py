@@ -64,6 +64,9 @@ LABELS_B = {
 NAME_A, PRICE_A, IMAGES_A = ".box-product-name h1", ".product__price--show", (".swiper-wrapper img", "src")
 NAME_B, PRICE_B = ".product-name h1", ".pro-price.a"
 IMAGES_B = (".swiper-wrapper .product-gallery--photo", "data-image")
+# listing pages: product blocks and the anchor in a block (None: the blocks are anchors)
+LISTING_A = (".product-info", "a[href]")
+LISTING_B = (".collection-product .loaded .proloop-img > a[href]", None)
 
 
 def feed_a_spec() -> list[dict[str, str]]:

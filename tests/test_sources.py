@@ -139,6 +139,17 @@ def test_links_fragments_and_urls(spark):
     ]
 
 
+def test_listing_links(spark):
+    a = '<div class="product-info"><div><a>x</a><a href="/1.html">1</a></div><a href="/2">2</a></div><div class="product-info"></div>'
+    a += '<div class="product-info big"><a href="https://other/3">3</a></div><a href="/4">4</a>'
+    b = '<div class="collection-product"><div class="loaded"><p class="proloop-img"><a href="//h/5"></a></p><a href="6"></a></div></div>'
+    df = spark.createDataFrame([(1, "https://s/list/x", a), (2, None, None)], "page_id int, url string, html string")
+    rows = pages.listing_links(df, *spec.LISTING_A).orderBy("n").collect()
+    assert [(r.page_id, r.n, r.href) for r in rows] == [(1, 1, "https://s/1.html"), (1, 2, "https://other/3")]
+    df = spark.createDataFrame([(1, "http://s/", b)], "page_id int, url string, html string")
+    assert [r.href for r in pages.listing_links(df, *spec.LISTING_B).collect()] == ["http://h/5"]
+
+
 def test_spec_from_json(spark):
     text = json.dumps({"instance": "i", "fields": spec.feed_a_spec()}, ensure_ascii=False)
     assert spec.read_spec(spark, text) == spec.feed_a_spec()
