@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -31,6 +33,29 @@ def build_session(app_name: str = "shelfmark", master: str | None = None, **conf
     return builder.getOrCreate()
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make this package importable in the Python workers, once per application.
+
+    Spark copies the archive from the driver to the executors, like ``--py-files``.
+    """
+    context = spark.sparkContext
+    if context.applicationId in _SHIPPED:
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    archive = os.path.join(tempfile.mkdtemp(prefix="shelfmark-"), f"{os.path.basename(root)}.zip")
+    with zipfile.ZipFile(archive, "w") as out:
+        for folder, _, names in os.walk(root):
+            for name in names:
+                if name.endswith(".py"):
+                    path = os.path.join(folder, name)
+                    out.write(path, os.path.relpath(path, os.path.dirname(root)))
+    context.addPyFile(archive)
+    _SHIPPED.add(context.applicationId)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new path in the shared folder, for a table a job writes and reads back.
 

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfmark.functions.images import JOINER
+from shelfmark.session import ship_package
 from shelfmark.sources.selectors import parse_html, select
 
 
@@ -44,6 +45,7 @@ def extract_fields(
             values = pd.DataFrame(rows, columns=names, index=batch.index, dtype="object")
             yield pd.concat([batch[list(keep)], values], axis=1)
 
+    ship_package(pages.sparkSession)
     source = pages.select(*keep, html)
     schema = ", ".join(
         [f"`{f.name}` {f.dataType.simpleString()}" for f in source.schema if f.name in keep]
@@ -97,6 +99,7 @@ def listing_links(
             batch["href"] = [links(page, address) for page, address in zip(batch["_html"], batch["_url"])]
             yield batch[[*names, "href"]]
 
+    ship_package(pages.sparkSession)
     source = pages.select(*names, F.col(url).alias("_url"), F.col(html).alias("_html"))
     kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in source.schema if f.name in names)
     found = source.mapInPandas(run, f"{kept}, href array<string>")

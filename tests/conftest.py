@@ -6,7 +6,6 @@ import pytest
 
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path.insert(0, ROOT)
-os.environ.setdefault("PYTHONPATH", ROOT)
 
 from shelfmark.session import build_session  # noqa: E402
 
