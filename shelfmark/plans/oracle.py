@@ -190,8 +190,9 @@ FROM orders, (SELECT MIN(CAST(l_shipdate AS DATE)) AS lo, MAX(CAST(l_shipdate AS
 
 
 def _unescape(sql: str) -> str:
-    for entity, char in (("&copy;", "©"), ("&middot;", "·"), ("&quot;", '"'), ("&amp;", "&")):
-        sql = f"replace({sql}, '{entity}', '{char}')"
+    # in HTML text these references count with and without the semicolon
+    for entity, char in (("&copy;?", "©"), ("&middot;?", "·"), ("&quot;?", '"'), ("&amp;?", "&")):
+        sql = f"regexp_replace({sql}, '{entity}', '{char}', 'g')"
     return f"trim(regexp_replace({sql}, '[ \\t\\n\\f\\r]+', ' ', 'g'))"
 
 

@@ -120,6 +120,7 @@ def test_broken_markup_is_read_somehow():
     for _ in range(20_000):
         text = "".join(rng.choice(pieces) for _ in range(rng.randrange(1, 12)))
         select(parse_html(text), "css", "li p")
+    assert select(parse_html("<title>a &amp</title><p>b"), "css", "title")[0].text() == "a &"
     assert [n.text() for n in select(parse_html("<p>a<![if x]>b<![endif]></p>"), "css", "p")] == ["ab"]
 
 
