@@ -81,4 +81,33 @@ SELECT doc_id, len(words)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hi
 FROM docs LEFT JOIN hits USING (row) LEFT JOIN named USING (row)
 """
 
-ORACLE = {"op1_mix_sources": OP1, "op3_chat_format": OP3, "op7_decontaminate": OP7}
+OP4 = """
+WITH rows AS (
+    SELECT DISTINCT vec_id, list_transform(embedding, lambda x: floor(x::DOUBLE * 256)) AS vec FROM embeddings
+    WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+      AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)
+), scored AS (
+    SELECT q.vec_id AS query_id, r.vec_id, max(list_inner_product(q.vec, r.vec))::BIGINT AS score
+    FROM rows q JOIN rows r ON q.vec_id <> r.vec_id AND len(q.vec) = len(r.vec)
+    WHERE q.vec_id % 50 = 0 GROUP BY ALL
+), ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM scored)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
+"""
+
+OP6 = r"""
+WITH split AS (
+    SELECT page_id, translate(regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+           regexp_extract(coalesce(url, ''), '(?s)^.*?://[^/?#]*([^?#]*)', 1) AS path
+    FROM pages
+), rules(rule_host, rule_path, verdict) AS (
+    VALUES ('com', '/', 'allow'), ('example.com', '/en/', 'block'), ('www.example.com', '/en/', 'allow'), ('net', '/es/', 'block'), ('net', '/fr/', 'block')
+)
+SELECT page_id, host, path,
+       (SELECT arg_max(rule_host || rule_path, length(rule_host || rule_path)) FROM rules
+        WHERE (host = rule_host OR ends_with(host, '.' || rule_host)) AND starts_with(path, rule_path)) AS rule,
+       coalesce((SELECT arg_max(verdict, length(rule_host || rule_path)) FROM rules
+        WHERE (host = rule_host OR ends_with(host, '.' || rule_host)) AND starts_with(path, rule_path)), 'allow') AS verdict
+FROM split
+"""
+
+ORACLE = {"op1_mix_sources": OP1, "op3_chat_format": OP3, "op4_top_k": OP4, "op6_url_filter": OP6, "op7_decontaminate": OP7}

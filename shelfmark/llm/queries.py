@@ -7,9 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfmark.llm import chat, decontaminate, mixing, quality, simhash, toxicity
-from shelfmark.llm.common import fold, table
+from shelfmark.llm import chat, decontaminate, html_main, mixing, quality, simhash, token_counts, topk, toxicity, urls
+from shelfmark.llm.common import fold, settle, table
 from shelfmark.llm.oracle import ORACLE
+from shelfmark.session import scratch_path
 
 __all__ = ["GOOD_FROM", "ORACLE", "QUERIES", "TOXIC_FROM"]
 
@@ -46,14 +47,64 @@ def op3_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.conversation_digest(chat.format_conversations(turns.unionByName(planted)))
 
 
+def op4_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.fingerprints(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+URL_RULES = (
+    ("com", "/", "allow"),
+    ("example.com", "/en/", "block"),
+    ("www.example.com", "/en/", "allow"),
+    ("net", "/es/", "block"),
+    ("net", "/fr/", "block"),
+)
+
+
+def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
+    return urls.judge_urls(table(spark, sf_dir, "pages").select("page_id", "url"), rules)
+
+
 def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+LICENSE_LINE = r"(?m)^Licensed under .*$\n?"
+
+
+def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Totals after two batches: all documents come; then license lines are cut out of
+    texts, which revises their counts, and all but the first of exact copies go. The
+    second batch is committed twice, as after a failure."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "lang", "text")
+    versions = token_counts.tokenizers(spark)
+    copies = F.sha2(F.coalesce("text", F.lit("")), 256)
+    ledger = settle(
+        token_counts.counted(docs.withColumn("copy", copies).withColumn("licensed", F.col("text").rlike(LICENSE_LINE)), versions), "counts"
+    )
+    first = ledger.groupBy("copy").agg(F.min("doc_id").alias("first"))
+    marked = ledger.join(first, "copy").withColumn("gone", F.col("doc_id") > F.col("first"))
+    kept = docs.where(F.col("text").rlike(LICENSE_LINE))
+    revised = token_counts.counted(kept.withColumn("text", F.regexp_replace("text", LICENSE_LINE, "")), versions)
+    stays = marked.where("licensed AND NOT gone").select("doc_id")
+    columns = ["source", "lang", "tokens", "sign"]
+    old = marked.where("gone OR licensed").withColumn("sign", F.lit(-1)).select(columns)
+    new = revised.join(stays, "doc_id", "left_semi").withColumn("sign", F.lit(1)).select(columns)
+    path = scratch_path(spark, "token-rollup")
+    token_counts.commit(ledger.withColumn("sign", F.lit(1)), 0, path)
+    for _ in range(2):
+        token_counts.commit(old.union(new), 1, path)
+    return token_counts.totals(spark, path)
+
+
+def op9_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_main.extract_main_text(table(spark, sf_dir, "pages"))
+
+
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     model = quality.fit_quality(docs, labels, fold(F.col("doc_id"), 3) != 1)
@@ -69,7 +120,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mix_sources": op1_mix_sources,
     "op2_toxicity": op2_toxicity,
     "op3_chat_format": op3_chat_format,
+    "op4_top_k": op4_top_k,
     "op5_simhash": op5_simhash,
+    "op6_url_filter": op6_url_filter,
     "op7_decontaminate": op7_decontaminate,
+    "op8_token_counts": op8_token_counts,
+    "op9_main_text": op9_main_text,
     "op10_quality": op10_quality,
 }
