@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-from shelfmark.llm.common import ship_package
+from shelfmark.llm.common import settle, ship_package
 from shelfmark.llm.urls import url_host
 
 #: A subtree is template from this many pages of a host on ...
@@ -254,7 +254,8 @@ def extract_main_text(
     hosted = pages.select(
         F.col(page_id).alias("page_id"), F.col(url).alias("url"), F.col(html).cast("string").alias("html"), url_host(F.col(url)).alias("host")
     )
-    templates = host_templates(hosted.select("host", "html"), min_pages, min_share)
+    # written first, so that its size is known and pages are shuffled by host only if it is large
+    templates = settle(host_templates(hosted.select("host", "html"), min_pages, min_share), "templates")
     extract = F.pandas_udf(_extract, StringType())
     joined = hosted.join(templates, "host", "left").withColumn("text", extract("html", "template"))
     return joined.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
