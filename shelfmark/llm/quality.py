@@ -26,7 +26,7 @@ from shelfmark.llm.common import labelled_sample, ship_package
 from shelfmark.llm.linear import fit_logistic
 
 #: Labelled texts the model is fitted on at most.
-MAX_TRAINING = 20_000
+MAX_TRAINING = 10_000
 TREES = 40
 DEPTH = 3
 #: Training texts a leaf holds at least.
@@ -157,10 +157,12 @@ def _grow(x: np.ndarray, y: np.ndarray, path: Rule, depth: int, draw: np.random.
 
 
 def rule_values(x: np.ndarray, rules: tuple[Rule, ...]) -> np.ndarray:
-    out = np.ones((len(x), len(rules)))
+    out = np.empty((len(x), len(rules)), dtype=np.float32)
     for i, rule in enumerate(rules):
+        holds = np.ones(len(x), dtype=bool)
         for c, above, threshold in rule:
-            out[:, i] *= (x[:, c] > threshold) == above
+            holds &= (x[:, c] > threshold) == above
+        out[:, i] = holds
     return out
 
 
@@ -174,14 +176,13 @@ def fit_rules(x: np.ndarray, y: np.ndarray, seed: int = 7) -> RuleEnsemble:
             size = min(2000, max(len(c) for c in classes))
             rows = np.concatenate([draw.choice(c, size=size) for c in classes])
             _grow(x[rows], y[rows], (), 0, draw, grown)
-    rules = tuple(grown)
+    # rules that tell some training texts from others
+    shares = [float(rule_values(x, (r,)).mean()) if len(x) else 0.0 for r in grown]
+    rules = tuple(r for r, share in zip(grown, shares) if 0.0 < share < 1.0)
     values = rule_values(x, rules)
-    keep = values.any(axis=0) & ~values.all(axis=0) if len(x) else np.zeros(len(rules), dtype=bool)
-    rules = tuple(r for r, k in zip(rules, keep) if k)
-    values = values[:, keep]
     largest = float(np.linalg.eigvalsh(values.T @ values / max(len(y), 1))[-1]) + 1.0 if len(rules) else 1.0
     weights, intercept = fit_logistic(
-        lambda w: values @ w, lambda r: values.T @ r, y, len(rules), largest, l1=LASSO, rounds=600
+        lambda w: values @ w.astype(np.float32), lambda r: (r.astype(np.float32) @ values).astype(float), y, len(rules), largest, l1=LASSO, rounds=600
     )
     kept = np.flatnonzero(weights)
     return RuleEnsemble(tuple(rules[i] for i in kept), tuple(float(weights[i]) for i in kept), intercept if len(y) else 0.0)

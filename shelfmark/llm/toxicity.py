@@ -28,7 +28,7 @@ from shelfmark.llm.linear import fit_logistic, sigmoid
 BITS = 18
 SIZES = (4, 5, 6)
 #: Labelled texts the model is fitted on at most.
-MAX_TRAINING = 20_000
+MAX_TRAINING = 12_000
 #: A bucket is a feature from this many training texts on ...
 MIN_TEXTS = 4
 #: ... and from this absolute log-count ratio on.
@@ -93,7 +93,8 @@ def _features(used):
         for batch in batches:
             number, bucket = active(batch["text"], used.value)
             ends = np.searchsorted(number, np.arange(1, len(batch)))
-            yield pd.DataFrame({"y": batch["y"].to_numpy(), "buckets": np.split(bucket, ends) if len(batch) else []})
+            lists = [part.astype("<i4").tobytes() for part in np.split(bucket, ends)] if len(batch) else []
+            yield pd.DataFrame({"y": batch["y"].to_numpy(), "buckets": lists})
 
     return run
 
@@ -122,16 +123,17 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, training: Column, max_train
     scale = np.zeros(1 << BITS)
     scale[bucket[keep]] = ratio[keep]
     used = spark.sparkContext.broadcast(scale != 0)
-    rows = sample.mapInPandas(_features(used), "y double, buckets array<long>").toPandas()
+    rows = sample.mapInPandas(_features(used), "y double, buckets binary").toPandas()
     sample.unpersist()
-    order = np.full(1 << BITS, -1)
+    order = np.full(1 << BITS, -1, dtype=np.int32)
     features = np.sort(bucket[keep])
     order[features] = np.arange(len(features))
     y = rows["y"].to_numpy(dtype=float)
-    lengths = np.array([len(x) for x in rows["buckets"]], dtype=np.int64)
-    flat = np.concatenate([np.asarray(x, dtype=np.int64) for x in rows["buckets"]]) if lengths.sum() else np.empty(0, np.int64)
-    owner, column = np.repeat(np.arange(len(rows)), lengths), order[flat]
-    value = scale[flat]
+    lengths = [len(x) // 4 for x in rows["buckets"]]
+    flat = np.frombuffer(b"".join(rows["buckets"]), dtype="<i4")
+    del rows
+    owner, column = np.repeat(np.arange(len(y), dtype=np.int32), lengths), order[flat]
+    value = scale[flat].astype(np.float32)
     bound = float(np.bincount(owner, value * value, minlength=1).max()) + 1.0
     weights, intercept = fit_logistic(
         lambda w: np.bincount(owner, value * w[column], minlength=len(y)),
