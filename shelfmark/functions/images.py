@@ -5,14 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfmark.operators.ranking import running_totals
-
-# The marker before the real URL, the joiner, the longest list the
-# splitter reads and the longest text the table-wide join returns (bytes).
+# The marker before the real URL and the joiner.
 MARKER = "plain/"
 JOINER = ", "
-MAX_ITEMS = 10
-MAX_BYTES = 1_000_000
 
 
 def image_list(images: Column) -> Column:
@@ -22,57 +17,7 @@ def image_list(images: Column) -> Column:
 
 
 def split_images(df: DataFrame, images: str = "images") -> DataFrame:
-    """One row per listed URL, at most ten, with its place ``n`` in the list."""
-    items = F.slice(F.split(F.col(images), ","), 1, MAX_ITEMS)
+    """One row per listed URL with its place ``n`` in the list."""
     keep = [c for c in df.columns if c != images]
-    exploded = df.select(*keep, F.posexplode(items).alias("_pos", "_url"))
+    exploded = df.select(*keep, F.posexplode(F.split(F.col(images), ",")).alias("_pos", "_url"))
     return exploded.select(*keep, (F.col("_pos") + 1).alias("n"), F.trim("_url").alias("url"))
-
-
-def _row_text(images: Column) -> Column:
-    """What one row adds to the table-wide list: its last URL once per list item."""
-    last = F.trim(F.substring_index(F.substring_index(images, MARKER, -1), ",", 1))
-    items = F.char_length(images) - F.char_length(F.translate(images, ",", "")) + 1
-    return F.array_join(F.array_repeat(last, F.least(items, F.lit(MAX_ITEMS))), JOINER)
-
-
-def _cut_bytes(text: Column, limit: int) -> Column:
-    """First ``limit`` bytes of ``text``, not ending inside a character."""
-    raw = F.encode(text, "UTF-8")
-    end = None
-    for back in range(4):
-        size = limit - back
-        starts_char = ~F.hex(F.substring(raw, size + 1, 1)).between("80", "BF")
-        end = F.when(starts_char, F.lit(size)) if end is None else end.when(starts_char, F.lit(size))
-    return F.when(F.octet_length(text) <= limit, text).otherwise(
-        F.decode(F.substr(raw, F.lit(1), end), "UTF-8")
-    )
-
-
-def image_concat_all(
-    df: DataFrame, order: str = "id", images: str = "images", max_bytes: int = MAX_BYTES, rows_per_bucket: int = 100_000
-) -> DataFrame:
-    """One row, ``image``: the lists of the whole table joined in ``order``.
-
-    The result is capped, so only the rows before the cap are ever gathered: byte
-    counts per bucket of ``order`` are totalled first, and buckets that start past
-    the cap are dropped before the join of texts. ``order`` is a dense unique
-    number, so a bucket holds at most ``rows_per_bucket`` rows.
-    """
-    texts = df.filter(F.col(images).isNotNull()).select(
-        F.col(order).alias("_order"),
-        F.expr(f"`{order}` div {rows_per_bucket}").alias("_bucket"),
-        _row_text(F.col(images)).alias("_text"),
-    )
-    sizes = texts.groupBy("_bucket").agg(F.sum(F.octet_length("_text") + len(JOINER)).alias("_bytes"))
-    needed = running_totals(sizes, ["_bucket"], "_bytes").filter(F.col("_before") < max_bytes).select("_bucket")
-    # a row adds at least the joiner, so at most max_bytes / 2 buckets are needed
-    gathered = texts.join(F.broadcast(needed), "_bucket", "left_semi").agg(
-        F.expr(f"listagg(_text, '{JOINER}') WITHIN GROUP (ORDER BY _order)").alias("_all")
-    )
-    return gathered.select(_cut_bytes(F.col("_all"), max_bytes).alias("image"))
-
-
-def with_table_wide_images(df: DataFrame, order: str = "id", images: str = "images") -> DataFrame:
-    """Add ``image``: the same table-wide list on every row (scalar subquery)."""
-    return df.withColumn("image", image_concat_all(df, order, images).scalar())

@@ -183,7 +183,7 @@ def raw_feed(part: DataFrame, feed: str) -> DataFrame:
         "concat('C', k % 3) AS connector",
         "concat('B', k % 4) AS pin",
         "concat('O', k % 5) AS os",
-        f"array_join(transform(sequence(1L, 1 + k % 4), i -> {url}), ', ') AS images",
+        f"array_join(transform(sequence(1L, 1 + k % 14), i -> {url}), ', ') AS images",
         f"TIMESTAMP_NTZ'{CREATED}' AS created_at",
     )
 

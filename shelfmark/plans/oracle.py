@@ -43,7 +43,7 @@ def _weights(templates) -> str:
 
 def _images(prefix: str) -> str:
     return (
-        f"list_aggregate(['{prefix}https://shop/p' || k || '_' || i || '.png' for i in range(1, 2 + k % 4)],"
+        f"list_aggregate(['{prefix}https://shop/p' || k || '_' || i || '.png' for i in range(1, 2 + k % 14)],"
         " 'string_agg', ', ')"
     )
 
@@ -238,10 +238,6 @@ SELECT page_id, CAST(length(h) AS BIGINT) AS chars, md5(h) AS html_md5 FROM (
     '<div class="', '<div data-image="' || p || '//img.example/') AS h
   FROM (SELECT page_id, html, CASE WHEN url LIKE 'https%' THEN 'https:' ELSE 'http:' END AS p FROM pages))"""
 
-_CONCAT = """SELECT string_agg(list_aggregate(['https://shop/p' || k || '_' || (1 + k % 4) || '.png'
-  for i in range(0, 1 + k % 4)], 'string_agg', ', '), ', ' ORDER BY k) AS image
-  FROM (SELECT p_partkey AS k FROM part)"""
-
 _DEDUP = """SELECT p_partkey, p_name, p_brand, p_type, CAST(p_size AS BIGINT) AS p_size, p_retailprice FROM part s1
   WHERE NOT EXISTS (SELECT 1 FROM part s2 WHERE s2.p_name = s1.p_name AND s2.p_brand = s1.p_brand
     AND s2.p_partkey < s1.p_partkey)"""
@@ -296,12 +292,7 @@ ORACLE: dict[str, str] = {
     "image_list": _parsed("a", "image"),
     "split_images": (
         f"SELECT k + 1 AS id, CAST(i AS BIGINT) AS n, '{_PREFIX}https://shop/p' || k || '_' || i || '.png' AS url"
-        " FROM (SELECT p_partkey AS k, unnest(range(1, 2 + p_partkey % 4)) AS i FROM part)"
-    ),
-    "image_concat_all": f"SELECT left(image, 1000000) AS image FROM ({_CONCAT})",
-    "image_scalar_column": (
-        "SELECT p_partkey + 1 AS id, CAST(length(image) AS BIGINT) AS image_chars, md5(image) AS image_md5"
-        f" FROM part, (SELECT left(image, 1000000) AS image FROM ({_CONCAT}))"
+        " FROM (SELECT p_partkey AS k, unnest(range(1, 2 + p_partkey % 14)) AS i FROM part)"
     ),
     "dedup_keep_first": _DEDUP,
     "drop_incomplete": _with(

@@ -77,17 +77,6 @@ def split_images(spark: SparkSession, sf: str) -> DataFrame:
     return report(I.split_images(D.raw(spark, sf, "a").select("id", "images")))
 
 
-def image_concat_all(spark: SparkSession, sf: str) -> DataFrame:
-    return I.image_concat_all(D.raw(spark, sf, "a"))
-
-
-def image_scalar_column(spark: SparkSession, sf: str) -> DataFrame:
-    raw = D.raw(spark, sf, "a").select("id", "images")
-    whole = I.image_concat_all(raw)
-    chars = whole.select(F.char_length("image").cast("long")).scalar()
-    return raw.select("id", chars.alias("image_chars"), whole.select(F.md5("image")).scalar().alias("image_md5"))
-
-
 # --- staging -------------------------------------------------------------------
 
 
@@ -340,8 +329,6 @@ QUERIES: dict[str, Query] = {
     "parse_size_b": _parse_size("b"),
     "image_list": image_list,
     "split_images": split_images,
-    "image_concat_all": image_concat_all,
-    "image_scalar_column": image_scalar_column,
     "dedup_keep_first": dedup_keep_first,
     "drop_incomplete": drop_incomplete,
     "stage_feed_a": _stage_feed("a"),

@@ -6,7 +6,7 @@ import re
 from collections.abc import Mapping, Sequence
 from typing import Any
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -29,6 +29,30 @@ def _unescape(text: str) -> str:
     return text.replace("\\r", "\r").replace("\\n", "\n").replace("\\t", "\t")
 
 
+#: Escapes of a feed file: what stands in a text, and what the file has for it.
+ESCAPES = (("\\", "\\\\"), ("\n", "\\n"), ("\r", "\\r"), ("\t", "\\t"), ("\0", "\\0"))
+
+
+def _escaped(text: Column) -> Column:
+    """Line breaks and backslashes as escapes, so that a record is one line."""
+    for raw, shown in ESCAPES:
+        text = F.replace(text, F.lit(raw), F.lit(shown))
+    return text
+
+
+def _read_escapes(text: Column) -> Column:
+    """The text that an escaped one stands for; a backslash before any other character goes."""
+
+    def between(part: Column) -> Column:
+        for raw, shown in ESCAPES[1:]:
+            part = F.replace(part, F.lit(shown), F.lit(raw))
+        return F.replace(part, F.lit("\\"), F.lit(""))
+
+    # doubled backslashes part the text, so no other escape can begin in one
+    plain = F.array_join(F.transform(F.split(text, r"\\\\", -1), between), "\\")
+    return F.when(F.contains(text, F.lit("\\")), plain).otherwise(text)
+
+
 def csv_options(config: Mapping[str, Any]) -> dict[str, str]:
     dialect = {**DIALECT, **{k: v for k, v in config.items() if k in DIALECT and v is not None}}
     quote = dialect["optionally_enclosed_by"]
@@ -54,8 +78,10 @@ def load_csv(spark: SparkSession, path: str | list[str], config: Mapping[str, An
 
     A file is read in blocks by many tasks. Only the row count of each block goes
     through a global running total; a row's number is its block's offset plus its
-    place in the block, so numbering needs no shuffle of the rows. Quoted line
-    breaks are not supported, which is what lets one file be split.
+    place in the block, so numbering needs no shuffle of the rows. A record is one
+    line, which is what lets one file be split: line breaks inside a text are written
+    as escapes (``\\n``), as ``export_csv`` does, and read back, like every other
+    escape by a backslash. ``\\N`` is NULL.
     """
     columns = map_columns(config["staging_fields"])
     skip = int(config.get("ignore_rows") if config.get("ignore_rows") is not None else DIALECT["ignore_rows"])
@@ -63,7 +89,7 @@ def load_csv(spark: SparkSession, path: str | list[str], config: Mapping[str, An
     reader = spark.read.schema(schema).options(**csv_options(config))
     if skip == 1:
         reader = reader.option("header", "true").option("enforceSchema", "true")
-    rows = reader.csv(path)
+    rows = reader.csv(path).withColumns({c: _read_escapes(F.col(c)) for c in columns})
     if not numbered and skip <= 1:
         return rows
     return _numbered(rows, columns, skip if skip > 1 else 0)
@@ -109,7 +135,7 @@ def export_csv(df: DataFrame, path: str) -> int:
     The count is observed by the writing job itself, not by a second pass.
     """
     written = Observation("csv_export")
-    texts = df.select(*[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in df.columns])
+    texts = df.select(*[F.coalesce(_escaped(F.col(c).cast("string")), F.lit(NULL_TEXT)).alias(c) for c in df.columns])
     (
         texts.observe(written, F.count("*").alias("rows"))
         .write.mode("overwrite")
@@ -121,10 +147,14 @@ def export_csv(df: DataFrame, path: str) -> int:
 
 
 def file_stats(df: DataFrame) -> DataFrame:
-    """One row: ``rows``, ``bytes`` and ``size_kb`` (rounded up) of the files read."""
-    per_file = df.select(
-        F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_size").alias("_bytes")
-    ).groupBy("_file", "_bytes").agg(F.count("*").alias("_rows"))
-    return per_file.agg(
-        F.coalesce(F.sum("_rows"), F.lit(0)).alias("rows"), F.coalesce(F.sum("_bytes"), F.lit(0)).alias("bytes")
-    ).withColumn("size_kb", F.ceil(F.col("bytes") / 1024))
+    """One row: ``rows``, ``bytes`` and ``size_kb`` (rounded up) of the files read.
+
+    Sizes come from the listing of the files, so files without rows count too; their
+    contents are not read for it.
+    """
+    files = df.inputFiles()
+    size = F.lit(0).cast("long")
+    if files:
+        size = df.sparkSession.read.format("binaryFile").load(files).agg(F.sum("length")).scalar()
+    counted = df.agg(F.count(F.lit(1)).alias("rows")).withColumn("bytes", size)
+    return counted.withColumn("size_kb", F.ceil(F.col("bytes") / 1024))

@@ -28,10 +28,28 @@ def test_roundtrip_of_tricky_texts(spark, tmp_path):
     path = str(tmp_path / "out")
     assert csv_feed.export_csv(df, path) == 4
     back = csv_feed.load_csv(spark, path, {"staging_fields": "k, a, b", "ignore_rows": 1}).orderBy("id").collect()
-    want = [(i + 1, *(None if v == "\\N" else v for v in row)) for i, row in enumerate(TRICKY)]
+    want = [(i + 1, *row) for i, row in enumerate(TRICKY)]
     assert [tuple(r) for r in back] == want
 
 
+def test_roundtrip_keeps_every_record_on_one_line(spark, tmp_path):
+    texts = ["a\nb", "a\r\nb", '"', '""', "\\", "\\\\n", "\\n", "\\N", "\t,\0", "", None, 'x"\ny\\']
+    df = spark.createDataFrame([(str(i), t) for i, t in enumerate(texts)], "k string, a string").coalesce(1)
+    path = str(tmp_path / "out")
+    assert csv_feed.export_csv(df, path) == len(texts)
+    (part,) = (tmp_path / "out").glob("part-*")
+    assert len(part.read_bytes().split(b"\n")) == len(texts) + 2
+    back = csv_feed.load_csv(spark, path, {"staging_fields": "k, a"}).orderBy("id").collect()
+    assert [(r.k, r.a) for r in back] == [(str(i), t) for i, t in enumerate(texts)]
+
+
+def test_file_stats_counts_files_without_rows(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("k\n")
+    (tmp_path / "b.csv").write_text("k\n1\n2\n")
+    read = csv_feed.load_csv(spark, str(tmp_path), {"staging_fields": "k"}, numbered=False)
+    assert tuple(csv_feed.file_stats(read).first()) == (2, 8, 1)
+
+
 @pytest.mark.parametrize("skip", [0, 1, 3])
 def test_rows_are_numbered_in_file_order_over_blocks(spark, tmp_path, skip):
     lines = [f"skip;{i}" for i in range(skip)] + [f"{i};text {i}" for i in range(3000)]
