@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfmark.operators.lookup import lookup
+from shelfmark.session import settle
 
 
 def orphans(fact: DataFrame, dim: DataFrame, fk: str, pk: str, row_id: str) -> DataFrame:
@@ -17,7 +18,7 @@ def orphans(fact: DataFrame, dim: DataFrame, fk: str, pk: str, row_id: str) -> D
     match go back to the rows, and those counts cut a hot one into slices.
     """
     keys = fact.filter(F.col(fk).isNotNull()).groupBy(fk).agg(F.count("*").alias("n"))
-    lost = keys.join(dim.select(F.col(pk).alias(fk)), fk, "left_anti")
+    lost = settle(keys.join(dim.select(F.col(pk).alias(fk)), fk, "left_anti"), "lost")
     return lookup(fact, lost.select(fk), [fk], "left_semi", row_id, counts=lost).select(*fact.columns)
 
 

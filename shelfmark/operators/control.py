@@ -11,7 +11,7 @@ from shelfmark.schemas import LOG_STATES
 
 # Allowed moves between log states, the text of a state in a report,
 # the pattern of a report time.
-MOVES = {"C_E": ("C_SE", "C_FE"), "C_SE": ("L_P",), "L_P": ("L_SE",)}
+MOVES = {"C_E": ("C_SE", "C_FE"), "C_SE": ("L_P",), "L_P": ("L_SE", "L_FE")}
 STATE_TEXT = {
     "C_E": "Crawling",
     "C_SE": "Crawl Success",

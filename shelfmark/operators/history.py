@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfmark.operators.calendar import date_fk
+from shelfmark.operators.checks import duplicate_keys
 from shelfmark.operators.lookup import all_present, fits, lookup
 from shelfmark.operators.ranking import number_rows
 from shelfmark.schemas import COMPARED, DIMENSION, DIMENSION_SCHEMA, KEYS, NEVER, PRODUCT
@@ -185,6 +186,9 @@ def scd2_load(dim: DataFrame, stg: DataFrame, calendar: DataFrame, as_of: str |
     """
     as_of = str(as_of)
     day = as_of[:10]
+    repeated = duplicate_keys(stg.where(all_present(KEYS)), KEYS).first()
+    if repeated is not None:
+        raise ValueError(f"a batch has one row per key, this one repeats {tuple(repeated)}")
     small = fits(stg)
     batch = settle(classify(stg, dim, small))
     changed_keys = batch.filter(F.col("_action") == CHANGED).groupBy(*KEYS).agg(F.max("n").alias("n"))

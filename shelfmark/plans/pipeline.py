@@ -27,6 +27,14 @@ from shelfmark.sources.pages import extract_fields
 from shelfmark.sources.tables import reload, write_dimension
 
 
+class LoadFailed(RuntimeError):
+    """The file could not be loaded; ``log`` is the log with the failed load."""
+
+    def __init__(self, message: str, log: DataFrame):
+        super().__init__(message)
+        self.log = log
+
+
 class ExportFailed(RuntimeError):
     """The pages could not be exported; ``log`` is the log with the failed run."""
 
@@ -67,6 +75,19 @@ def pages_to_csv(
     return log_update(log, done.withColumn("file_size", F.col("file_size").cast("decimal(10,2)")), as_of, check=True)
 
 
+def load_feeds(
+    staged: Sequence[DataFrame], dim: DataFrame, calendar: DataFrame, as_of: str
+) -> DataFrame:
+    """The dimension after loading one staged batch after the other.
+
+    Each feed numbers its rows from 1 and may carry a key that another one has, so the
+    batches are not one: every batch is merged into the result of those before it.
+    """
+    for stg in staged:
+        dim = settle(scd2_load(dim, stg, calendar, as_of), "dimension")
+    return dim
+
+
 def run_feed(
     raw: DataFrame,
     feed: FeedSpec | str,
@@ -112,19 +133,23 @@ def run_feed_files(
 
     The ready file is picked from the log, read with the dialect of its config row,
     staged (replacing the last batch), merged into a new snapshot of the dimension
-    and into a new mart. Raises when no file is ready.
+    and into a new mart. Raises when no file is ready. A load that fails raises
+    ``LoadFailed``, whose ``log`` says so.
     """
     feed = FEEDS[feed] if isinstance(feed, str) else feed
     day = day or as_of[:10]
     picked = ready_file(logs, configs, config["config_id"], day, feed.ready_day_column).first()
     if picked is None:
         require_rows(logs.limit(0))
-    loading = transition(logs, picked["file_log_id"], "L_P", as_of)
-
-    created = F.lit(as_of).cast("timestamp_ntz")
-    raw = load_csv(spark, picked["file_path"], config).withColumn("created_at", created)
-    stg = reload(stage_feed(raw, feed), paths.staging)
-    calendar = spark.read.parquet(paths.calendar)
-    dim = write_dimension(scd2_load(spark.read.parquet(paths.dim_in), stg, calendar, as_of), paths.dim_out)
-    mart_sync(spark.read.parquet(paths.mart_in), dim).write.mode("errorifexists").parquet(paths.mart_out)
-    return transition(settle(loading), picked["file_log_id"], "L_SE", as_of)
+    # stored before the load, so that a second run does not take the same file
+    loading = settle(transition(logs, picked["file_log_id"], "L_P", as_of), "log")
+    try:
+        created = F.lit(as_of).cast("timestamp_ntz")
+        raw = settle(load_csv(spark, picked["file_path"], config), "raw").withColumn("created_at", created)
+        stg = reload(stage_feed(raw, feed), paths.staging)
+        calendar = spark.read.parquet(paths.calendar)
+        dim = write_dimension(scd2_load(spark.read.parquet(paths.dim_in), stg, calendar, as_of), paths.dim_out)
+        mart_sync(spark.read.parquet(paths.mart_in), dim).write.mode("errorifexists").parquet(paths.mart_out)
+    except Exception as error:
+        raise LoadFailed(str(error), settle(transition(loading, picked["file_log_id"], "L_FE", as_of), "log")) from error
+    return transition(loading, picked["file_log_id"], "L_SE", as_of)

@@ -56,6 +56,10 @@ def ship_package(spark: SparkSession) -> None:
     _SHIPPED.add(context.applicationId)
 
 
+#: Private folder of each local application without a configured one.
+_LOCAL: dict[str, str | None] = {}
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new path in the shared folder, for a table a job writes and reads back.
 
@@ -66,8 +70,8 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     if shared is None:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        shared = tempfile.mkdtemp(prefix="shelfmark-")
-        spark.conf.set("spark.checkpoint.dir", shared)
+        shared = _LOCAL.setdefault(spark.sparkContext.applicationId, None) or tempfile.mkdtemp(prefix="shelfmark-")
+        _LOCAL[spark.sparkContext.applicationId] = shared
     return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 

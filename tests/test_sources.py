@@ -7,11 +7,11 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from shelfmark.operators import calendar
+from shelfmark.operators import calendar, checks, history
 from shelfmark.plans import derived as D
 from shelfmark.operators.control import AlreadyRun
-from shelfmark.plans.pipeline import ExportFailed, FeedPaths, pages_to_csv, run_feed_files
-from shelfmark.schemas import DIMENSION_SCHEMA, FEED_A_FIELDS, FEED_B_FIELDS, LOG_SCHEMA, MART_SCHEMA
+from shelfmark.plans.pipeline import ExportFailed, FeedPaths, LoadFailed, load_feeds, pages_to_csv, run_feed_files
+from shelfmark.schemas import DIMENSION_SCHEMA, FEED_A_FIELDS, FEED_B_FIELDS, KEYS, LOG_SCHEMA, MART_SCHEMA
 from shelfmark.sources import csv_feed, pages, spec, tables
 from shelfmark.sources.selectors import parse_html, select
 
@@ -208,6 +208,26 @@ def test_file_to_mart(spark, tmp_path, feed, fields):
     assert loaded.select(same).exceptAll(staged.select(same)).isEmpty()
     assert sorted(r.id for r in loaded.collect()) == list(range(1, loaded.count() + 1))
 
+    # the mart's folder is there already, so the same load now fails and the log says so
+    with pytest.raises(LoadFailed) as failed:
+        run_feed_files(spark, feed, config, logs, configs, FeedPaths(**{**p, "dim_out": p["dim_out"] + "2"}), D.AS_OF)
+    assert failed.value.log.first().status == "L_FE"
+
+
+def test_two_feeds_into_one_dimension(spark):
+    a = D.staged(spark, "/root/testdata/sf0.001", "a").orderBy("id").limit(60).cache()
+    b = a.where("id <= 30").withColumn("price", F.col("price") + 1).cache()
+    assert checks.duplicate_keys(a, KEYS).isEmpty()
+    dim = spark.createDataFrame([], DIMENSION_SCHEMA)
+    cal = calendar.date_dim(spark, *D.CALENDAR)
+    loaded = load_feeds([a, b], dim, cal, D.AS_OF)
+    current = loaded.where("NOT isDelete")
+    assert checks.duplicate_keys(current, KEYS).isEmpty()
+    assert current.count() == a.count() and loaded.count() == a.count() + b.count()
+    assert loaded.select("id").distinct().count() == loaded.count()
+    with pytest.raises(ValueError, match="one row per key"):
+        history.scd2_load(dim, a.unionByName(a), cal, D.AS_OF)
+
 
 def test_pages_to_csv(spark, tmp_path):
     df = spark.createDataFrame([(PAGE_A,), (PAGE_A,)], "html string")
