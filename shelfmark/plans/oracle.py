@@ -214,12 +214,14 @@ SELECT page_id, url, {_between("<title>", "</title>")} AS title, {_between("<h1>
   '' AS price, {_between("<title>", "</title>")} || ', ' || {_between("<footer>", "</footer>")} AS ends
 FROM pages"""
 
-_LINKS = """
-SELECT page_id, CAST(generate_subscripts(hrefs, 1) AS BIGINT) AS n, unnest(hrefs) AS href FROM (
-  SELECT page_id, [regexp_extract(b, '<a\\b[^>]*?\\bhref="([^"]*)"', 1, 's')
+_ENTITIES = "replace(replace(replace(replace({0}, '&copy;', '©'), '&middot;', '·'), '&quot;', '\"'), '&amp;', '&')"
+
+_LINKS = f"""
+SELECT page_id, CAST(generate_subscripts(hrefs, 1) AS BIGINT) AS n,
+  regexp_extract(url, '^https?://[^/]+') || {_ENTITIES.format("unnest(hrefs)")} AS href FROM (
+  SELECT page_id, url, [regexp_extract(b, '<a\\b[^>]*?\\bhref="([^"]*)"', 1, 's')
     for b in regexp_extract_all(html, '<li>.*?</li>', 0, 's')] AS hrefs FROM pages)"""
 
-_ENTITIES = "replace(replace(replace(replace({0}, '&copy;', '©'), '&middot;', '·'), '&quot;', '\"'), '&amp;', '&')"
 _LISTING = f"""
 SELECT page_id, CAST(generate_subscripts(hrefs, 1) AS BIGINT) AS n,
   regexp_extract(url, '^https?://[^/]+') || {_ENTITIES.format("unnest(hrefs)")} AS href

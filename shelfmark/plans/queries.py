@@ -17,6 +17,7 @@ from shelfmark.plans.pipeline import run_feed
 from shelfmark.schemas import KEYS
 from shelfmark.session import scratch_path, settle
 from shelfmark.sources import csv_feed, pages, spec
+from shelfmark.sources.markup import attribute, inner, opening
 
 Query = Callable[[SparkSession, str], DataFrame]
 DAY = "1997-05-28"
@@ -240,25 +241,21 @@ def file_stats(spark: SparkSession, sf: str) -> DataFrame:
 # --- pages ---------------------------------------------------------------------
 
 
-def _page_field(name: str, attr: str, kind: str, selector: str) -> dict[str, str]:
-    return {"field_name": name, "number": "single", "attr": attr, "type": kind, "selector": selector}
-
-
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+_NAV, _LINK = opening("nav"), opening("a") + inner("a")
 PAGE_SPEC = [
-    _page_field("title", "text", "css", "head title"),
-    _page_field("heading", "text", "xpath", "//article/h1"),
-    _page_field("lang", "lang", "css", "html[lang]"),
-    _page_field("nav_texts", "text", "css", "nav li a"),
-    _page_field("nav_links", "href", "css", "nav > ul > li > a"),
-    _page_field("first_nav", "text", "xpath", "//nav//li[1]/a"),
-    _page_field("ad", "text", "css", ".ad"),
-    _page_field("ad_by_sibling", "text", "xpath", "//nav/following-sibling::div[1]"),
-    _page_field(
-        "nav_with_e", "text", "xpath", f"//li[a[contains(translate(text(), '{UPPER}', '{LOWER}'), 'e')]]/a"
-    ),
-    _page_field("price", "text", "css", ".product-price"),
-    _page_field("ends", "text", "xpath", "//footer | //title"),
+    spec.rule("title", opening("title") + inner("title")),
+    spec.rule("heading", opening("h1") + inner("h1"), within=opening("article")),
+    spec.rule("lang", attribute("html", "lang"), "lang"),
+    spec.rule("nav_texts", _LINK, within=_NAV),
+    spec.rule("nav_links", attribute("a", "href"), "href", _NAV),
+    spec.rule("first_nav", _LINK, within=_NAV, number="first"),
+    spec.rule("ad", opening("div", "class", "ad") + inner("div")),
+    spec.rule("ad_by_sibling", r"</nav\s*>\s*" + opening("div") + inner("div")),
+    spec.rule("nav_with_e", f"{opening('a')}(?={inner('a')}){inner('a')}", within=_NAV, label="(?i)e"),
+    spec.rule("price", opening("span", "class", "product-price") + inner("span")),
+    spec.rule("ends", opening("title") + inner("title")),
+    spec.rule("ends", opening("footer") + inner("footer")),
 ]
 
 
@@ -271,7 +268,7 @@ def html_extract_links(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def html_listing_links(spark: SparkSession, sf: str) -> DataFrame:
-    return report(pages.listing_links(D.table(spark, sf, "pages"), "nav li", "a[href]"))
+    return report(pages.listing_links(D.table(spark, sf, "pages"), opening("li"), _NAV))
 
 
 def html_compose(spark: SparkSession, sf: str) -> DataFrame:

@@ -2,28 +2,34 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
-from urllib.parse import urljoin
+from collections.abc import Sequence
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfmark.functions.images import JOINER
-from shelfmark.session import ship_package
-from shelfmark.sources.selectors import parse_html, select
+from shelfmark.sources import markup
+from shelfmark.sources.spec import header
 
 
-def _extract_page(html: str | None, fields: Sequence[dict[str, str]]) -> list[str]:
-    if not html:
-        return [""] * len(fields)
-    root = parse_html(html)
-    row = []
-    for field in fields:
-        hits = select(root, field["type"], field["selector"])
-        attr = field["attr"]
-        row.append(JOINER.join(n.text() if attr == "text" else n.attrs.get(attr, "") for n in hits))
-    return row
+def _hits(page: Column, field: dict[str, str]) -> Column:
+    """All values of one rule of a specification on one page."""
+    pattern = f"(?s){field['selector']}"
+    if field["type"] not in ("value", "pair"):
+        raise ValueError(f"a rule is a value or a pair, not {field['type']}")
+    shown = markup.shown_text if field["attr"] == "text" else markup.decode_references
+
+    def found(part: Column) -> Column:
+        if field["type"] == "value":
+            return F.regexp_extract_all(part, F.lit(pattern), F.lit(1))
+        labels = F.regexp_extract_all(part, F.lit(pattern), F.lit(1))
+        values = F.regexp_extract_all(part, F.lit(pattern), F.lit(2))
+        pairs = F.arrays_zip(labels.alias("label"), values.alias("value"))
+        wanted = F.filter(pairs, lambda p: markup.shown_text(p["label"]).rlike(field["label"]))
+        return F.transform(wanted, lambda p: p["value"])
+
+    hits = F.flatten(F.transform(markup.elements(page, field["within"]), found)) if field.get("within") else found(page)
+    return F.transform(F.slice(hits, 1, 1) if field["number"] == "first" else hits, shown)
 
 
 def extract_fields(
@@ -31,81 +37,59 @@ def extract_fields(
 ) -> DataFrame:
     """One text column per field of the specification, next to the ``keep`` columns.
 
-    A field without a hit is an empty text, several hits are joined by ``', '``.
-    Loose HTML cannot be read by SQL functions, so pages go through Python workers
-    in Arrow batches; only the kept columns and the page itself are sent there. The
-    job needs no shuffle.
+    A rule of type ``value`` takes group 1 of its pattern, a ``pair`` takes group 2 where
+    the text of group 1 matches its label; with ``within`` only inside the elements that
+    begin with that tag. Several rules of one field add up. A field without a hit is an
+    empty text, several hits are joined by ``', '``. Native functions and no shuffle.
     """
-    fields = [dict(f) for f in fields]
-    names = [f["field_name"] for f in fields]
+    named: dict[str, list[dict[str, str]]] = {name: [] for name in header(fields)}
+    for field in fields:
+        named[field["field_name"]].append(field)
+    read = pages.select(*keep, markup.readable(F.col(html)).alias("_page"))
+    columns = [
+        F.array_join(F.concat(*[_hits(F.col("_page"), rule) for rule in rules]), JOINER).alias(name)
+        for name, rules in named.items()
+    ]
+    return read.select(*keep, *columns)
+
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            rows = [_extract_page(page, fields) for page in batch[html]]
-            values = pd.DataFrame(rows, columns=names, index=batch.index, dtype="object")
-            yield pd.concat([batch[list(keep)], values], axis=1)
+def _link_rows(pages: DataFrame, hrefs: Column, keep: Sequence[str], url: str) -> DataFrame:
+    linked = pages.select(*keep, F.col(url).alias("_url"), F.posexplode(F.filter(hrefs, lambda h: h != "")).alias("_pos", "_href"))
+    href = markup.absolute(F.trim(markup.decode_references(F.col("_href"))), F.col("_url"))
+    return linked.select(*keep, (F.col("_pos") + 1).alias("n"), href.alias("href"))
 
-    ship_package(pages.sparkSession)
-    source = pages.select(*keep, html)
-    schema = ", ".join(
-        [f"`{f.name}` {f.dataType.simpleString()}" for f in source.schema if f.name in keep]
-        + [f"`{n}` string" for n in names]
-    )
-    return source.mapInPandas(run, schema)
 
+def _first_href(block: Column) -> Column:
+    return F.regexp_extract(block, f"(?s){markup.attribute('a', 'href')}", 1)
 
-def extract_links(pages: DataFrame, block: str, keep: Sequence[str] = ("page_id",), html: str = "html") -> DataFrame:
+
+def extract_links(
+    pages: DataFrame, block: str, keep: Sequence[str] = ("page_id",), url: str = "url", html: str = "html"
+) -> DataFrame:
     """One row per product link: the first ``href`` inside each match of ``block``.
 
-    ``block`` is a regex for one product block of a listing page. Native functions
-    only; ``n`` is the place of the link on the page.
+    ``block`` is a regex for one product block of a listing page. Addresses are decoded
+    and made absolute with the page's own; ``n`` is the place of the link on the page.
     """
-    blocks = F.regexp_extract_all(F.col(html), F.lit(f"(?s){block}"), F.lit(0))
-    hrefs = F.transform(blocks, lambda b: F.regexp_extract(b, r'(?s)<a\b[^>]*?\bhref="([^"]*)"', 1))
-    linked = F.filter(hrefs, lambda h: h != "")
-    return pages.select(*keep, F.posexplode(linked).alias("_pos", "href")).select(
-        *keep, (F.col("_pos") + 1).alias("n"), "href"
-    )
+    blocks = F.regexp_extract_all(markup.readable(F.col(html)), F.lit(f"(?s){block}"), F.lit(0))
+    return _link_rows(pages, F.transform(blocks, _first_href), keep, url)
 
 
 def listing_links(
     pages: DataFrame,
-    blocks: str,
-    anchor: str | None = None,
+    block: str,
+    within: str | None = None,
     keep: Sequence[str] = ("page_id",),
     url: str = "url",
     html: str = "html",
 ) -> DataFrame:
-    """One row per product link of a listing page, found by CSS selectors.
-
-    With ``anchor`` it is the first hit of that selector inside each hit of
-    ``blocks``, without it the hits of ``blocks`` are the anchors. Addresses are made
-    absolute with the page's own; ``n`` is the place of the link on the page. Like
-    :func:`extract_fields` a job without a shuffle, for markup too nested for
-    :func:`extract_links`.
-    """
-    names = list(keep)
-
-    def links(page: str | None, address: str | None) -> list[str]:
-        if not page:
-            return []
-        hits = select(parse_html(page), "css", blocks)
-        if anchor:
-            hits = [found[0] for found in (select(hit, "css", anchor) for hit in hits) if found]
-        return [urljoin(address or "", hit.attrs.get("href", "")) for hit in hits]
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            batch["href"] = [links(page, address) for page, address in zip(batch["_html"], batch["_url"])]
-            yield batch[[*names, "href"]]
-
-    ship_package(pages.sparkSession)
-    source = pages.select(*names, F.col(url).alias("_url"), F.col(html).alias("_html"))
-    kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in source.schema if f.name in names)
-    found = source.mapInPandas(run, f"{kept}, href array<string>")
-    return found.select(*names, F.posexplode("href").alias("_pos", "href")).select(
-        *names, (F.col("_pos") + 1).alias("n"), "href"
-    )
+    """Like :func:`extract_links` for blocks that nest: ``block`` is the pattern of the
+    opening tag of a product block, ``within`` that of the elements to look in."""
+    page = markup.readable(F.col(html))
+    blocks = markup.elements(page, block)
+    if within:
+        blocks = F.flatten(F.transform(markup.elements(page, within), lambda part: markup.elements(part, block)))
+    return _link_rows(pages, F.transform(blocks, _first_href), keep, url)
 
 
 def absolutize_urls(html: Column, url: Column, attrs: Sequence[str] = ("src", "data-image")) -> Column:

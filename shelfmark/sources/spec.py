@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
+from shelfmark.sources.markup import attribute, inner, opening
+
 SPEC_SCHEMA = (
     "instance string, crawler string, extractor string,"
-    " fields array<struct<field_name string, number string, attr string, type string, selector string>>"
+    " fields array<struct<field_name string, number string, attr string, type string, selector string,"
+    " within string, label string>>"
 )
 
 
@@ -31,16 +35,28 @@ def read_spec(spark: SparkSession, text: str) -> list[dict[str, str]]:
 
 
 def header(fields: Sequence[dict[str, str]]) -> list[str]:
-    """CSV header of a specification: its field names in order."""
-    return [field["field_name"] for field in fields]
-
-
-def _field(name: str, attr: str, kind: str, selector: str, number: str = "single") -> dict[str, str]:
-    return {"field_name": name, "number": number, "attr": attr, "type": kind, "selector": selector}
+    """CSV header of a specification: its field names in the order of their first rules."""
+    return list(dict.fromkeys(field["field_name"] for field in fields))
+
+
+def rule(
+    name: str,
+    selector: str,
+    attr: str = "text",
+    within: str | None = None,
+    label: str | None = None,
+    number: str = "single",
+) -> dict[str, str | None]:
+    """One rule of a field; with a ``label`` the selector has a group for it and one for the value."""
+    kind = "value" if label is None else "pair"
+    return {
+        "field_name": name, "number": number, "attr": attr, "type": kind,
+        "selector": selector, "within": within, "label": label,
+    }
 
 
 # The labels next to the attribute values on the pages of the two
-# feeds, and the selectors of name, price and images.
+# feeds, and where name, price and images stand.
 LABELS_A = {
     "weight": "Trọng lượng",
     "size": "Kích thước",
@@ -61,44 +77,48 @@ LABELS_B = {
     "os": ("tương thích",),
     "pin": ("pin", "dung lượng"),
 }
-NAME_A, PRICE_A, IMAGES_A = ".box-product-name h1", ".product__price--show", (".swiper-wrapper img", "src")
-NAME_B, PRICE_B = ".product-name h1", ".pro-price.a"
-IMAGES_B = (".swiper-wrapper .product-gallery--photo", "data-image")
-# listing pages: product blocks and the anchor in a block (None: the blocks are anchors)
-LISTING_A = (".product-info", "a[href]")
-LISTING_B = (".collection-product .loaded .proloop-img > a[href]", None)
-
-
-def feed_a_spec() -> list[dict[str, str]]:
-    """An attribute is the first ``div`` after the ``p`` that holds its label."""
-    labelled = [
-        _field(name, "text", "xpath", f"//li//p[text()='{label}']/following-sibling::div[1]")
-        for name, label in LABELS_A.items()
-    ]
+HEADING = opening("h1") + inner("h1")
+NAME_A, NAME_B = opening("div", "class", "box-product-name"), opening("div", "class", "product-name")
+PRICE_A = opening("p", "class", "product__price--show") + inner("p")
+PRICE_B = opening("span", "class", "pro-price") + inner("span")
+GALLERY = opening("div", "class", "swiper-wrapper")
+IMAGES_A, IMAGES_B = attribute("img", "src"), attribute("a", "data-image")
+# listing pages: opening tags of the product blocks, and of what they stand in
+LISTING_A = (opening("div", "class", "product-info"), None)
+LISTING_B = (opening("p", "class", "proloop-img"), opening("div", "class", "collection-product"))
+
+
+def feed_a_spec() -> list[dict[str, str | None]]:
+    """An attribute is the ``div`` after the ``p`` that holds its label."""
+    pair = opening("p") + r"([^<]*+)</p\s*>\s*" + opening("div") + inner("div")
+    labelled = [rule(name, pair, label=f"^{re.escape(label)}$") for name, label in LABELS_A.items()]
     return labelled + [
-        _field("name", "text", "css", NAME_A),
-        _field("price", "text", "css", PRICE_A),
-        _field("images", IMAGES_A[1], "css", IMAGES_A[0], "multiple"),
+        rule("name", HEADING, within=NAME_A),
+        rule("price", PRICE_A),
+        rule("images", IMAGES_A, "src", GALLERY, number="multiple"),
     ]
 
 
-def _labelled_row(labels: Sequence[str]) -> str:
-    upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-
-    def any_label(of: str) -> str:
-        return " or ".join(f"contains(translate({of}, '{upper}', '{lower}'), '{label}')" for label in labels)
-
-    in_table = f"//section[@id='table-2']//tr[td[1][{any_label('.')}]]/td[2]"
-    in_list = f"//section[@id='table-1']//ul/li[div[{any_label('text()')}]]/div[2]"
-    return f"{in_table} | {in_list}"
+def _cells(tag: str, parent: str) -> str:
+    """The first two cells of a row."""
+    cell = opening(tag) + inner(tag)
+    return rf"{opening(parent)}\s*{cell}</{tag}\s*>\s*{cell}"
 
 
-def feed_b_spec() -> list[dict[str, str]]:
+def feed_b_spec() -> list[dict[str, str | None]]:
     """An attribute is the second cell of the row, or second ``div`` of the list
     entry, whose first holds one of its labels in any ASCII case."""
-    labelled = [_field(name, "text", "xpath", _labelled_row(labels)) for name, labels in LABELS_B.items()]
+    places = (
+        (opening("section", "id", "table-2"), _cells("td", "tr")),
+        (opening("section", "id", "table-1"), _cells("div", "li")),
+    )
+    labelled = [
+        rule(name, cells, within=section, label=f"(?i){'|'.join(map(re.escape, labels))}")
+        for name, labels in LABELS_B.items()
+        for section, cells in places
+    ]
     return labelled + [
-        _field("images", IMAGES_B[1], "css", IMAGES_B[0], "multiple"),
-        _field("name", "text", "css", NAME_B),
-        _field("price", "text", "css", PRICE_B),
+        rule("images", IMAGES_B, "data-image", GALLERY, number="multiple"),
+        rule("name", HEADING, within=NAME_B),
+        rule("price", PRICE_B),
     ]

@@ -3,6 +3,7 @@
 import csv
 import json
 import random
+from urllib.parse import urljoin
 
 import pytest
 from pyspark.sql import functions as F
@@ -12,8 +13,7 @@ from shelfmark.plans import derived as D
 from shelfmark.operators.control import AlreadyRun
 from shelfmark.plans.pipeline import ExportFailed, FeedPaths, LoadFailed, load_feeds, pages_to_csv, run_feed_files
 from shelfmark.schemas import DIMENSION_SCHEMA, FEED_A_FIELDS, FEED_B_FIELDS, KEYS, LOG_SCHEMA, MART_SCHEMA
-from shelfmark.sources import csv_feed, pages, spec, tables
-from shelfmark.sources.selectors import parse_html, select
+from shelfmark.sources import csv_feed, markup, pages, spec, tables
 
 TRICKY = [("1", 'say "hi"', "a,b"), ("2", "", "x\\y"), ("3", "ế", " sp "), ("4", "\\N", "end")]
 
@@ -114,39 +114,66 @@ def test_extract_fields_of_both_feeds(spark):
     assert spec.header(spec.feed_b_spec()) == list(FEED_B_FIELDS)
 
 
-def test_selectors():
-    root = parse_html("<div id=a class='x y'><p>1<p>2<p class=x>3</div><p data-k>4</p><script>var p='<p>';</script>")
+def _values(spark, column, *rows):
+    """``column`` over one-column rows."""
+    return [r[0] for r in spark.createDataFrame([(r,) for r in rows], "t string").select(column).collect()]
 
-    def texts(kind, selector):
-        return [n.text() for n in select(root, kind, selector)]
 
-    assert texts("css", "p") == ["1", "2", "3", "4"]
-    assert texts("css", "div.x.y > p.x") == ["3"] and texts("css", "#a p") == ["1", "2", "3"]
-    assert texts("css", "p[data-k]") == ["4"] and texts("css", "[id=a] .x") == ["3"]
-    assert texts("xpath", "//div/p[2]") == ["2"] and texts("xpath", "//p[@class='x' or text()='1']") == ["1", "3"]
-    assert texts("xpath", "//p[.='4'] | //div/p[1]") == ["1", "4"]
-    assert texts("xpath", "//div[@id='a'][contains(., '3')]/following-sibling::p") == ["4"]
-    assert texts("xpath", "//p[@class='x' and text()='1']") == []
-    with pytest.raises(ValueError):
-        select(root, "xpath", "//p[last()]")
+def test_elements_nest(spark):
+    got = _values(
+        spark,
+        markup.elements(F.col("t"), markup.opening("div", "class", "x")),
+        "<div class='y x'><div>1</div>2</div>3",
+        '<div class=x>a<p>b<DIV id=1>c',
+        '<div class="xy">a</div>',
+        "",
+        '<div class="x">' + "<div>" * 3000 + "</div>" * 3000 + "k</div>no",
+    )
+    assert got[:4] == [["<div>1</div>2"], ["a<p>b<DIV id=1>c"], [], []]
+    assert len(got[4][0]) == 3000 * 11 + 1
+
+
+def test_shown_text_and_references(spark):
+    texts = [
+        ("a &amp;amp; b", "a &amp; b"), ("&#233;&#xE9;&eacute;&copy 1", "ééé© 1"), ("&nope; & &#; &", "&nope; & &#; &"),
+        ("&#0;&#xD800;&#9999999;", "\ufffd" * 3), ("<p>a<br>b</p><b>c</b>d < e", "a b cd < e"), ("", ""), (None, None),
+        ("&#128512;", "\U0001f600"), ("x" * 200_000 + "&lt;", "x" * 200_000 + "<"),
+    ]
+    assert _values(spark, markup.shown_text(F.col("t")), *[t for t, _ in texts]) == [want for _, want in texts]
+
 
+def test_absolute_addresses(spark):
+    page = "https://h.x/a/b?q=1/2#f"
+    for href in ("/1", "c", "//o/1", "http://o/2", "?z", "#g", "", "c/d?e"):
+        assert _values(spark, markup.absolute(F.col("t"), F.lit(page)), href) == [urljoin(page, href)], href
+    assert _values(spark, markup.absolute(F.col("t"), F.lit("http://h.x")), "c") == ["http://h.x/c"]
+    assert _values(spark, markup.absolute(F.col("t"), F.lit(None).cast("string")), "c") == ["c"]
 
-def test_broken_markup_is_read_somehow():
+
+def test_broken_markup_is_read_somehow(spark):
     rng = random.Random(1)
     pieces = ["<", ">", "<![", "foo", "[", "if", "]]>", "<!", "--", "<!--", "-->", "<p", "/", "</p>", "a=", '"', "'", " "]
     pieces += ["&", "&#", "&#x", "&amp", "<?", "<script>", "</script", "\n", "\x00", "<style>", "é", "<li>", "</li>"]
-    for _ in range(20_000):
-        text = "".join(rng.choice(pieces) for _ in range(rng.randrange(1, 12)))
-        select(parse_html(text), "css", "li p")
-    assert select(parse_html("<title>a &amp</title><p>b"), "css", "title")[0].text() == "a &"
-    assert [n.text() for n in select(parse_html("<p>a<![if x]>b<![endif]></p>"), "css", "p")] == ["ab"]
+    texts = [(i, "".join(rng.choices(pieces, k=rng.randrange(1, 12))), None) for i in range(5000)]
+    df = spark.createDataFrame(texts, "page_id int, html string, url string")
+    assert pages.extract_fields(df, spec.feed_a_spec()).count() == 5000
+    long = spark.createDataFrame([(1, "<div>" + "a<b>" * 200_000 + "</div>" + "<p>x</p><div>" * 2000, "u")], df.schema)
+    assert len(pages.extract_fields(long, spec.feed_b_spec()).collect()) == 1
+
+
+def test_extraction_is_native(spark):
+    df = spark.createDataFrame([(1, PAGE_A, "a")], "page_id int, html string, url string")
+    plan = pages.extract_fields(df, spec.feed_a_spec())._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "MapIn" not in plan and "Exchange" not in plan
+    with pytest.raises(ValueError, match="value or a pair"):
+        pages.extract_fields(df, [dict(spec.feed_a_spec()[0], type="css")])
 
 
 def test_links_fragments_and_urls(spark):
     html = '<div class="p"><a href="/1">a</a><a href="/2">b</a></div><div class="p"><i></i></div><div class="p"><a x=1 href="/3">c</a></div>'
     df = spark.createDataFrame([(1, "https://s/x", html), (2, "http://s/y", None)], "page_id int, url string, html string")
     links = pages.extract_links(df, '<div class="p">.*?</div>').collect()
-    assert [(r.page_id, r.n, r.href) for r in links] == [(1, 1, "/1"), (1, 2, "/3")]
+    assert [(r.page_id, r.n, r.href) for r in links] == [(1, 1, "https://s/1"), (1, 2, "https://s/3")]
     rows = pages.compose_fragments(df, "s", [("<i>.*?</i>", None), ("<table>", "t")]).orderBy("page_id").collect()
     assert rows[0].fragment == '<section id="s">\n<i></i>\n<section id="t"></section>\n</section>'
     assert rows[1].fragment == '<section id="s">\n\n<section id="t"></section>\n</section>'
@@ -239,7 +266,7 @@ def test_pages_to_csv(spark, tmp_path):
     assert [(r.name, r.images) for r in rows] == [("Chuột X1", "a.png, b.png")] * 2
     with pytest.raises(AlreadyRun):
         pages_to_csv(df, spec.feed_a_spec(), path, log, 2, D.AS_OF)
-    bad = [dict(spec.feed_a_spec()[0], selector="//p[last()]")]
+    bad = [dict(spec.feed_a_spec()[0], type="css")]
     with pytest.raises(ExportFailed) as failed:
         pages_to_csv(df, bad, path, log, 3, D.AS_OF)
     assert {r.config_id: r.status for r in failed.value.log.collect()} == {2: "C_SE", 3: "C_FE"}
