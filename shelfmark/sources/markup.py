@@ -8,6 +8,7 @@ are possessive: Java runs those in a loop, so long texts cannot exhaust the stac
 from __future__ import annotations
 
 import html.entities
+import json
 import re
 
 from pyspark.sql import Column
@@ -41,7 +42,7 @@ def readable(page: Column) -> Column:
     """The page without comments, scripts and styles, with all attribute values in double
     quotes where that is safe; a null page is empty."""
     page = F.regexp_replace(F.coalesce(page, F.lit("")), r"(?is)<!--.*?-->|<(script|style)\b.*?</\1\s*>", "")
-    return F.regexp_replace(page, r"(?s)(\s[\w-]+)\s*=\s*'([^'\"<>]*+)'", '$1="$2"')
+    return F.regexp_replace(page, r"=\s*'([^'\"<>]*+)'(?=[^<>]*+>)", '="$1"')
 
 
 def element_body(rest: Column, tag: str) -> Column:
@@ -81,7 +82,7 @@ def decode_references(text: Column) -> Column:
     """Character references decoded once; named ones are those of HTML 4, and the old
     ones also count without a semicolon."""
     names = {name: chr(code) for name, code in html.entities.name2codepoint.items()} | {"apos": "'"}
-    table = F.create_map(*[F.lit(x) for pair in names.items() for x in pair])
+    table = F.from_json(F.lit(json.dumps(names)), "map<string,string>")  # a constant to the optimizer
 
     def decoded(piece: Column) -> Column:
         decimal, hexa, name, bare = (F.regexp_extract(piece, _REFERENCE, i) for i in range(1, 5))

@@ -12,24 +12,19 @@ from shelfmark.sources import markup
 from shelfmark.sources.spec import header
 
 
-def _hits(page: Column, field: dict[str, str]) -> Column:
-    """All values of one rule of a specification on one page."""
-    pattern = f"(?s){field['selector']}"
-    if field["type"] not in ("value", "pair"):
-        raise ValueError(f"a rule is a value or a pair, not {field['type']}")
-    shown = markup.shown_text if field["attr"] == "text" else markup.decode_references
-
-    def found(part: Column) -> Column:
-        if field["type"] == "value":
-            return F.regexp_extract_all(part, F.lit(pattern), F.lit(1))
-        labels = F.regexp_extract_all(part, F.lit(pattern), F.lit(1))
-        values = F.regexp_extract_all(part, F.lit(pattern), F.lit(2))
-        pairs = F.arrays_zip(labels.alias("label"), values.alias("value"))
-        wanted = F.filter(pairs, lambda p: markup.shown_text(p["label"]).rlike(field["label"]))
-        return F.transform(wanted, lambda p: p["value"])
-
-    hits = F.flatten(F.transform(markup.elements(page, field["within"]), found)) if field.get("within") else found(page)
-    return F.transform(F.slice(hits, 1, 1) if field["number"] == "first" else hits, shown)
+def _found(part: Column, kind: str, selector: str) -> Column:
+    """Values, or pairs of label text and value, in one part of a page."""
+    pattern = F.lit(f"(?s){selector}")
+    if kind == "value":
+        return F.regexp_extract_all(part, pattern, F.lit(1))
+    labels = F.transform(F.regexp_extract_all(part, pattern, F.lit(1)), markup.shown_text)
+    return F.arrays_zip(labels.alias("label"), F.regexp_extract_all(part, pattern, F.lit(2)).alias("value"))
+
+
+def _hits(found: Column, rule: dict[str, str]) -> Column:
+    if rule["type"] == "pair":
+        found = F.transform(F.filter(found, lambda p: p["label"].rlike(rule["label"])), lambda p: p["value"])
+    return F.slice(found, 1, 1) if rule["number"] == "first" else found
 
 
 def extract_fields(
@@ -40,17 +35,39 @@ def extract_fields(
     A rule of type ``value`` takes group 1 of its pattern, a ``pair`` takes group 2 where
     the text of group 1 matches its label; with ``within`` only inside the elements that
     begin with that tag. Several rules of one field add up. A field without a hit is an
-    empty text, several hits are joined by ``', '``. Native functions and no shuffle.
+    empty text, several hits are joined by ``', '``. Native functions and no shuffle; each
+    element and each pattern is looked for once, however many fields use it.
     """
-    named: dict[str, list[dict[str, str]]] = {name: [] for name in header(fields)}
-    for field in fields:
-        named[field["field_name"]].append(field)
-    read = pages.select(*keep, markup.readable(F.col(html)).alias("_page"))
-    columns = [
-        F.array_join(F.concat(*[_hits(F.col("_page"), rule) for rule in rules]), JOINER).alias(name)
-        for name, rules in named.items()
-    ]
-    return read.select(*keep, *columns)
+    if bad := {f["type"] for f in fields} - {"value", "pair"}:
+        raise ValueError(f"a rule is a value or a pair, not {bad.pop()}")
+    kept = [F.col(f"`{k}`") for k in keep]
+    scopes = list(dict.fromkeys(f.get("within") for f in fields))
+    places = list(dict.fromkeys((f.get("within"), f["type"], f["selector"]) for f in fields))
+
+    def look(place: tuple[str | None, str, str]) -> Column:
+        within, kind, selector = place
+        parts = F.col(f"_scope{scopes.index(within)}")
+        return F.flatten(F.transform(parts, lambda part: _found(part, kind, selector)))
+
+    def rows(attrs_are_text: bool, name: str) -> Column:
+        rules = [f for f in fields if f["field_name"] == name and (f["attr"] == "text") == attrs_are_text]
+        hits = [_hits(F.col(f"_at{places.index((r.get('within'), r['type'], r['selector']))}"), r) for r in rules]
+        return F.concat(*hits) if hits else F.array().cast("array<string>")
+
+    names = header(fields)
+    page = F.col("_page")
+    read = pages.select(*kept, markup.readable(F.col(html)).alias("_page"))
+    read = read.select(*kept, *[(markup.elements(page, w) if w else F.array(page)).alias(f"_scope{i}") for i, w in enumerate(scopes)])
+    read = read.select(*kept, *[look(place).alias(f"_at{i}") for i, place in enumerate(places)])
+    read = read.select(
+        *kept,
+        F.transform(F.array(*[rows(True, n) for n in names]), lambda hits: F.transform(hits, markup.shown_text)).alias("_texts"),
+        F.transform(F.array(*[rows(False, n) for n in names]), lambda hits: F.transform(hits, markup.decode_references)).alias(
+            "_attrs"
+        ),
+    )
+    both = [F.concat(F.col("_texts")[i], F.col("_attrs")[i]) for i in range(len(names))]
+    return read.select(*kept, *[F.array_join(hits, JOINER).alias(name) for hits, name in zip(both, names)])
 
 
 def _link_rows(pages: DataFrame, hrefs: Column, keep: Sequence[str], url: str) -> DataFrame:
