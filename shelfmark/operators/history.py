@@ -43,24 +43,20 @@ def _seen_keys(dim: DataFrame) -> DataFrame:
     return dim.filter(all_present(KEYS)).groupBy(*KEYS).agg(F.lit(True).alias("_seen"))
 
 
-def _current_ranges(dim: DataFrame) -> DataFrame:
-    """Per key the smallest and largest value of each compared column.
+def _compared(keyed: DataFrame, dim: DataFrame, small: bool) -> DataFrame:
+    """Per row of the batch (``_row``, its id) whose key some version carries: the number
+    ``n`` of current versions, and whether one of them differs (``_differs``).
 
-    "Some current version differs from x in column c" holds exactly when the
-    smallest or the largest non-NULL c differs from x. So any number of versions of
-    a key shrinks to one row on the map side, and the join below is one to one.
+    One scan of the dimension. Versions are compared row by row, a hot key in slices, so
+    that only fixed-width values are aggregated; texts would be sorted for it.
     """
-    rows = current_rows(dim).filter(all_present(KEYS))
-    aggs = [F.count("*").alias("n")]
-    for c in COMPARED:
-        aggs += [F.min(c).alias(f"_lo_{c}"), F.max(c).alias(f"_hi_{c}")]
-    return rows.groupBy(*KEYS).agg(*aggs)
-
-
-def _differs_from_range() -> Column:
-    return reduce(
-        lambda a, b: a | b,
-        [(F.col(c) != F.col(f"_lo_{c}")) | (F.col(c) != F.col(f"_hi_{c}")) for c in COMPARED],
+    batch = keyed.select(F.col("id").alias("_row"), *KEYS, *[F.col(c).alias(f"_new_{c}") for c in COMPARED])
+    live = (F.col("isDelete") == F.lit(False)) & (F.col("expired_date") == F.lit(NEVER).cast("date"))
+    versions = dim.filter(all_present(KEYS)).select("id", *KEYS, *COMPARED, F.coalesce(live, F.lit(False)).alias("_live"))
+    pairs = lookup(versions, batch, KEYS, "inner", "id", small=small)
+    differs = reduce(lambda a, b: a | b, [F.col(c) != F.col(f"_new_{c}") for c in COMPARED])
+    return pairs.groupBy("_row").agg(
+        F.count_if("_live").alias("n"), F.max(F.col("_live") & F.coalesce(differs, F.lit(False))).alias("_differs")
     )
 
 
@@ -91,8 +87,8 @@ def changed_products(stg: DataFrame, dim: DataFrame, small: bool | None = None)
     """
     small = fits(stg) if small is None else small
     keyed = stg.filter(all_present(KEYS))
-    ranges = _current_ranges(_only_keys_of(dim, keyed, small))
-    return keyed.join(ranges, list(KEYS)).filter(_differs_from_range()).select(*stg.columns, "n")
+    changed = _compared(keyed, dim, small).filter("_differs")
+    return keyed.join(changed, keyed["id"] == changed["_row"]).select(*[keyed[c] for c in stg.columns], "n")
 
 
 def classify(stg: DataFrame, dim: DataFrame, small: bool | None = None) -> DataFrame:
@@ -102,14 +98,13 @@ def classify(stg: DataFrame, dim: DataFrame, small: bool | None = None) -> DataF
     """
     small = fits(stg) if small is None else small
     keyed = stg.filter(all_present(KEYS))
-    related = _only_keys_of(dim, keyed, small)
-    action = F.when(F.col("_seen").isNull(), NEW).when(_differs_from_range(), CHANGED)
+    compared = _compared(keyed, dim, small)
+    action = F.when(F.col("_row").isNull(), NEW).when(F.col("_differs"), CHANGED)
     matched = (
-        keyed.join(_seen_keys(related), list(KEYS), "left")
-        .join(_current_ranges(related), list(KEYS), "left")
+        keyed.join(compared, keyed["id"] == compared["_row"], "left")
         .withColumn("_action", action)
         .filter(F.col("_action").isNotNull())
-        .select(*stg.columns, "_action", "n")
+        .select(*[keyed[c] for c in stg.columns], "_action", "n")
     )
     loose = stg.filter(~all_present(KEYS)).withColumns({"_action": F.lit(NEW), "n": F.lit(None).cast("long")})
     return matched.unionByName(loose)

@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 BROADCAST_ROWS = 200_000
+BROADCAST_BYTES = 64 << 20
 ROWS_PER_TASK = 1_000_000
 NULL_LANES = 4096
 
@@ -20,12 +23,19 @@ def all_present(keys: Sequence[str]) -> Column:
 
 
 def fits(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
-    """Whether ``df`` has at most ``max_rows`` rows.
+    """Whether ``df`` has at most ``max_rows`` rows and ``BROADCAST_BYTES`` of texts.
 
     A plain count: it is combined on the map side, and a stored table is counted from
-    its footers. A limit before the count would gather rows in one task instead.
+    its footers. A limit before the count would gather rows in one task instead. The
+    texts are measured only where the count is within its bound.
     """
-    return df.count() <= max_rows
+    if df.count() > max_rows:
+        return False
+    sizes = [F.coalesce(F.octet_length(f"`{f.name}`"), F.lit(0)) for f in df.schema if isinstance(f.dataType, StringType)]
+    if not sizes:
+        return True
+    total = df.agg(F.sum(reduce(lambda a, b: a + b, sizes).cast("long"))).first()[0]
+    return (total or 0) <= BROADCAST_BYTES
 
 
 def lookup(

@@ -23,14 +23,12 @@ def mart_update(mart: DataFrame, dw: DataFrame) -> DataFrame:
     """Take over all values, also the id, of products that differ in the warehouse.
 
     Should a key have several current versions, the one with the highest id counts.
-    Both sides have one row per key, the warehouse after a map-side aggregate.
+    Both sides have one row per key; the warehouse's is found by a map-side aggregate of
+    ids, which pick their rows, so that no text is aggregated.
     """
-    latest = (
-        _undeleted(dw)
-        .filter(all_present(KEYS))
-        .groupBy(*KEYS)
-        .agg(F.max_by(F.struct(*_VALUES), F.col("id")).alias("_dw"))
-    )
+    rows = _undeleted(dw).filter(all_present(KEYS))
+    ids = rows.groupBy(*KEYS).agg(F.max("id").alias("id")).select("id")
+    latest = rows.join(ids, "id", "left_semi").select(*KEYS, F.struct(*_VALUES).alias("_dw"))
     differs = F.coalesce(reduce(lambda a, b: a | b, [F.col(c) != F.col(f"_dw.{c}") for c in COMPARED]), F.lit(False))
     joined = mart.join(latest, list(KEYS), "left").withColumn("_differs", differs)
     return joined.select(

@@ -26,13 +26,19 @@ def number_rows(
 ) -> DataFrame:
     """Add ``_number``: ``start`` + 1, + 2, ... in the order of ``lead`` and ``id_col``.
 
-    ``id_col`` is unique and roughly dense (a sequence number), so rows are cut into
-    ranges of it that hold at most ``rows_per_bucket`` rows each. Rows are ranked
-    inside their range in parallel; only the per-range counts are ordered globally,
-    and they come back through a broadcast of one row per range. The ranges depend
-    on the values alone, so a recomputed task numbers its rows the same way.
+    ``id_col`` is a unique integer. The span from its lowest to its highest value is cut
+    into as many equal ranges as the row count calls for, so there are never more than
+    rows / ``rows_per_bucket`` + 1 of them, however sparse the numbers are; where numbers
+    crowd, a range holds more rows and its task spills. Rows are ranked inside their range
+    in parallel; only the per-range counts are ordered globally, and they come back
+    through a broadcast of one row per range. The ranges depend on the values alone, so a
+    recomputed task numbers its rows the same way.
     """
-    keyed = df.withColumn("_range", F.expr(f"`{id_col}` div {rows_per_bucket}"))
+    low, high, rows = df.agg(F.min(id_col), F.max(id_col), F.count("*")).first()
+    low, high = low or 0, high or 0
+    width = max(1, -(-(high - low + 1) // (rows // rows_per_bucket + 1)))
+    # decimals, as the span of two longs may not be a long
+    keyed = df.withColumn("_range", F.expr(f"CAST(CAST(`{id_col}` AS DECIMAL(20, 0)) - {low} AS DECIMAL(38, 0)) div {width}"))
     by = [*lead, "_range"]
     counts = running_totals(keyed.groupBy(*by).agg(F.count("*").alias("_rows")), by, "_rows")
     offsets = counts.select(*by, "_before")

@@ -276,15 +276,51 @@ _STG_COLUMNS = "id, " + _PRODUCT + ", created_at, source"
 _UNION = "SELECT source, id, product_name, manufacturer, price, length, width, height, weight FROM"
 
 
+def _feed_steps(feed: str) -> str:
+    staged = _STAGED.replace("typed", f"typed_{feed}")
+    return f"typed_{feed} AS ({_typed(feed)}), stg_{feed} AS ({staged})"
+
+
 def _union_feeds() -> str:
-    parts = []
-    for feed in "ab":
-        staged = _STAGED.replace("typed", f"typed_{feed}")
-        parts.append((f"typed_{feed} AS ({_typed(feed)}), stg_{feed} AS ({staged})", f"{_UNION} stg_{feed}"))
-    return f"WITH {', '.join(c for c, _ in parts)} {' UNION ALL '.join(s for _, s in parts)}"
+    return f"WITH {_feed_steps('a')}, {_feed_steps('b')} {_UNION} stg_a UNION ALL {_UNION} stg_b"
+
 
+_FEED_ROWS = {f: f"WITH {_feed_steps(f)} {_UNION} stg_{f}" for f in "ab"}
+
+_TWO_FEEDS = f"""WITH {_feed_steps("a")}, {_feed_steps("b")},
+one AS (SELECT ROW_NUMBER() OVER (ORDER BY id) AS id, * EXCLUDE (id) FROM stg_a),
+pairs AS (SELECT s.id AS stg_id, d.id AS dim_id, ({_DIFFERS}) AS differs FROM stg_b s LEFT JOIN one d ON {_SAME_KEY}),
+act AS (SELECT stg_id, CASE WHEN MAX(dim_id) IS NULL THEN 0 WHEN BOOL_OR(COALESCE(differs, FALSE)) THEN 1 END AS a
+  FROM pairs GROUP BY stg_id),
+added AS (SELECT (SELECT MAX(id) FROM one) + ROW_NUMBER() OVER (ORDER BY a, id) AS new_id, s.*
+  FROM stg_b s JOIN act ON stg_id = id WHERE a IS NOT NULL),
+both_feeds AS (SELECT id, source, product_name, manufacturer, price, EXISTS (
+    SELECT 1 FROM pairs JOIN act USING (stg_id) WHERE dim_id = one.id AND a = 1) AS isDelete FROM one
+  UNION ALL SELECT new_id, source, product_name, manufacturer, price, FALSE FROM added)"""
 
 ORACLE: dict[str, str] = {
+    "staging_reload": _FEED_ROWS["b"],
+    "staging_append": _union_feeds(),
+    "load_two_feeds": f"{_TWO_FEEDS} SELECT * FROM both_feeds",
+    "check_dimension_keys": f"""{_TWO_FEEDS} SELECT versions, COUNT(*) AS keys FROM (
+      SELECT COUNT(*) AS versions FROM both_feeds WHERE NOT isDelete AND product_name IS NOT NULL
+        AND manufacturer IS NOT NULL GROUP BY product_name, manufacturer) GROUP BY versions""",
+    "dedup_collated": (
+        "SELECT MIN(p_partkey) AS p_partkey FROM part GROUP BY"
+        " lower(strip_accents(rtrim(p_name))), lower(strip_accents(rtrim(p_brand)))"
+    ),
+    "parse_size_ignore_case": _parsed("a", "length, width, height"),
+    "date_dim_copy": _DATE_DIM,
+    "ready_file": f"""WITH {_LOGS}, last AS (SELECT create_time AS t, config_id AS c FROM logs WHERE status = 'C_SE'
+      ORDER BY create_time DESC, config_id DESC LIMIT 1)
+    SELECT config_id, c_name AS process_name, file_log_id, file_path FROM logs JOIN last ON config_id = c
+      AND CAST(create_time AS DATE) = CAST(t AS DATE) JOIN customer ON config_id = c_custkey
+    WHERE status = 'C_SE' ORDER BY file_log_id LIMIT 1""",
+    "spec_shape": (
+        "SELECT c_custkey, CASE WHEN ok THEN 'i' END AS instance, CAST(CASE WHEN ok THEN 2 END AS BIGINT) AS n_fields,"
+        " CASE WHEN ok THEN c_name END AS field_name, CASE WHEN ok THEN c_mktsegment END AS selector"
+        " FROM (SELECT *, c_custkey % 10 <> 0 AS ok FROM customer)"
+    ),
     "parse_price_a": _parsed("a", "price"),
     "parse_price_b": _parsed("b", "price"),
     "parse_weight_a": _parsed("a", "weight"),

@@ -12,11 +12,12 @@ from shelfmark.functions import attributes as A
 from shelfmark.functions import images as I
 from shelfmark.operators import calendar as C
 from shelfmark.operators import checks, control, history, mart, staging
+from shelfmark.operators.lookup import all_present
 from shelfmark.plans import derived as D
-from shelfmark.plans.pipeline import run_feed
-from shelfmark.schemas import KEYS
+from shelfmark.plans.pipeline import load_feeds, run_feed
+from shelfmark.schemas import DIMENSION_SCHEMA, KEYS
 from shelfmark.session import scratch_path, settle
-from shelfmark.sources import csv_feed, pages, spec
+from shelfmark.sources import csv_feed, pages, spec, tables
 from shelfmark.sources.markup import attribute, inner, opening
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -90,6 +91,39 @@ def drop_incomplete(spark: SparkSession, sf: str) -> DataFrame:
     return report(staging.drop_incomplete(D.typed(spark, sf, "a")).select("id", "product_name", "price"))
 
 
+def dedup_collated(spark: SparkSession, sf: str) -> DataFrame:
+    """Keys without regard to case, accents and trailing spaces."""
+    varied = F.when(F.col("p_partkey") % 2 == 0, F.concat(F.upper("p_name"), F.lit("  "))).otherwise(F.col("p_name"))
+    part = D.table(spark, sf, "part").select("p_partkey", varied.alias("product_name"), F.col("p_brand").alias("manufacturer"))
+    kept = staging.dedup_keep_first(history.with_key_collation(part), KEYS, "p_partkey")
+    return report(kept.select("p_partkey"))
+
+
+def parse_size_ignore_case(spark: SparkSession, sf: str) -> DataFrame:
+    """The sizes of feed A, shouted."""
+    raw = D.raw(spark, sf, "a").select("id", F.upper("size").alias("size"))
+    return report(A.with_size_a(raw, ignore_case=True).select("id", "length", "width", "height"))
+
+
+def _stored(load: Callable[[DataFrame, DataFrame, str], DataFrame]) -> Query:
+    def query(spark: SparkSession, sf: str) -> DataFrame:
+        path = scratch_path(spark, "staging")
+        stored = load(D.staged(spark, sf, "a"), D.staged(spark, sf, "b"), path)
+        return report(stored.select("source", "id", *KEYS, "price", "length", "width", "height", "weight"))
+
+    return query
+
+
+def _reload(a: DataFrame, b: DataFrame, path: str) -> DataFrame:
+    tables.reload(a, path)
+    return tables.reload(b, path)
+
+
+def _append(a: DataFrame, b: DataFrame, path: str) -> DataFrame:
+    tables.reload(a, path)
+    return tables.append(b, path)
+
+
 def _stage_feed(feed: str) -> Query:
     return lambda spark, sf: report(staging.stage_feed(D.raw(spark, sf, feed), feed))
 
@@ -131,6 +165,14 @@ def scd2_load(spark: SparkSession, sf: str) -> DataFrame:
     return report(_loaded(spark, sf)[1])
 
 
+def load_two_feeds(spark: SparkSession, sf: str) -> DataFrame:
+    """Feed A loaded into an empty dimension, then feed B into the result."""
+    empty = spark.createDataFrame([], DIMENSION_SCHEMA)
+    feeds = [settle(D.staged(spark, sf, feed)) for feed in "ab"]
+    loaded = load_feeds(feeds, empty, _calendar(spark), D.AS_OF)
+    return report(loaded.select("id", "source", *KEYS, "price", "isDelete"))
+
+
 # --- mart ----------------------------------------------------------------------
 
 
@@ -165,9 +207,27 @@ def date_fk(spark: SparkSession, sf: str) -> DataFrame:
     return report(C.date_fk(orders, calendar, "o_orderdate", "date_fk"))
 
 
+def date_dim_copy(spark: SparkSession, sf: str) -> DataFrame:
+    """The calendar written as CSV, loaded, stored, and copied to the warehouse."""
+    source, staged, copied = (scratch_path(spark, name) for name in ("calendar-csv", "calendar", "calendar-copy"))
+    C.date_dim_covering(D.table(spark, sf, "orders"), "o_orderdate").write.options(header="false", quoteAll="true").csv(source)
+    tables.reload(csv_feed.load_date_dim(spark, source), staged)
+    return report(tables.copy_table(spark, staged, copied))
+
+
 # --- control -------------------------------------------------------------------
 
 
+def ready_file(spark: SparkSession, sf: str) -> DataFrame:
+    """The one ready file of a configuration on the last day it has one."""
+    logs = D.logs(spark, sf)
+    ready = logs.filter(F.col("status") == "C_SE")
+    picked = ready.agg(F.max(F.struct("create_time", "config_id")).alias("last")).select("last.*").first()
+    day = picked["create_time"].strftime("%Y-%m-%d")
+    one = control.ready_file(logs, D.configs(spark, sf), picked["config_id"], day)
+    return report(one.select("config_id", "process_name", "file_log_id", "file_path"))
+
+
 def ready_files(spark: SparkSession, sf: str) -> DataFrame:
     ready = control.ready_files(D.logs(spark, sf), D.configs(spark, sf))
     return report(ready.select("config_id", "process_name", "day", "file_log_id", "file_path"))
@@ -297,6 +357,19 @@ def spec_from_json(spark: SparkSession, sf: str) -> DataFrame:
 # --- checks --------------------------------------------------------------------
 
 
+def spec_shape(spark: SparkSession, sf: str) -> DataFrame:
+    """Specifications in their full shape, one per customer, read back."""
+    rule = F.struct(F.col("c_name").alias("field_name"), F.lit("single").alias("number"), F.lit("text").alias("attr"),
+                    F.lit("value").alias("type"), F.col("c_mktsegment").alias("selector"))
+    text = F.to_json(F.struct(F.lit("i").alias("instance"), F.array(rule, rule).alias("fields")))
+    parsed = spec.spec_from_json(F.when(F.col("c_custkey") % 10 == 0, F.lit("not json")).otherwise(text))
+    rows = D.table(spark, sf, "customer").select("c_custkey", parsed.alias("s"))
+    return report(rows.select(
+        "c_custkey", F.col("s.instance").alias("instance"), F.size("s.fields").alias("n_fields"),
+        F.col("s.fields")[1]["field_name"].alias("field_name"), F.col("s.fields")[1]["selector"].alias("selector"),
+    ))
+
+
 def check_fk(spark: SparkSession, sf: str) -> DataFrame:
     events, supplier = D.table(spark, sf, "events"), D.table(spark, sf, "supplier")
     lost = checks.orphans(events.select("event_id", "user_id", "event_type"), supplier, "user_id", "s_suppkey", "event_id")
@@ -307,6 +380,13 @@ def check_unique(spark: SparkSession, sf: str) -> DataFrame:
     return checks.duplicate_keys(D.table(spark, sf, "part"), ["p_name", "p_brand"])
 
 
+def check_dimension_keys(spark: SparkSession, sf: str) -> DataFrame:
+    """Per number of current versions, the number of complete keys after both feeds."""
+    current = load_two_feeds(spark, sf).where(~F.col("isDelete") & all_present(KEYS))
+    versions = current.groupBy(*KEYS).agg(F.count("*").alias("versions"))
+    return versions.groupBy("versions").agg(F.count("*").alias("keys"))
+
+
 def check_domain(spark: SparkSession, sf: str) -> DataFrame:
     return checks.violations(
         D.table(spark, sf, "orders"),
@@ -323,11 +403,15 @@ QUERIES: dict[str, Query] = {
     "parse_weight_a": _parse("a", "weight", A.parse_weight_a),
     "parse_weight_b": _parse("b", "weight", A.parse_weight_b),
     "parse_size_a": _parse_size("a"),
+    "parse_size_ignore_case": parse_size_ignore_case,
     "parse_size_b": _parse_size("b"),
     "image_list": image_list,
     "split_images": split_images,
     "dedup_keep_first": dedup_keep_first,
+    "dedup_collated": dedup_collated,
     "drop_incomplete": drop_incomplete,
+    "staging_reload": _stored(_reload),
+    "staging_append": _stored(_append),
     "stage_feed_a": _stage_feed("a"),
     "stage_feed_b": _stage_feed("b"),
     "union_feeds": union_feeds,
@@ -337,6 +421,7 @@ QUERIES: dict[str, Query] = {
     "expire_ids": expire_ids,
     "scd2_expire": scd2_expire,
     "scd2_load": scd2_load,
+    "load_two_feeds": load_two_feeds,
     "mart_update": _mart_step(mart.mart_update),
     "mart_insert": _mart_step(mart.mart_insert),
     "mart_delete": _mart_step(mart.mart_delete),
@@ -344,7 +429,9 @@ QUERIES: dict[str, Query] = {
     "pipeline_feed_a": _pipeline("a"),
     "pipeline_feed_b": _pipeline("b"),
     "date_dim": date_dim,
+    "date_dim_copy": date_dim_copy,
     "date_fk": date_fk,
+    "ready_file": ready_file,
     "ready_files": ready_files,
     "logs_on_day": logs_on_day,
     "log_by_id": log_by_id,
@@ -362,6 +449,8 @@ QUERIES: dict[str, Query] = {
     "absolutize_urls": absolutize_urls,
     "spec_from_json": spec_from_json,
     "check_fk": check_fk,
+    "spec_shape": spec_shape,
+    "check_dimension_keys": check_dimension_keys,
     "check_unique": check_unique,
     "check_domain": check_domain,
 }

@@ -69,7 +69,9 @@ def csv_options(config: Mapping[str, Any]) -> dict[str, str]:
     }
 
 
-def load_csv(spark: SparkSession, path: str | list[str], config: Mapping[str, Any], numbered: bool = True) -> DataFrame:
+def load_csv(
+    spark: SparkSession, path: str | list[str], config: Mapping[str, Any], numbered: bool = True, file_column: str | None = None
+) -> DataFrame:
     """All-text rows of the files under ``path``, read the way ``config`` says.
 
     ``config`` is a row of the config table (or a dict): field and line terminators,
@@ -90,8 +92,10 @@ def load_csv(spark: SparkSession, path: str | list[str], config: Mapping[str, An
     if skip == 1:
         reader = reader.option("header", "true").option("enforceSchema", "true")
     rows = reader.csv(path).withColumns({c: _read_escapes(F.col(c)) for c in columns})
+    if file_column and (numbered or skip > 1):
+        raise ValueError("rows with the address of their file are not numbered and skip the header at most")
     if not numbered and skip <= 1:
-        return rows
+        return rows.withColumn(file_column, F.col("_metadata.file_path")) if file_column else rows
     return _numbered(rows, columns, skip if skip > 1 else 0)
 
 

@@ -7,10 +7,11 @@ from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from shelfmark.sources.csv_feed import csv_options, map_columns
+from shelfmark.sources.csv_feed import load_csv
+
+FILES_PER_BATCH = 1000
 
 
 def load_new_files(
@@ -18,33 +19,38 @@ def load_new_files(
     folder: str,
     config: Mapping[str, Any],
     checkpoint: str,
-    load: Callable[[DataFrame, str], None],
+    load: Callable[[DataFrame, DataFrame], None],
+    files_per_batch: int = FILES_PER_BATCH,
 ) -> StreamingQuery:
     """Hand every file of ``folder`` that was not loaded before to ``load``, once.
 
-    ``load(rows, path)`` gets the all-text rows of one file, read in the dialect of
-    ``config``, and the file's path. The checkpoint remembers what has been loaded,
-    so it takes the place of the ready state and the run guard of the log. Each
-    start works off the new files, one per batch and oldest first, and ends.
+    ``load(rows, files)`` gets the all-text rows of up to ``files_per_batch`` files, read
+    in the dialect of ``config``, with the address of their file in ``_path``; and one row
+    per file (``_path``, ``bytes``, ``rows``), also for a file without rows. The
+    checkpoint remembers what has been loaded, so it takes the place of the ready state
+    and the run guard of the log. Each start works off the new files, oldest first, and
+    ends. What reaches the driver is the list of a batch's files, which has that bound.
     """
-    columns = map_columns(config["staging_fields"])
-    skip = config.get("ignore_rows", 1)
-    if skip not in (0, 1):
-        raise ValueError("a stream can skip no rows or the header row only")
-    schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
-    rows = (
-        spark.readStream.schema(schema)
-        .options(**csv_options(config))
-        .options(header="true" if skip else "false", maxFilesPerTrigger="1")
-        .csv(folder)
-        .withColumn("_path", F.col("_metadata.file_path"))
+    schema = "path string, modificationTime timestamp, length long, content binary"
+    # contents are not read, as no column needs them
+    arrived = (
+        spark.readStream.format("binaryFile")
+        .schema(schema)
+        .option("maxFilesPerTrigger", str(files_per_batch))
+        .load(folder)
+        .select("path", F.col("_metadata.file_path").alias("_path"), F.col("length").alias("bytes"))
     )
 
-    def one_file(batch: DataFrame, _: int) -> None:
-        first = batch.select("_path").first()
-        if first is not None:
-            load(batch.drop("_path"), first["_path"])
+    def one_batch(batch: DataFrame, _: int) -> None:
+        found = [tuple(row) for row in batch.collect()]
+        if not found:
+            return
+        rows = load_csv(spark, [path for path, _, _ in found], config, numbered=False, file_column="_path")
+        files = spark.createDataFrame([file[1:] for file in found], "_path string, bytes long")
+        counts = rows.groupBy("_path").agg(F.count("*").alias("rows"))
+        files = files.join(F.broadcast(counts), "_path", "left").na.fill(0, ["rows"])
+        load(rows, files)
 
     return (
-        rows.writeStream.trigger(availableNow=True).option("checkpointLocation", checkpoint).foreachBatch(one_file).start()
+        arrived.writeStream.trigger(availableNow=True).option("checkpointLocation", checkpoint).foreachBatch(one_batch).start()
     )

@@ -26,6 +26,22 @@ def test_number_rows_over_many_buckets(spark):
     assert {r.id: r["_number"] for r in got} == want
 
 
+def test_number_rows_of_sparse_ids(spark):
+    rng = random.Random(3)
+    ids = sorted({rng.randrange(-(2**63), 2**63) for _ in range(200)} | {-(2**63), 2**63 - 1, 0, 1, 2})
+    df = spark.createDataFrame([(i,) for i in ids], "id long").repartition(4)
+    got = ranking.number_rows(df, "id", rows_per_bucket=10).select("id", "_number").collect()
+    assert {r.id: r["_number"] for r in got} == {i: n for n, i in enumerate(ids, start=1)}
+    assert ranking.number_rows(df.limit(0), "id").count() == 0
+
+
+@pytest.mark.parametrize("small", [False, True])
+def test_no_text_is_aggregated(spark, small):
+    dim, stg = _make(spark, DIM, DIMENSION_SCHEMA), _make(spark, STG, STAGING_SCHEMA)
+    for df in (history.classify(stg, dim, small), mart.mart_update(_make(spark, [], MART_SCHEMA), dim)):
+        assert "SortAggregate" not in df._jdf.queryExecution().executedPlan().toString()
+
+
 @pytest.mark.parametrize("how", ["left", "left_semi", "left_anti", "inner"])
 @pytest.mark.parametrize("small", [False, True])
 def test_lookup_with_a_hot_key(spark, how, small):

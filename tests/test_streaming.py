@@ -1,5 +1,7 @@
 """Each file is loaded once, also over restarts."""
 
+from pyspark.sql import functions as F
+
 from shelfmark.streaming.arrivals import load_new_files
 
 
@@ -7,18 +9,31 @@ def test_each_new_file_is_loaded_once(spark, tmp_path):
     folder, checkpoint = tmp_path / "in", str(tmp_path / "checkpoint")
     folder.mkdir()
     config = {"staging_fields": "name, price", "ignore_rows": 1}
-    seen = []
+    batches = []
 
-    def load(rows, path):
-        seen.append((path.rsplit("/", 1)[1], sorted(tuple(r) for r in rows.collect())))
+    def size(name):
+        return (folder / name).stat().st_size
 
-    def run():
-        query = load_new_files(spark, str(folder), config, checkpoint, load)
-        query.awaitTermination()
+    def load(rows, files):
+        name = F.substring_index("_path", "/", -1)
+        batches.append((
+            sorted(tuple(r) for r in rows.select(name, "name", "price").collect()),
+            sorted(tuple(r) for r in files.select(name, "bytes", "rows").collect()),
+        ))
 
-    (folder / "one.csv").write_text('"name","price"\n"a","1.000đ"\n"b",""\n')
-    run()
+    def run(**options):
+        load_new_files(spark, str(folder), config, checkpoint, load, **options).awaitTermination()
+
+    for i in range(9):
+        (folder / f"f{i}.csv").write_text(f'"name","price"\n"a{i}","1\\n000đ"\n"b",""\n')
+    (folder / "none.csv").write_text('"name","price"\n')
     run()
-    (folder / "two.csv").write_text('"name","price"\n"c","2.000đ"\n')
     run()
-    assert seen == [("one.csv", [("a", "1.000đ"), ("b", "")]), ("two.csv", [("c", "2.000đ")])]
+    (rows, files), = batches
+    assert rows == sorted(r for i in range(9) for r in [(f"f{i}.csv", f"a{i}", "1\n000đ"), (f"f{i}.csv", "b", "")])
+    assert files == [(f"f{i}.csv", size(f"f{i}.csv"), 2) for i in range(9)] + [("none.csv", 15, 0)]
+    for name in ("x", "y y%20", "z"):
+        (folder / f"{name}.csv").write_text('"name","price"\n"c","2.000đ"\n')
+    run(files_per_batch=2)
+    assert [len(files) for _, files in batches[1:]] == [2, 1]
+    assert [f[-1] for _, files in batches[1:] for f in files] == [1, 1, 1]
