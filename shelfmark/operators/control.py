@@ -62,9 +62,8 @@ def ready_file(
 def ready_files(logs: DataFrame, configs: DataFrame, day_column: str = "create_time") -> DataFrame:
     """That file for every configuration and day: the ready one with the lowest id."""
     ready = logs.filter(F.col("status") == "C_SE").withColumn("day", F.to_date(day_column))
-    first = ready.groupBy("config_id", "day").agg(
-        F.min("file_log_id").alias("file_log_id"), F.min_by("file_path", "file_log_id").alias("file_path")
-    )
+    lowest = ready.groupBy("config_id", "day").agg(F.min("file_log_id").alias("file_log_id")).select("file_log_id")
+    first = ready.join(lowest, "file_log_id", "left_semi").select("config_id", "day", "file_log_id", "file_path")
     return lookup(first, configs, ["config_id"], "inner", "file_log_id", small=fits(configs))
 
 
