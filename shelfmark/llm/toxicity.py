@@ -1,10 +1,12 @@
 """Toxicity: character n-grams scaled by naive Bayes log-count ratios, one linear model.
 
-Every n-gram of the lower-cased text falls into one of ``2**BITS`` hash buckets. On the
-training texts Spark counts, for each bucket, the toxic and the other texts that hold
-it; the smoothed log ratio of the two shares scales the bucket's binary feature, and a
-ridge logistic regression learns one weight per scaled feature. A score is a sum over
-the distinct buckets of the whole text.
+Every n-gram of the lower-cased text falls into one of ``2**BITS`` hash buckets. A text
+has a bucket's k-th feature if at least k of its n-grams fall into it, for k up to
+``LEVELS``: words that others mention once, toxic texts repeat. On the training texts
+Spark counts, for each feature, the toxic and the other texts that have it; the smoothed
+log ratio of the two shares scales the binary feature, and a ridge logistic regression
+learns one weight per scaled feature. A score is a sum over the features of the whole
+text.
 
 Defined results: a null text scores as an empty one, which has no n-gram and scores by
 the intercept; repeated rows score alike; a null id is never held out nor trained on;
@@ -27,14 +29,19 @@ from shelfmark.llm.linear import fit_logistic, sigmoid
 
 BITS = 18
 SIZES = (4, 5, 6)
+#: Occurrences in a text that are told apart.
+LEVELS = 4
+FEATURES = LEVELS << BITS
 #: Labelled texts the model is fitted on at most.
 MAX_TRAINING = 12_000
-#: A bucket is a feature from this many training texts on ...
+#: A feature is used from this many training texts on ...
 MIN_TEXTS = 4
 #: ... and from this absolute log-count ratio on.
 MIN_RATIO = 1.0
 RIDGE = 2e-4
 PIECE = 400_000
+#: Code points of the texts whose n-grams are held at a time, a longer text apart.
+RUN = 2_000_000
 
 #: Odd multiplier of the k-th character of an n-gram.
 _MULTIPLIERS = [(0x9E3779B1 * (2 * k + 1)) % (1 << 32) | 1 for k in range(16)]
@@ -42,16 +49,19 @@ _MULTIPLIERS = [(0x9E3779B1 * (2 * k + 1)) % (1 << 32) | 1 for k in range(16)]
 
 @dataclass(frozen=True)
 class ToxicityModel:
-    """One weight per bucket (zero: no feature) and the intercept."""
+    """One weight per feature (zero: not used) and the intercept."""
 
     weights: np.ndarray
     intercept: float
 
 
 def grams(texts: pd.Series) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """(text number, bucket) of the n-grams, piece by piece, repeats included."""
+    """(text number, bucket) of the n-grams, piece by piece, each occurrence once."""
     lowered = texts.map(lambda t: f" {t.lower()} " if t else "")
-    for points, owner in pieces(lowered, PIECE, max(SIZES) - 1):
+    overlap, last = max(SIZES) - 1, -1
+    for points, owner in pieces(lowered, PIECE, overlap):
+        # a piece that goes on with a text begins with code points of the one before
+        goes_on, last = owner[0] == last, owner[-1]
         for size in SIZES:
             count = len(points) - size + 1
             if count <= 0:
@@ -61,40 +71,67 @@ def grams(texts: pd.Series) -> Iterator[tuple[np.ndarray, np.ndarray]]:
                 h = (h ^ (points[k : k + count] * np.uint32(_MULTIPLIERS[k]))) * np.uint32(0x01000193)
                 h ^= h >> np.uint32(15)
             inside = owner[:count] == owner[size - 1 :]
+            if goes_on:
+                inside[: overlap - size + 1] = False
             yield owner[:count][inside], (h[inside] >> np.uint32(32 - BITS)).astype(np.int64)
 
 
 def active(texts: pd.Series, used: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct (text number, bucket) with ``used[bucket]``."""
-    found = [np.empty(0, dtype=np.int64)]
+    """Distinct (text number, feature) with ``used[feature]``, ordered.
+
+    Feature ``k << BITS | bucket`` says that the text has the bucket more than k times.
+    """
+    wanted = used.reshape(LEVELS, -1).any(axis=0)
+    run = np.cumsum([len(t) if t else 0 for t in texts]) // RUN
+    starts = np.flatnonzero(np.diff(run, prepend=-1)) if len(texts) else []
+    numbers, features = [np.empty(0, dtype=np.int64)], [np.empty(0, dtype=np.int64)]
+    for a, b in zip(starts, [*starts[1:], len(texts)]):
+        number, feature = _active(texts.iloc[a:b], used, wanted)
+        numbers.append(number + a)
+        features.append(feature)
+    return np.concatenate(numbers), np.concatenate(features)
+
+
+def _active(texts: pd.Series, used: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The same for texts that fit together; ``wanted``: buckets with a used feature."""
+    found, times = [np.empty(0, dtype=np.int64)], [np.empty(0, dtype=np.int64)]
     for owner, bucket in grams(texts):
-        keep = used[bucket]
-        found.append(np.unique((owner[keep].astype(np.int64) << BITS) | bucket[keep]))
-    codes = np.unique(np.concatenate(found))
-    return codes >> BITS, codes & ((1 << BITS) - 1)
+        keep = wanted[bucket]
+        codes, n = np.unique((owner[keep].astype(np.int64) << BITS) | bucket[keep], return_counts=True)
+        found.append(codes)
+        times.append(n)
+    codes, place = np.unique(np.concatenate(found), return_inverse=True)
+    total = np.bincount(place, np.concatenate(times), minlength=len(codes))
+    number, bucket = codes >> BITS, codes & ((1 << BITS) - 1)
+    numbers, features = [], []
+    for k in range(LEVELS):  # a text's occurrences come from all of its pieces
+        often = total > k
+        numbers.append(number[often])
+        features.append(bucket[often] | (k << BITS))
+    number, feature = np.concatenate(numbers), np.concatenate(features)
+    kept = used[feature]
+    number, feature = number[kept], feature[kept]
+    order = np.lexsort((feature, number))
+    return number[order], feature[order]
 
 
 def _count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    total = np.zeros((2, 1 << BITS), dtype=np.int64)
-    present = np.zeros(1 << BITS, dtype=bool)
+    total = np.zeros((2, FEATURES), dtype=np.int64)
+    every = np.ones(FEATURES, dtype=bool)
     for batch in batches:
         for text, y in zip(batch["text"], batch["y"].astype(int)):
-            for _, bucket in grams(pd.Series([text])):
-                present[bucket] = True
-            found = np.flatnonzero(present)
-            total[y, found] += 1
-            present[found] = False
+            total[y, active(pd.Series([text]), every)[1]] += 1
     seen = np.flatnonzero(total.any(axis=0))
-    yield pd.DataFrame({"bucket": seen, "neg": total[0][seen], "pos": total[1][seen]})
+    yield pd.DataFrame({"feature": seen, "neg": total[0][seen], "pos": total[1][seen]})
 
 
 def _features(used):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            number, bucket = active(batch["text"], used.value)
+            number, feature = active(batch["text"], used.value)
             ends = np.searchsorted(number, np.arange(1, len(batch)))
-            lists = [part.astype("<i4").tobytes() for part in np.split(bucket, ends)] if len(batch) else []
-            yield pd.DataFrame({"y": batch["y"].to_numpy(), "buckets": lists})
+            lists = [part.astype("<i4").tobytes() for part in np.split(feature, ends)] if len(batch) else []
+            yield pd.DataFrame({"y": batch["y"].to_numpy(), "features": lists})
 
     return run
 
@@ -102,8 +139,8 @@ def _features(used):
 def fit_toxicity(docs: DataFrame, labels: DataFrame, training: Column, max_training: int = MAX_TRAINING) -> ToxicityModel:
     """Fit on ``labels.toxic`` of the rows that ``training`` (over labels) selects.
 
-    What reaches the driver is bounded: two counts per bucket, and for each of at most
-    ``max_training`` texts the buckets that are features.
+    What reaches the driver is bounded: two counts per feature, and for each of at most
+    ``max_training`` texts the used features that it has.
     """
     spark = docs.sparkSession
     ship_package(spark)
@@ -111,26 +148,26 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, training: Column, max_train
     sizes = sample.groupBy("y").count().collect()
     n = {int(r["y"]): r["count"] for r in sizes}
     counts = (
-        sample.mapInPandas(_count, "bucket long, neg long, pos long")
-        .groupBy("bucket")
+        sample.mapInPandas(_count, "feature long, neg long, pos long")
+        .groupBy("feature")
         .agg(F.sum("neg").alias("neg"), F.sum("pos").alias("pos"))
         .toPandas()
     )
-    bucket = counts["bucket"].to_numpy(dtype=np.int64)
+    feature = counts["feature"].to_numpy(dtype=np.int64)
     neg, pos = counts["neg"].to_numpy(dtype=float), counts["pos"].to_numpy(dtype=float)
     ratio = np.log((pos + 1) / (n.get(1, 0) + 2)) - np.log((neg + 1) / (n.get(0, 0) + 2))
     keep = (neg + pos >= MIN_TEXTS) & (np.abs(ratio) >= MIN_RATIO)
-    scale = np.zeros(1 << BITS)
-    scale[bucket[keep]] = ratio[keep]
+    scale = np.zeros(FEATURES)
+    scale[feature[keep]] = ratio[keep]
     used = spark.sparkContext.broadcast(scale != 0)
-    rows = sample.mapInPandas(_features(used), "y double, buckets binary").toPandas()
+    rows = sample.mapInPandas(_features(used), "y double, features binary").toPandas()
     sample.unpersist()
-    order = np.full(1 << BITS, -1, dtype=np.int32)
-    features = np.sort(bucket[keep])
+    order = np.full(FEATURES, -1, dtype=np.int32)
+    features = np.sort(feature[keep])
     order[features] = np.arange(len(features))
     y = rows["y"].to_numpy(dtype=float)
-    lengths = [len(x) // 4 for x in rows["buckets"]]
-    flat = np.frombuffer(b"".join(rows["buckets"]), dtype="<i4")
+    lengths = [len(x) // 4 for x in rows["features"]]
+    flat = np.frombuffer(b"".join(rows["features"]), dtype="<i4")
     del rows
     owner, column = np.repeat(np.arange(len(y), dtype=np.int32), lengths), order[flat]
     value = scale[flat].astype(np.float32)
@@ -144,7 +181,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, training: Column, max_train
         l2=RIDGE,
         rounds=400,
     )
-    table = np.zeros(1 << BITS, dtype=np.float64)
+    table = np.zeros(FEATURES, dtype=np.float64)
     table[features] = weights * scale[features]
     return ToxicityModel(table, intercept if len(y) else 0.0)
 
@@ -157,7 +194,7 @@ def with_toxicity(docs: DataFrame, model: ToxicityModel, text: str = "text", sco
     @F.pandas_udf("double")
     def toxicity(texts: pd.Series) -> pd.Series:
         weights, intercept = shared.value
-        number, bucket = active(texts, weights != 0)
-        return pd.Series(sigmoid(np.bincount(number, weights[bucket], minlength=len(texts)) + intercept))
+        number, feature = active(texts, weights != 0)
+        return pd.Series(sigmoid(np.bincount(number, weights[feature], minlength=len(texts)) + intercept))
 
     return docs.withColumn(score, toxicity(F.col(text).cast("string")))

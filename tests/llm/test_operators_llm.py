@@ -122,11 +122,22 @@ def test_grams_of_pieces_are_those_of_the_whole(monkeypatch):
     import pandas as pd
 
     texts = pd.Series(["abcdefghij" * 7, None, "", "xyz", "some other words of a text"])
-    every = np.ones(1 << toxicity.BITS, dtype=bool)
+    every = np.ones(toxicity.FEATURES, dtype=bool)
     whole = toxicity.active(texts, every)
     monkeypatch.setattr(toxicity, "PIECE", 16)
-    parts = toxicity.active(texts, every)
-    assert all((a == b).all() for a, b in zip(whole, parts))
+    for run in (toxicity.RUN, 20):
+        monkeypatch.setattr(toxicity, "RUN", run)
+        parts = toxicity.active(texts, every)
+        assert all((a == b).all() for a, b in zip(whole, parts))
+
+
+def test_features_count_occurrences():
+    import pandas as pd
+
+    number, feature = toxicity.active(pd.Series(["word", "word word word word word word"]), np.ones(toxicity.FEATURES, dtype=bool))
+    levels = feature >> toxicity.BITS
+    assert set(levels[number == 0]) == {0} and set(levels[number == 1]) == set(range(toxicity.LEVELS))
+    assert set(feature[number == 0]) < set(feature[number == 1])
 
 
 def test_quality_accuracy_and_compiled_rules(spark, odd, empty):
