@@ -151,14 +151,16 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, training: Column, max_train
         sample.mapInPandas(_count, "feature long, neg long, pos long")
         .groupBy("feature")
         .agg(F.sum("neg").alias("neg"), F.sum("pos").alias("pos"))
+        .where(F.col("neg") + F.col("pos") >= MIN_TEXTS)
         .toPandas()
     )
     feature = counts["feature"].to_numpy(dtype=np.int64)
     neg, pos = counts["neg"].to_numpy(dtype=float), counts["pos"].to_numpy(dtype=float)
     ratio = np.log((pos + 1) / (n.get(1, 0) + 2)) - np.log((neg + 1) / (n.get(0, 0) + 2))
-    keep = (neg + pos >= MIN_TEXTS) & (np.abs(ratio) >= MIN_RATIO)
+    keep = np.abs(ratio) >= MIN_RATIO
     scale = np.zeros(FEATURES)
     scale[feature[keep]] = ratio[keep]
+    del counts, neg, pos
     used = spark.sparkContext.broadcast(scale != 0)
     rows = sample.mapInPandas(_features(used), "y double, features binary").toPandas()
     sample.unpersist()
