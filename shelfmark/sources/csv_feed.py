@@ -10,8 +10,10 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from shelfmark.operators.lookup import fits
 from shelfmark.operators.ranking import running_totals
 from shelfmark.schemas import DATE_DIM_SCHEMA
+from shelfmark.session import settle
 
 # Dialect of a feed file; a config row may override each of them.
 DIALECT = {"fields_terminated_by": ",", "optionally_enclosed_by": '"', "lines_terminated_by": "\n", "ignore_rows": 1}
@@ -117,8 +119,9 @@ def _numbered(rows: DataFrame, columns: list[str], skip: int) -> DataFrame:
         in_table = in_table.join(skipped.select("_file", "_file_offset", "_skipped"), "_file")
     else:
         in_table = in_table.withColumns({"_file_offset": F.lit(0), "_skipped": F.lit(0)})
-    # one row per file block, so a millionth of the data: 100 MB for 100 TB
-    located = placed.join(F.broadcast(in_table), block).withColumn(
+    # one row per file block: a block is one task's rows, which a plain join can shuffle too
+    in_table = settle(in_table, "blocks")
+    located = placed.join(F.broadcast(in_table) if fits(in_table) else in_table, block).withColumn(
         "_row", F.col("_offset") + F.col("_seq") - F.col("_first")
     )
     if skip:
