@@ -50,8 +50,10 @@ def test_file_stats_counts_files_without_rows(spark, tmp_path):
     assert tuple(csv_feed.file_stats(read).first()) == (2, 8, 1)
 
 
-@pytest.mark.parametrize("skip", [0, 1, 3])
-def test_rows_are_numbered_in_file_order_over_blocks(spark, tmp_path, skip):
+@pytest.mark.parametrize(("skip", "small"), [(0, True), (1, True), (3, True), (3, False)])
+def test_rows_are_numbered_in_file_order_over_blocks(spark, tmp_path, monkeypatch, skip, small):
+    """Also where the table of blocks is too large for a broadcast."""
+    monkeypatch.setattr(csv_feed, "fits", lambda df: small)
     lines = [f"skip;{i}" for i in range(skip)] + [f"{i};text {i}" for i in range(3000)]
     for name in ("one", "two"):
         (tmp_path / f"{name}.csv").write_text("\n".join(lines) + "\n")
