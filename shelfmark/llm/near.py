@@ -1,0 +1,247 @@
+"""Near-duplicates by the similarity of shingle sets, found through an index without gaps.
+
+Two texts are linked if the Jaccard similarity of their sets of word shingles is at least
+``similarity``. Links are decided on the sets of the whole texts; the steps before only
+bring the pairs together, and none of them drops a pair that belongs:
+
+* The index lists each text under the rarest of its shingles: of ``n`` shingles the first
+  ``n - ceil(similarity * n) + 1`` in one order common to all texts. Two sets with the
+  similarity share at least ``ceil(similarity * n)`` shingles, so one of these is shared.
+  The order puts shingles that are frequent in a sample last, which keeps lists short; any
+  order finds the same links.
+* Within a list, pairs whose set sizes rule the similarity out are left, and pairs with
+  over ``MAX_BITS`` of 512 differing SimHash bits. A pair at 0.8 differs in 78 bits with a
+  deviation of 8, one of four and five shingles in 96 with a deviation of 9.
+* Close pairs (``CLOSE_BITS``) are verified first, one per text and list. Of the others
+  those are verified whose ends these links have not joined yet.
+
+Texts with equal sets are one node. Lists over ``BLOCK`` are compared block by block.
+"""
+
+from __future__ import annotations
+
+import hashlib
+import math
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from shelfmark.llm import simhash
+from shelfmark.llm.common import segments, settle, ship_package
+from shelfmark.llm.components import components
+
+WORDS = 8
+MAX_BITS, CLOSE_BITS = 144, 60
+#: Texts in the sample that finds frequent shingles, from how many of them on a shingle is
+#: frequent, and how many of these are kept. They decide the length of lists, not the links.
+SAMPLE, FREQUENT_FROM, FREQUENT = 5_000, 3, 100_000
+
+
+def shingle_set(text: str | None, shingle: int) -> np.ndarray:
+    """Sorted distinct hashes of the word shingles of the whole text."""
+    return np.unique(simhash.shingle_hashes(text, shingle))
+
+
+def prefix(hashes: np.ndarray, similarity: float, frequent: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """The shingles under which a set is listed, rare ones first."""
+    if not len(hashes):
+        return hashes
+    weight = np.zeros(len(hashes), dtype=np.int64)
+    if len(frequent):
+        at = np.minimum(np.searchsorted(frequent, hashes), len(frequent) - 1)
+        weight = np.where(frequent[at] == hashes, counts[at], 0)
+    length = len(hashes) - math.ceil(similarity * len(hashes) - 1e-9) + 1
+    return hashes[np.lexsort((hashes, weight))[:length]]
+
+
+def frequent_shingles(docs: DataFrame, text: str, shingle: int) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted hashes that many texts of a sample have, and in how many."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for start in range(0, len(batch), 200):
+                sets = [shingle_set(t, shingle) for t in batch["t"].iloc[start : start + 200]]
+                yield pd.DataFrame({"h": np.concatenate([*sets, np.empty(0, "<u8")]).astype("<u8").view(np.int64)})
+
+    share = min(1.0, SAMPLE / max(1, docs.count()))
+    drawn = docs.select(F.col(text).cast("string").alias("t"), F.monotonically_increasing_id().alias("i"))
+    drawn = drawn.where(F.pmod(F.xxhash64("i"), F.lit(1_000_000)) < int(share * 1_000_000)).select("t")
+    rows = (
+        drawn.mapInPandas(run, "h long")
+        .groupBy("h")
+        .agg(F.count("*").alias("n"))
+        .where(F.col("n") >= FREQUENT_FROM)
+        .orderBy(F.desc("n"), "h")
+        .limit(FREQUENT)
+        .collect()
+    )
+    hashes = np.array([r.h for r in rows], dtype=np.int64).view(np.uint64)
+    order = np.argsort(hashes)
+    return hashes[order], np.array([r.n for r in rows], dtype=np.int64)[order]
+
+
+def sketch(text: Column, shingle: int, similarity: float, frequent: np.ndarray, counts: np.ndarray) -> Column:
+    """``fp`` (SimHash of the set), ``digest`` of the set, its size ``n`` and ``keys``."""
+
+    @F.pandas_udf("fp binary, digest binary, n long, keys array<long>")
+    def sketch_of(texts: pd.Series) -> pd.DataFrame:
+        out = []
+        for t in texts:
+            hashes = shingle_set(t, shingle)
+            listed = prefix(hashes, similarity, frequent, counts)
+            digest = hashlib.blake2b(hashes.tobytes(), digest_size=16).digest()
+            out.append((simhash.simhash(hashes, WORDS), digest, len(hashes), listed.view(np.int64)))
+        return pd.DataFrame(out, columns=["fp", "digest", "n", "keys"])
+
+    return sketch_of(text.cast("string"))
+
+
+def _pairs(similarity: float, close: bool):
+    """Candidate pairs of each list; ``close``: each text with the first one close to it,
+    else all that ``root`` does not join yet."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for group in segments(batches, ["key", "pair"]):
+            key, pair, node, size, root = (group[c].to_numpy() for c in ("key", "pair", "node", "n", "root"))
+            fps = np.frombuffer(b"".join(group["fp"]), dtype=">u8").reshape(len(group), -1).astype(np.uint64)
+            cut = np.flatnonzero((key[1:] != key[:-1]) | (pair[1:] != pair[:-1])) + 1
+            starts, ends = np.concatenate([[0], cut]), np.concatenate([cut, [len(group)]])
+            sources, targets = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+
+            def put(i: np.ndarray, j: np.ndarray) -> None:
+                sources.append(node[i])
+                targets.append(node[j])
+
+            two = starts[ends - starts == 2]
+            if len(two):
+                bits = np.bitwise_count(fps[two] ^ fps[two + 1]).sum(axis=1)
+                small, large = np.minimum(size[two], size[two + 1]), np.maximum(size[two], size[two + 1])
+                near = (bits <= (CLOSE_BITS if close else MAX_BITS)) & (small / large >= similarity)
+                near &= root[two] != root[two + 1]
+                put(two[near] + 1, two[near])
+            for a, b in zip(starts, ends):
+                if b - a < 3:
+                    continue
+                for low in range(a, b, 256):
+                    high = min(low + 256, b)
+                    near = simhash._distance(fps[low:high], fps[a:b]) <= (CLOSE_BITS if close else MAX_BITS)
+                    n, m = size[low:high, None], size[None, a:b]
+                    near &= np.minimum(n, m) / np.maximum(n, m) >= similarity
+                    near &= root[low:high, None] != root[None, a:b]
+                    near &= np.arange(a, b)[None, :] < np.arange(low, high)[:, None]
+                    if close:
+                        i = np.flatnonzero(near.any(axis=1))
+                        j = near[i].argmax(axis=1)
+                    else:
+                        i, j = np.nonzero(near)
+                    put(low + i, a + j)
+            found = pd.DataFrame({"a": np.concatenate(sources), "b": np.concatenate(targets)})
+            yield found.drop_duplicates()
+
+    return run
+
+
+def _verified(pairs: DataFrame, rows: DataFrame, text: str, row: str, shingle: int, similarity: float) -> DataFrame:
+    """The pairs whose shingle sets have the similarity."""
+
+    def sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for start in range(0, len(batch), 200):
+                part = batch.iloc[start : start + 200]
+                yield pd.DataFrame({"node": part["node"], "hashes": [shingle_set(t, shingle).tobytes() for t in part["t"]]})
+
+    def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            keep = []
+            for x, y in zip(batch["x"], batch["y"]):
+                x, y = np.frombuffer(x, dtype="<u8"), np.frombuffer(y, dtype="<u8")
+                shared = len(np.intersect1d(x, y, assume_unique=True))
+                keep.append(shared / (len(x) + len(y) - shared) >= similarity)
+            yield batch.loc[np.array(keep, dtype=bool), ["a", "b"]]
+
+    # written first, so that texts are shuffled only for many pairs
+    pairs = settle(pairs, "pairs")
+    ends = settle(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct(), "ends")
+    texts = rows.select(F.col(row).alias("node"), F.col(text).cast("string").alias("t")).join(ends, "node", "left_semi")
+    table = settle(texts.mapInPandas(sets, "node long, hashes binary"), "sets")
+    both = pairs.join(table.select(F.col("node").alias("a"), F.col("hashes").alias("x")), "a").join(
+        table.select(F.col("node").alias("b"), F.col("hashes").alias("y")), "b"
+    )
+    return settle(both.select("a", "b", "x", "y").mapInPandas(compare, "a long, b long"), "verified")
+
+
+def link_similar(
+    nodes: DataFrame, postings: DataFrame, rows: DataFrame, text: str, row: str, shingle: int, similarity: float
+) -> DataFrame:
+    """``node`` and ``root`` of every node that is linked to another.
+
+    ``nodes``: ``node``, ``fp``, ``n``; ``postings``: ``key``, ``node``; ``rows`` hold the
+    texts, a node is the number of the row that stands for it.
+    """
+    lists = postings.groupBy("key").count().where("count > 1")
+    listed = settle(postings.join(lists, "key"), "lists")
+    blocks = F.ceil(F.col("count") / F.lit(simhash.BLOCK)).cast("long")
+
+    def pairs(roots: DataFrame | None) -> DataFrame:
+        named = nodes.withColumn("root", F.col("node"))
+        cells = listed
+        if roots is not None:
+            named = settle(nodes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")), "named")
+            mixed = listed.join(named.select("node", "root"), "node").groupBy("key").agg(F.min("root").alias("l"), F.max("root").alias("h"))
+            cells = listed.join(mixed.where("l < h").select("key"), "key", "left_semi")
+        cells = (
+            cells.withColumn("blocks", blocks)
+            .withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")))
+            .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+            .select("key", "node", (F.least("own", "other") * F.col("blocks") + F.greatest("own", "other")).alias("pair"))
+        )
+        cells = cells.join(named.select("node", "fp", "n", "root"), "node").select("key", "pair", "node", "fp", "n", "root")
+        placed = cells.repartition("key", "pair").sortWithinPartitions("key", "pair", "node")
+        return placed.mapInPandas(_pairs(similarity, roots is None), "a long, b long").distinct()
+
+    first = _verified(pairs(None), rows, text, row, shingle, similarity)
+    joined = settle(components(first, "a", "b"), "joined")
+    second = _verified(pairs(joined), rows, text, row, shingle, similarity)
+    return components(first.union(second), "a", "b")
+
+
+def one_of_each_group(
+    docs: DataFrame, shingle: int = 5, similarity: float = 0.8, doc_id: str = "doc_id", text: str = "text"
+) -> DataFrame:
+    """The row of the smallest id of every group of near-duplicates, all columns kept.
+
+    A group is what links of ``similarity`` connect. Texts without words have nothing to
+    compare and stay. Of repeated ids in a group one row stays.
+    """
+    ship_package(docs.sparkSession)
+    held = {"sketch": "__sketch", "row": "__row"}
+    taken = {c.lower() for c in docs.columns}
+    for k, name in held.items():
+        while name in taken:
+            name += "_"
+        held[k] = name
+    row, made = held["row"], held["sketch"]
+    frequent, counts = frequent_shingles(docs, text, shingle)
+    rows = settle(
+        docs.withColumn(made, sketch(F.col(text), shingle, similarity, frequent, counts)).withColumn(row, F.monotonically_increasing_id()),
+        "texts",
+    )
+    wordless = F.col(f"{made}.n") == 0
+    prints = rows.where(~wordless).select(
+        *[F.col(f"{made}.{c}").alias(c) for c in ("fp", "digest", "n")], F.col(doc_id).cast("long").alias("id"), F.col(row).alias("row")
+    )
+    # the order of ids, nulls last, as one number per row that stays unique when ids repeat
+    first = F.struct(F.col("id").isNull().alias("last"), F.col("id"), F.col("row"))
+    nodes = settle(
+        prints.groupBy("digest", "fp", "n").agg(F.min(first).alias("first"), F.min("row").alias("node")).drop("digest"), "nodes"
+    )
+    listed = rows.select(F.col(row).alias("node"), F.col(f"{made}.keys").alias("keys")).join(nodes.select("node"), "node", "left_semi")
+    postings = listed.select(F.explode("keys").alias("key"), "node")
+    roots = link_similar(nodes.select("node", "fp", "n"), postings, rows, text, row, shingle, similarity)
+    grouped = nodes.select("node", "first").join(roots, "node", "left").groupBy(F.coalesce("root", "node").alias("root"))
+    kept = grouped.agg(F.min("first").alias("first")).select(F.col("first.row").alias(row))
+    kept = kept.union(rows.where(wordless).select(row))
+    return rows.join(kept, row, "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -1,0 +1,55 @@
+"""The pipeline's near-duplicates against brute-force similarity of shingle sets."""
+
+import random
+
+import pytest
+
+from shelfmark.llm import simhash
+
+
+def brute_shingles(text, k=5):
+    words = text.lower().split()
+    return {tuple(words[i : i + k]) for i in range(max(1, len(words) - k + 1))}
+
+
+def brute_kept(rows, similarity=0.8):
+    sets = {i: brute_shingles(t) for i, t in rows}
+    root = {i: i for i in sets}
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for a in sets:
+        for b in sets:
+            if a < b and len(sets[a] & sets[b]) / len(sets[a] | sets[b]) >= similarity:
+                low, high = sorted((find(a), find(b)))
+                root[high] = low
+    return sorted(i for i in sets if find(i) == i)
+
+
+def changed(draw, words, share):
+    """``words`` with one run replaced, so that the sets have about the similarity ``share``."""
+    gone = round(len(words) * (1 - share) / (1 + share))
+    at = draw.randint(0, len(words) - gone)
+    return words[:at] + [f"n{draw.randint(0, 10**6)}" for _ in range(gone)] + words[at + gone :]
+
+
+@pytest.mark.parametrize("block", [4, 1024])
+def test_pairs_around_the_similarity(spark, block, monkeypatch):
+    """Every pair from 0.8 is linked and none below, down to texts of a few words."""
+    monkeypatch.setattr(simhash, "BLOCK", block)
+    draw = random.Random(5)
+    line = [f"license{k}" for k in range(12)]
+    rows = []
+    for i in range(150):
+        words = line + [f"w{draw.randint(0, 10**6)}" for _ in range(draw.choice([0, 4, 60, 400]))]
+        copy = changed(draw, words, draw.uniform(0.78, 0.86))
+        rows += [(2 * i, " ".join(words)), (2 * i + 1, " ".join(copy))]
+    group = [f"g{draw.randint(0, 10**6)}" for _ in range(300)]
+    for i in range(40):  # a chain and a group of near copies
+        rows.append((1000 + i, " ".join(changed(draw, group, 0.9))))
+        rows.append((2000 + i, " ".join(f"c{k}" for k in range(20 * i, 20 * i + 200))))
+    got = simhash.one_of_each_group(spark.createDataFrame(rows, "doc_id long, text string").repartition(4))
+    assert sorted(r.doc_id for r in got.collect()) == brute_kept(rows)
