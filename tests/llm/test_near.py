@@ -53,3 +53,16 @@ def test_pairs_around_the_similarity(spark, block, monkeypatch):
         rows.append((2000 + i, " ".join(f"c{k}" for k in range(20 * i, 20 * i + 200))))
     got = simhash.one_of_each_group(spark.createDataFrame(rows, "doc_id long, text string").repartition(4))
     assert sorted(r.doc_id for r in got.collect()) == brute_kept(rows)
+
+
+def test_copies_of_another_length(spark):
+    """White space and repeated content change the length of a text, not its shingle set."""
+    draw = random.Random(8)
+    rows = []
+    for i in range(12):
+        words = [f"w{draw.randint(0, 10**6)}" for _ in range(200)]
+        other = [*words[:100], "changed", *words[101:]]
+        forms = [" ".join(words), "  ".join(other), "\n\t    ".join(other), " " * 9000 + " ".join(other), " ".join(words * 3)]
+        rows += [(10 * i + k, form) for k, form in enumerate(forms)]
+    got = simhash.one_of_each_group(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert sorted(r.doc_id for r in got.collect()) == [10 * i for i in range(12)] == brute_kept(rows)
