@@ -2,6 +2,8 @@
 
 import random
 
+import numpy as np
+import pandas as pd
 import pytest
 
 from shelfmark.llm import simhash
@@ -66,3 +68,16 @@ def test_copies_of_another_length(spark):
         rows += [(10 * i + k, form) for k, form in enumerate(forms)]
     got = simhash.one_of_each_group(spark.createDataFrame(rows, "doc_id long, text string"))
     assert sorted(r.doc_id for r in got.collect()) == [10 * i for i in range(12)] == brute_kept(rows)
+
+
+@pytest.mark.parametrize("bits", [3, 4, 5])
+def test_keys_are_the_count_filter(bits):
+    """Fingerprints share a key exactly if they share the guaranteed number of positional bytes."""
+    draw = np.random.default_rng(3)
+    data = draw.integers(0, 2, (200, 8), dtype=np.uint8)
+    part = pd.DataFrame({"node": range(200), "fp": [bytes(x) for x in data]})
+    listed = pd.concat(simhash._postings(simhash.byte_sets(bits))(iter([part])))
+    keys = listed.groupby("node")["key"].agg(set)
+    for a in range(200):
+        shared = (data == data[a]).sum(axis=1)
+        assert [bool(keys[a] & keys[b]) for b in range(200)] == (shared >= 8 - bits).tolist()
