@@ -1,11 +1,16 @@
 """Main text of web pages: template subtrees of a host removed, then the article.
 
-A small parser turns a page into nested elements and hashes every subtree outside the
-article (tag and content). Spark counts, per host, on how many pages each subtree
-stands; those on many pages are the host's template and are deleted, together with
-elements that are never main text by their tag or class (menus, footers, scripts, forms,
-adverts, comments, ...). Of what is left, the article is the text; without an article
-element it is the rest of the body. A passage that recurs inside articles stays.
+A small parser turns a page into nested elements and hashes every subtree (tag and
+content). Spark counts, per host, on how many pages each subtree stands; those on many
+pages are the host's template and are deleted, together with elements that are never main
+text by their tag or class (menus, footers, scripts, forms, adverts, comments, ...). Of
+what is left, the article is the text; without an article element it is the rest of the
+body.
+
+Inside an article only boxes (``BOXES``) count, each with its parent's tag and its place
+from the parent's start or end, so a box of the layout is deleted and a passage stays that
+many articles share as paragraphs or at different places. An article that would have no
+text left, as many copies of one article, keeps its boxes.
 
 Blocks are paragraphs, headings, list items, table cells and the like; a line break
 is white space within a block.
@@ -54,6 +59,8 @@ NOT_MAIN = re.compile(
     re.I,
 )
 SPACE = re.compile(r"\s+")
+#: Elements that may be template inside an article: containers, not blocks of text.
+BOXES = set("details div dl figure ol section table ul".split())
 
 
 class Node:
@@ -114,26 +121,27 @@ def _is_article(node: Node) -> bool:
     return node.tag in ("article", "main")
 
 
-def _elements(root: Node) -> list[tuple[Node, Node]]:
-    """Every element with its parent, parents first, without descending into articles."""
-    out: list[tuple[Node, Node]] = []
-    todo = [root]
+def _elements(root: Node) -> list[tuple[Node, Node, bool]]:
+    """Every element with its parent, parents first, and whether it is inside an article."""
+    out: list[tuple[Node, Node, bool]] = []
+    todo = [(root, False)]
     while todo:
-        node = todo.pop()
+        node, inside = todo.pop()
+        inside = inside or _is_article(node)
         for part in node.parts:
             if isinstance(part, Node):
-                out.append((part, node))
-                if not _is_article(part):
-                    todo.append(part)
+                out.append((part, node, inside))
+                todo.append((part, inside))
     return out
 
 
-def subtree_hashes(root: Node) -> dict[int, str]:
-    """Hash of each subtree that holds no article, by the node's ``id``."""
+def subtree_hashes(root: Node) -> dict[int, tuple[str, ...]]:
+    """Hashes of each subtree that holds no article, by the node's ``id``: one outside an
+    article, inside one those of a box at its place from the start and from the end."""
     holds: set[int] = set()
     hashes: dict[int, str] = {}
     order = _elements(root)
-    for node, parent in reversed(order):
+    for node, parent, _ in reversed(order):
         if _is_article(node) or id(node) in holds:
             holds.add(id(parent))
             continue
@@ -142,7 +150,19 @@ def subtree_hashes(root: Node) -> dict[int, str]:
             inner = hashes.get(id(part), "") if isinstance(part, Node) else SPACE.sub(" ", part)
             digest.update(b"\0" + inner.encode("utf-8", "surrogatepass"))
         hashes[id(node)] = digest.hexdigest()
-    return hashes
+    places: dict[int, tuple[int, int]] = {}
+    for node in {id(p): p for _, p, inside in order if inside}.values():
+        children = [part for part in node.parts if isinstance(part, Node)]
+        places |= {id(c): (k, k - len(children)) for k, c in enumerate(children)}
+    out: dict[int, tuple[str, ...]] = {}
+    for node, parent, inside in order:
+        if id(node) not in hashes:
+            continue
+        if not inside:
+            out[id(node)] = (hashes[id(node)],)
+        elif node.tag in BOXES:
+            out[id(node)] = tuple(f"{hashes[id(node)]} {parent.tag} {place}" for place in places[id(node)])
+    return out
 
 
 def _blocks(node: Node, dropped: set[int]) -> list[str]:
@@ -179,6 +199,7 @@ def main_text(html: str | None, template: set[str]) -> str:
     root = parse(html)
     hashes = subtree_hashes(root)
     dropped: set[int] = set()
+    boxes: set[int] = set()
     articles: list[Node] = []
     todo: list[tuple[Node, bool]] = [(root, False)]
     while todo:
@@ -191,21 +212,28 @@ def main_text(html: str | None, template: set[str]) -> str:
                 continue
             marked = part.tag not in ("html", "body", "main") and bool(part.mark) and NOT_MAIN.search(part.mark)
             never = part.tag in NEVER or marked
+            recurs = not template.isdisjoint(hashes.get(id(part), ()))
             if not inside and part.tag != "article":
                 # what still holds an article, as unclosed markup may, is gone through
-                never = id(part) in hashes and (never or part.tag == "header" or hashes[id(part)] in template)
+                never = id(part) in hashes and (never or part.tag == "header" or recurs)
+            elif inside and recurs:
+                boxes.add(id(part))
             if never:
                 dropped.add(id(part))
             else:
                 todo.append((part, inside))
-    return "\n\n".join(block for node in articles or [root] for block in _blocks(node, dropped))
+    if not articles:
+        return "\n\n".join(_blocks(root, dropped))
+    texts = (_blocks(node, dropped | boxes) or _blocks(node, dropped) for node in articles)
+    return "\n\n".join(block for blocks in texts for block in blocks)
 
 
 def page_subtrees(html: str | None) -> list[str]:
     """Distinct hashes of the subtrees of one page that are neither void nor never text."""
     root = parse(html)
     hashes = subtree_hashes(root)
-    return sorted({hashes[id(n)] for n, _ in _elements(root) if id(n) in hashes and n.parts and n.tag not in NEVER})
+    found = (n for n, _, _ in _elements(root) if id(n) in hashes and n.parts and n.tag not in NEVER)
+    return sorted({h for n in found for h in hashes[id(n)]})
 
 
 def _subtrees(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
