@@ -37,8 +37,8 @@ from shelfmark.llm.urls import url_host
 
 #: A subtree is template from this many pages of a host on ...
 MIN_PAGES = 5
-#: ... that are this share of the host's pages.
-MIN_SHARE = 0.2
+#: ... that are this share of the host's pages, so that chance repeats on a large host stay.
+MIN_SHARE = 0.01
 
 # Names of the HTML standard.
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
@@ -239,30 +239,27 @@ def page_subtrees(html: str | None) -> list[str]:
 def _subtrees(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         found = batch["html"].map(page_subtrees)
-        out = pd.DataFrame({"host": batch["host"].repeat(found.map(len)), "subtree": [h for x in found for h in x]})
-        yield out
+        sizes = found.map(len)
+        yield pd.DataFrame(
+            {"row": batch["row"].repeat(sizes), "host": batch["host"].repeat(sizes), "subtree": [h for x in found for h in x]}
+        )
 
 
-def host_templates(pages: DataFrame, min_pages: int = MIN_PAGES, min_share: float = MIN_SHARE) -> DataFrame:
-    """``host``, ``template``: the subtrees on enough pages of each host (``host``, ``html``).
+def page_templates(pages: DataFrame, min_pages: int = MIN_PAGES, min_share: float = MIN_SHARE) -> DataFrame:
+    """``row``, ``template``: the subtrees of each page (``row``, ``host``, ``html``) that are
+    on enough pages of its host.
 
     Counts combine on the map side, so a host with a third of all pages sends one row
-    per subtree and task. A page has so many subtrees, so at most that many divided by
-    ``min_share`` can reach the share: the list of a host is bounded by its page size.
+    per subtree and task. A page's list holds its own subtrees only, so nothing is
+    gathered per host and the thresholds need not bound it.
     """
     counts = pages.groupBy("host").agg(F.count("*").alias("pages"))
-    recurring = (
-        pages.mapInPandas(_subtrees, "host string, subtree string")
-        .groupBy("host", "subtree")
-        .agg(F.count("*").alias("on"))
-        .where(F.col("on") >= min_pages)
-    )
-    return (
-        recurring.join(counts, "host")
-        .where(F.col("on") >= F.col("pages") * min_share)
-        .groupBy("host")
-        .agg(F.sort_array(F.collect_list("subtree")).alias("template"))
-    )
+    subtrees = settle(pages.select("row", "host", "html").mapInPandas(_subtrees, "row long, host string, subtree string"), "subtrees")
+    on = subtrees.groupBy("host", "subtree").agg(F.count("*").alias("on")).where(F.col("on") >= min_pages)
+    recurring = on.join(counts, "host").where(F.col("on") >= F.col("pages") * min_share)
+    # written first, so that its size is known and subtrees are shuffled only if it is large
+    recurring = settle(recurring.select("host", "subtree"), "recurring")
+    return subtrees.join(recurring, ["host", "subtree"], "left_semi").groupBy("row").agg(F.collect_list("subtree").alias("template"))
 
 
 def _extract(htmls: pd.Series, templates: pd.Series) -> pd.Series:
@@ -282,8 +279,8 @@ def extract_main_text(
     hosted = pages.select(
         F.col(page_id).alias("page_id"), F.col(url).alias("url"), F.col(html).cast("string").alias("html"), url_host(F.col(url)).alias("host")
     )
-    # written first, so that its size is known and pages are shuffled by host only if it is large
-    templates = settle(host_templates(hosted.select("host", "html"), min_pages, min_share), "templates")
+    hosted = settle(hosted.withColumn("row", F.monotonically_increasing_id()), "pages")
+    templates = settle(page_templates(hosted, min_pages, min_share), "templates")
     extract = F.pandas_udf(_extract, StringType())
-    joined = hosted.join(templates, "host", "left").withColumn("text", extract("html", "template"))
+    joined = hosted.join(templates, "row", "left").withColumn("text", extract("html", "template"))
     return joined.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))

@@ -26,3 +26,19 @@ def test_boxes_inside_articles(spark):
         assert got[i] == got[100 + i] == "\n\n".join([f"T{i}", *want, "same words"])
     assert got[300] == "one article"
     assert got[400] == "own 0\n\nSign up\n\nfor letters"
+
+
+def test_menu_of_one_section(spark):
+    """A subtree on a small share of a host's pages is template, a repeat by chance is not."""
+    def page(i):
+        side = "<div><p>Section menu</p></div>" if i % 10 == 0 else ""
+        chance = "<p>by chance</p>" if i in (1, 2, 3, 4) else ""
+        return f"<body><div>{side}<p>own {i}</p>{chance}</div></body>"
+
+    rows = [(i, f"http://large.com/{i}", page(i)) for i in range(200)]
+    rows += [(1000 + i, None, "<body><div><p>menu</p></div><p>own</p></body>") for i in range(4)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)
+    got = {r.page_id: r.text for r in html_main.extract_main_text(df).collect()}
+    assert len(got) == len(rows)
+    assert [got[0], got[1], got[5], got[10]] == ["own 0", "own 1\n\nby chance", "own 5", "own 10"]
+    assert got[1000] == "menu\n\nown"
