@@ -18,6 +18,8 @@ from shelfmark.session import settle
 # Dialect of a feed file; a config row may override each of them.
 DIALECT = {"fields_terminated_by": ",", "optionally_enclosed_by": '"', "lines_terminated_by": "\n", "ignore_rows": 1}
 NULL_TEXT = "\\N"
+#: Holds the line of a record that does not have the columns of its config row.
+_BAD = "_bad_record"
 
 
 def map_columns(staging_fields: str | Sequence[str]) -> list[str]:
@@ -68,6 +70,9 @@ def csv_options(config: Mapping[str, Any]) -> dict[str, str]:
         "nullValue": NULL_TEXT,
         "emptyValue": "",
         "mode": "PERMISSIVE",
+        "columnNameOfCorruptRecord": _BAD,
+        # all columns are parsed, so that every record is checked
+        "columnPruning": "false",
     }
 
 
@@ -85,26 +90,40 @@ def load_csv(
     place in the block, so numbering needs no shuffle of the rows. A record is one
     line, which is what lets one file be split: line breaks inside a text are written
     as escapes (``\\n``), as ``export_csv`` does, and read back, like every other
-    escape by a backslash. ``\\N`` is NULL.
+    escape by a backslash. ``\\N`` is NULL. A record with more or fewer fields than
+    columns, as a line break inside quotes makes two of, fails the job that reads it.
     """
     columns = map_columns(config["staging_fields"])
     skip = int(config.get("ignore_rows") if config.get("ignore_rows") is not None else DIALECT["ignore_rows"])
-    schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in [*columns, _BAD]])
     reader = spark.read.schema(schema).options(**csv_options(config))
     if skip == 1:
         reader = reader.option("header", "true").option("enforceSchema", "true")
-    rows = reader.csv(path).withColumns({c: _read_escapes(F.col(c)) for c in columns})
+    rows = reader.csv(path)
+    if skip <= 1:
+        rows = _checked(rows, columns)
+    rows = rows.withColumns({c: _read_escapes(F.col(c)) for c in columns})
     if file_column and (numbered or skip > 1):
         raise ValueError("rows with the address of their file are not numbered and skip the header at most")
     if not numbered and skip <= 1:
-        return rows.withColumn(file_column, F.col("_metadata.file_path")) if file_column else rows
+        rows = rows.select(*columns, "_metadata") if file_column else rows.select(*columns)
+        return rows.withColumn(file_column, F.col("_metadata.file_path")).drop("_metadata") if file_column else rows
     return _numbered(rows, columns, skip if skip > 1 else 0)
 
 
+def _checked(rows: DataFrame, columns: list[str], of: Column | None = None) -> DataFrame:
+    """``rows`` (where ``of`` holds); reading one of them that was not whole raises."""
+    of = F.lit(True) if of is None else of
+    # the first column is named too, as Spark reads no query of the bad records alone
+    shown = F.concat(F.lit("fields do not match the columns: "), F.col(_BAD), F.substring(F.coalesce(columns[0], F.lit("")), 1, 0))
+    return rows.where(F.when(of & F.col(_BAD).isNotNull(), F.raise_error(shown).cast("boolean")).otherwise(of))
+
+
 def _numbered(rows: DataFrame, columns: list[str], skip: int) -> DataFrame:
     block = ["_file", "_start"]
     placed = rows.select(
         *columns,
+        _BAD,
         F.col("_metadata.file_path").alias("_file"),
         F.col("_metadata.file_block_start").alias("_start"),
         F.monotonically_increasing_id().alias("_seq"),
@@ -125,7 +144,8 @@ def _numbered(rows: DataFrame, columns: list[str], skip: int) -> DataFrame:
         "_row", F.col("_offset") + F.col("_seq") - F.col("_first")
     )
     if skip:
-        located = located.filter(F.col("_row") - F.col("_file_offset") >= skip)
+        # one condition, as a check of its own would be moved before the skipping
+        located = _checked(located, columns, F.col("_row") - F.col("_file_offset") >= skip)
     number = F.col("_row") - F.col("_skipped") - F.lit(skip) + 1
     return located.select(number.cast("long").alias("id"), *columns)
 
