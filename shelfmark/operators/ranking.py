@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from shelfmark.session import settle
+
 ROWS_PER_BUCKET = 250_000
 
 
@@ -21,38 +23,48 @@ def running_totals(buckets: DataFrame, order: Sequence[str], value: str) -> Data
     return buckets.withColumn("_before", F.coalesce(F.sum(value).over(earlier), F.lit(0)))
 
 
-def number_rows(
-    df: DataFrame, id_col: str, start: Column | int = 0, lead: Sequence[str] = (), rows_per_bucket: int = ROWS_PER_BUCKET
+def in_ranges(df: DataFrame, order: Sequence[str], rows: int, rows_per_range: int = ROWS_PER_BUCKET) -> DataFrame:
+    """Add ``_range``: rows of a lower range come before all rows of a higher one.
+
+    ``rows`` is the row count. The ranges are cut by quantiles of a sample, so they hold
+    about the same number of rows however the values are spread, as long as ``order`` is
+    (nearly) unique. As every run would draw another sample, the placed rows are written
+    once; a lost executor reads them again.
+    """
+    ranges = rows // rows_per_range + 1
+    if ranges == 1:
+        return df.withColumn("_range", F.lit(0))
+    return settle(df.repartitionByRange(ranges, *order).withColumn("_range", F.spark_partition_id()), "ranges")
+
+
+def prefix_sums(
+    df: DataFrame, order: Sequence[str], value: str, rows_per_range: int = ROWS_PER_BUCKET, out: str = "_before"
 ) -> DataFrame:
-    """Add ``_number``: ``start`` + 1, + 2, ... in the order of ``lead`` and ``id_col``.
+    """Add ``out``: the sum of ``value`` over all rows that come before in ``order``.
 
-    ``id_col`` is a unique integer. The span from its lowest to its highest value is cut
-    into as many equal ranges as the row count calls for, so there are never more than
-    rows / ``rows_per_bucket`` + 1 of them, however sparse the numbers are; where numbers
-    crowd, a range holds more rows and its task spills. Rows are ranked inside their range
-    in parallel; only the per-range counts are ordered globally, and they come back
-    through a broadcast of one row per range. The ranges depend on the values alone, so a
-    recomputed task numbers its rows the same way.
+    ``order`` names columns that tell all rows apart; NULL comes first. Sums are taken
+    inside ranges in parallel; only one total per range is ordered globally and comes
+    back through a broadcast of one row per range.
     """
-    low, high, rows = df.agg(F.min(id_col), F.max(id_col), F.count("*")).first()
-    low, high = low or 0, high or 0
-    width = max(1, -(-(high - low + 1) // (rows // rows_per_bucket + 1)))
-    # decimals, as the span of two longs may not be a long
-    keyed = df.withColumn("_range", F.expr(f"CAST(CAST(`{id_col}` AS DECIMAL(20, 0)) - {low} AS DECIMAL(38, 0)) div {width}"))
-    by = [*lead, "_range"]
-    counts = running_totals(keyed.groupBy(*by).agg(F.count("*").alias("_rows")), by, "_rows")
-    offsets = counts.select(*by, "_before")
-    within = F.row_number().over(W.partitionBy(*by).orderBy(id_col))
-    base = start if isinstance(start, Column) else F.lit(start)
+    placed = in_ranges(df, order, df.count(), rows_per_range)
+    totals = running_totals(placed.groupBy("_range").agg(F.sum(value).alias("_sum")), ["_range"], "_sum")
+    earlier = W.partitionBy("_range").orderBy(*order).rowsBetween(W.unboundedPreceding, -1)
     return (
-        keyed.withColumn("_within", within)
-        .join(F.broadcast(offsets), by)
-        .withColumn("_number", base + F.col("_before") + F.col("_within"))
-        .drop("_range", "_within", "_before")
+        placed.withColumn("_within", F.coalesce(F.sum(value).over(earlier), F.lit(0)))
+        .join(F.broadcast(totals.select("_range", F.col("_before").alias("_offset"))), "_range")
+        .withColumn(out, F.col("_offset") + F.col("_within"))
+        .drop("_range", "_within", "_offset")
     )
 
 
-def assign_ids(df: DataFrame, order: str, out: str = "id", start: int = 0, lead: Sequence[str] = ()) -> DataFrame:
-    """Surrogate keys that continue after ``start``, in the order of ``order``."""
-    numbered = number_rows(df, order, start, lead)
-    return numbered.withColumn(out, F.col("_number").cast("long")).drop("_number")
+def number_rows(
+    df: DataFrame, id_col: str, start: Column | int = 0, lead: Sequence[str] = (), rows_per_bucket: int = ROWS_PER_BUCKET
+) -> DataFrame:
+    """Add ``_number``: ``start`` + 1, + 2, ... in the order of ``lead`` and ``id_col``.
+
+    ``id_col`` is a unique number. Rows are dealt out in ranges of equal size, so neither
+    sparse numbers nor a few far away from the rest put many rows into one task.
+    """
+    base = start if isinstance(start, Column) else F.lit(start)
+    numbered = prefix_sums(df.withColumn("_one", F.lit(1)), [*lead, id_col], "_one", rows_per_bucket)
+    return numbered.withColumn("_number", base + F.col("_before") + 1).drop("_before", "_one")

@@ -35,6 +35,27 @@ def test_number_rows_of_sparse_ids(spark):
     assert ranking.number_rows(df.limit(0), "id").count() == 0
 
 
+def test_ranges_are_even_despite_an_outlier(spark):
+    rows = 2_000_000
+    df = spark.range(rows).union(spark.createDataFrame([(2**60,)], "id long"))
+    sizes = [r["count"] for r in ranking.in_ranges(df, ["id"], rows + 1).groupBy("_range").count().collect()]
+    assert len(sizes) == 9 and max(sizes) <= 2 * (rows + 1) / len(sizes)
+    numbered = ranking.number_rows(df, "id")
+    wrong = numbered.where((F.col("id") < rows) & (F.col("_number") != F.col("id") + 1) | (F.col("id") >= rows) & (F.col("_number") != rows + 1))
+    assert numbered.count() == rows + 1 and wrong.isEmpty()
+
+
+def test_prefix_sums(spark):
+    rng = random.Random(8)
+    rows = sorted({(rng.choice("abc"), rng.randrange(-50, 50)) for _ in range(150)}) + [("d", 0)]
+    values = [rng.randrange(10) for _ in rows]
+    df = spark.createDataFrame([(*r, v) for r, v in zip(rows, values)] + [(None, 1, 5)], "k string, i long, v long").repartition(4)
+    for per_range in (20, 1000):
+        got = {(r.k, r.i): r["_before"] for r in ranking.prefix_sums(df, ["k", "i"], "v", per_range).collect()}
+        assert got == {(None, 1): 0} | {r: 5 + sum(values[:n]) for n, r in enumerate(rows)}
+    assert ranking.prefix_sums(df.limit(0), ["k", "i"], "v").count() == 0
+
+
 @pytest.mark.parametrize("small", [False, True])
 def test_no_text_is_aggregated(spark, small):
     dim, stg = _make(spark, DIM, DIMENSION_SCHEMA), _make(spark, STG, STAGING_SCHEMA)
