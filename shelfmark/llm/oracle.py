@@ -110,4 +110,58 @@ SELECT page_id, host, path,
 FROM split
 """
 
-ORACLE = {"op1_mix_sources": OP1, "op3_chat_format": OP3, "op4_top_k": OP4, "op6_url_filter": OP6, "op7_decontaminate": OP7}
+#: The checksum's table-free form: each byte of the digits, then its eight steps.
+_CRC = """xor(list_reduce(list_prepend(4294967295::BIGINT, flatten(list_transform(
+        string_split(doc_id::VARCHAR, ''), lambda c: list_prepend(ascii(c)::BIGINT, [-1, -1, -1, -1, -1, -1, -1, -1]::BIGINT[])))),
+        lambda acc, x: CASE WHEN x >= 0 THEN xor(acc, x) ELSE xor(acc >> 1, (acc & 1) * 3988292384) END), 4294967295)"""
+
+
+def _field(value: str) -> str:
+    return f"coalesce(octet_length(encode({value}::VARCHAR)) || ':' || {value}::VARCHAR, '-')"
+
+
+def _leaf(n_chars: str) -> str:
+    return "sha256(" + " || ".join(_field(v) for v in ("doc_id", "source", "lang", n_chars, "text")) + ")"
+
+
+_HALVED = """list_transform(range((len(nodes) + 1) // 2),
+        lambda i: sha256(nodes[2 * i + 1] || coalesce(nodes[2 * i + 2], '')))"""
+
+OP11 = f"""
+WITH RECURSIVE leaves AS MATERIALIZED (
+    SELECT coalesce('=' || lang, '') AS key, doc_id, {_leaf("n_chars")} AS leaf,
+           CASE WHEN {_CRC} % 7 = 0 THEN {_leaf("(n_chars::HUGEINT + 1)")} ELSE {_leaf("n_chars")} END AS claim
+    FROM documents
+), placed AS MATERIALIZED (
+    SELECT *, row_number() OVER (PARTITION BY encode(key) ORDER BY doc_id NULLS FIRST, leaf, claim) - 1 AS pos FROM leaves
+), levels AS (
+    SELECT key, 0 AS level, list(leaf ORDER BY pos) AS nodes FROM placed GROUP BY key
+    UNION ALL
+    SELECT key, level + 1, {_HALVED} FROM levels WHERE len(nodes) > 1
+), subroots AS MATERIALIZED (
+    SELECT key, nodes[1] AS subroot, level AS height, row_number() OVER (ORDER BY encode(key)) - 1 AS place
+    FROM levels WHERE len(nodes) = 1
+), tops AS (
+    SELECT 0 AS level, list(subroot ORDER BY place) AS nodes FROM subroots
+    UNION ALL
+    SELECT level + 1, {_HALVED} FROM tops WHERE len(nodes) > 1
+), steps AS (
+    SELECT key, level, nodes, NULL::BIGINT AS place FROM levels WHERE len(nodes) > 1
+    UNION ALL
+    SELECT key, height + level, nodes, place >> level FROM subroots, tops WHERE len(nodes) > 1
+), folded AS (
+    SELECT key, doc_id, leaf, pos, 0 AS level, claim AS node, '' AS beside FROM placed
+    UNION ALL
+    SELECT f.key, doc_id, leaf, pos, f.level + 1,
+           CASE WHEN coalesce(s.place, pos >> f.level) % 2 = 1 THEN sha256(nodes[coalesce(s.place, pos >> f.level)] || node)
+                ELSE sha256(node || coalesce(nodes[coalesce(s.place, pos >> f.level) + 2], '')) END,
+           beside || CASE WHEN coalesce(s.place, pos >> f.level) % 2 = 1 THEN nodes[coalesce(s.place, pos >> f.level)]
+                ELSE coalesce(nodes[coalesce(s.place, pos >> f.level) + 2], '') END
+    FROM folded f JOIN steps s ON s.key = f.key AND s.level = f.level
+), root AS (SELECT nodes[1] AS root FROM tops WHERE len(nodes) = 1)
+SELECT doc_id, leaf, subroot, root, sha256(beside) AS proof_sha256, node AS folded_root, node = root AS verified
+FROM folded JOIN subroots USING (key), root
+WHERE folded.level = height + (SELECT max(level) FROM tops)
+"""
+
+ORACLE = {"op11_merkle_manifest": OP11, "op1_mix_sources": OP1, "op3_chat_format": OP3, "op4_top_k": OP4, "op6_url_filter": OP6, "op7_decontaminate": OP7}

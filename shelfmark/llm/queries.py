@@ -4,11 +4,26 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+import pandas as pd
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfmark.llm import chat, decontaminate, html_main, mixing, quality, simhash, token_counts, topk, toxicity, urls
-from shelfmark.llm.common import fold, settle, table
+from shelfmark.llm import (
+    chat,
+    decontaminate,
+    forest,
+    html_main,
+    merkle,
+    mixing,
+    quality,
+    runs,
+    simhash,
+    token_counts,
+    topk,
+    toxicity,
+    urls,
+)
+from shelfmark.llm.common import fold, settle, ship_package, table
 from shelfmark.llm.oracle import ORACLE
 from shelfmark.session import scratch_path
 
@@ -116,6 +131,64 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _crc(doc_id: Column) -> Column:
+    return F.crc32(doc_id.cast("string").cast("binary"))
+
+
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every seventh id's row claims one character more than the manifest has."""
+    docs = table(spark, sf_dir, "documents")
+    names = ("doc_id", "source", "lang", "n_chars", "text")
+    true = merkle.leaf_hash([F.col(c) for c in names])
+    # a decimal, as the largest long has no successor
+    changed = merkle.leaf_hash([F.col(c).cast("decimal(20,0)") + 1 if c == "n_chars" else F.col(c) for c in names])
+    claim = F.when(_crc(F.col("doc_id")) % 7 == 0, changed).otherwise(true)
+    leaves = merkle.manifest(docs, F.col("lang"), F.col("doc_id"), true, claim)
+    return leaves.select(
+        F.col("id").alias("doc_id"),
+        "leaf",
+        "subroot",
+        "root",
+        F.col("proof").alias("proof_sha256"),
+        F.col("reached").alias("folded_root"),
+        (F.col("reached") == F.col("root")).alias("verified"),
+    )
+
+
+def op12_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return forest.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
+def planted_period(text: Column, crc: Column) -> Column:
+    """The text with a period planted into every tenth one, as its checksum says."""
+
+    @F.pandas_udf("string")
+    def planted(texts: pd.Series, sums: pd.Series) -> pd.Series:
+        out = []
+        for text, h in zip(texts, sums):
+            if not pd.isna(h) and int(h) % 10 == 0:
+                words = runs.words_of(text)
+                n, g = len(words), int(h) // 10
+                if n:
+                    a = g % n
+                    p = 1 + (n - a) // (3 + g % 8)
+                    unit = words[a : a + p]
+                    words[a:] = (unit * (-(-(n - a) // p)))[: n - a]
+                    text = b" ".join(words).decode("utf-8", "surrogatepass")
+            out.append(text)
+        return pd.Series(out, dtype=object)
+
+    # the checksum has 32 bits, which a double holds should some be null
+    return planted(text, crc)
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship_package(spark)
+    docs = table(spark, sf_dir, "documents")
+    texts = docs.select("doc_id", planted_period(F.col("text"), _crc(F.col("doc_id"))).alias("text"))
+    return runs.run_report(runs.periodic_runs(texts))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mix_sources": op1_mix_sources,
     "op2_toxicity": op2_toxicity,
@@ -127,4 +200,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_token_counts": op8_token_counts,
     "op9_main_text": op9_main_text,
     "op10_quality": op10_quality,
+    "op11_merkle_manifest": op11_merkle_manifest,
+    "op12_nearest": op12_nearest,
+    "op13_periodic_runs": op13_periodic_runs,
 }

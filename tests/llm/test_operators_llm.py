@@ -242,6 +242,15 @@ def test_simhash_against_brute_force(spark, block, monkeypatch):
     got = simhash.fingerprints(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     prints = {i: brute_fingerprint(t) for i, t in rows}
     assert all(r.fingerprint == f"{prints[r.doc_id]:016x}" for r in got) and len(got) == len(rows)
+    assert {r.doc_id: r.component_id for r in got} == brute_groups(prints)
+
+
+def test_simhash_matches_spark_hash(spark):
+    row = spark.range(1).select(F.xxhash64(F.lit("a b c é"))).first()[0]
+    assert simhash.shingle_hashes("A B C é", 4).astype(np.int64).tolist() == [row]
+
+
+def brute_groups(prints):
     root = {i: i for i in prints}
     changed = True
     while changed:
@@ -251,25 +260,38 @@ def test_simhash_against_brute_force(spark, block, monkeypatch):
                 if bin(prints[a] ^ prints[b]).count("1") <= 4 and root[a] != root[b]:
                     root[a] = root[b] = min(root[a], root[b])
                     changed = True
-    assert {r.doc_id: r.component_id for r in got} == root
+    return root
 
 
-def test_simhash_matches_spark_hash(spark):
-    row = spark.range(1).select(F.xxhash64(F.lit("a b c é"))).first()[0]
-    assert simhash.shingle_hashes("A B C é", 4).astype(np.int64).tolist() == [row]
+def test_pairs_under_the_minimum_of_shared_bytes_are_dropped():
+    a = np.uint64(0x0102030405060708)
+    one_byte_each = np.array([0, 1, 0x0101, 0x010101, 0x01010101, 0x0101010101], dtype=np.uint64)
+    assert simhash.shared_bytes(one_byte_each).tolist() == [8, 7, 6, 5, 4, 3]
+    assert simhash._near((a ^ one_byte_each) ^ a, 4).tolist() == [True] * 5 + [False]
+    assert simhash._near(np.array([0xFF], dtype=np.uint64), 4).tolist() == [False]
+    # five shared bytes and more meet in several lists, any pair of four in four of them
+    sets = simhash.byte_sets(4)
+    assert len(sets) == 56 and sum(set(s) <= {0, 2, 5, 7} for s in sets) == 4
 
 
 def test_one_of_each_group(spark, odd, empty):
     draw = random.Random(2)
-    text = " ".join(f"w{draw.randint(0, 10_000)}" for _ in range(400))
-    other = " ".join(f"v{draw.randint(0, 10_000)}" for _ in range(400))
-    rows = [(9, text, "", "", ""), (4, text, "", "", ""), (7, text.replace(" ", "  ") + " end", "", "", ""), (2, other, "", "", "")]
-    rows += [(11, other[: len(other) // 2], "", "", ""), (None, other, "", "", "")]
-    kept = simhash.one_of_each_group(spark.createDataFrame(rows, DOCS).withColumn("__fp", F.lit("own")))
-    assert kept.columns == [*odd.columns, "__fp"]
-    assert sorted(r.doc_id for r in kept.collect()) == [2, 4, 11]
-    left = sorted((r.doc_id for r in simhash.one_of_each_group(odd).collect()), key=str)
-    assert left == [1, 2, 3, 4, 5, None]
+    base = [f"w{draw.randint(0, 10_000)}" for _ in range(400)]
+    rows = []
+    for i in draw.sample(range(1000), 80):
+        words = list(base) if i % 3 else [f"v{draw.randint(0, 10_000)}" for _ in range(30)]
+        for _ in range(draw.randint(0, 6)):
+            words[draw.randrange(len(words))] = f"n{draw.randint(0, 99)}"
+        rows.append((i, " ".join(words), "", "", ""))
+    root = brute_groups({r[0]: brute_fingerprint(r[1]) for r in rows})
+    want = sorted(i for i in root if root[i] == i)
+    rows += [rows[0], rows[1], (None, rows[2][1], "", "", ""), (None, "alone in its group", "", "", "")]
+    kept = simhash.one_of_each_group(spark.createDataFrame(rows, DOCS).withColumns({"__fp": F.lit("own"), "__ROW": F.lit(1)}))
+    assert kept.columns == [*odd.columns, "__fp", "__ROW"]
+    assert sorted((r.doc_id for r in kept.collect()), key=lambda i: (i is None, i)) == [*want, None]
+    assert 1 < len(want) < 60
+    wordless = [r for r in simhash.one_of_each_group(odd).collect() if not (r.text or "").split()]
+    assert len(wordless) == 1
     assert simhash.one_of_each_group(empty).count() == 0
     assert simhash.fingerprints(empty).count() == 0
 
