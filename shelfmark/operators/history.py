@@ -110,6 +110,28 @@ def classify(stg: DataFrame, dim: DataFrame, small: bool | None = None) -> DataF
     return matched.unionByName(loose)
 
 
+def classify_parts(stg: DataFrame, opened: DataFrame, closed: DataFrame, small: bool | None = None) -> DataFrame:
+    """:func:`classify` against a dimension whose closed versions lie apart.
+
+    Of the closed versions only the keys are read, and only for rows of the batch that no
+    open version knows.
+    """
+    small = fits(stg) if small is None else small
+    keyed = stg.filter(all_present(KEYS))
+    compared = _compared(keyed, opened, small)
+    matched = settle(
+        keyed.join(compared, keyed["id"] == compared["_row"], "left").select(*[keyed[c] for c in stg.columns], "n", "_row", "_differs"),
+        "matched",
+    )
+    changed = matched.filter("_differs").withColumn("_action", F.lit(CHANGED))
+    unknown = matched.filter("_row IS NULL").drop("n").withColumn("n", F.lit(None).cast("long"))
+    seen = _seen_keys(_only_keys_of(closed, unknown, small))
+    fresh = unknown.join(seen, list(KEYS), "left_anti").withColumn("_action", F.lit(NEW))
+    loose = stg.filter(~all_present(KEYS)).withColumns({"_action": F.lit(NEW), "n": F.lit(None).cast("long")})
+    columns = [*stg.columns, "_action", "n"]
+    return fresh.select(*columns).unionByName(changed.select(*columns)).unionByName(loose.select(*columns))
+
+
 def expire_ids(dim: DataFrame, changed: DataFrame, small: bool | None = None) -> DataFrame:
     """Ids of all current versions of the changed keys."""
     keys = changed.select(*KEYS).distinct()

@@ -46,7 +46,8 @@ def mart_insert(mart: DataFrame, dw: DataFrame) -> DataFrame:
     qualifies only for an empty mart. The match is on the name alone, although the
     mart's key is name and manufacturer. A null-aware anti join would broadcast all
     names of the mart, so the NULL rules are taken from one scalar and the rest is
-    an ordinary join of distinct names; only the missing names go back to the rows.
+    an ordinary join of distinct names; only the missing names go back to the rows. As the
+    mart holds a key once, of several current versions the one with the highest id goes in.
     """
     rows = _undeleted(dw)
     state = F.when(F.count("*") == 0, "empty").when(F.max(F.col(_NAME).isNull()), "null").otherwise("plain")
@@ -56,6 +57,8 @@ def mart_insert(mart: DataFrame, dw: DataFrame) -> DataFrame:
     found = lookup(
         rows, missing.select(_NAME), [_NAME], "left_semi", "id", counts=missing, small=fits(missing)
     ).select(*MART)
+    latest = found.groupBy(*KEYS, F.when(~all_present(KEYS), F.col("id")).alias("_alone")).agg(F.max("id").alias("id"))
+    found = found.join(latest.select("id"), "id", "left_semi").select(*MART)
     nameless = rows.filter(F.col(_NAME).isNull() & (mart_state == "empty"))
     return found.filter(mart_state != "null").unionByName(nameless)
 

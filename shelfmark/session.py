@@ -6,6 +6,9 @@ import os
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -58,6 +61,8 @@ def ship_package(spark: SparkSession) -> None:
 
 #: Private folder of each local application without a configured one.
 _LOCAL: dict[str, str | None] = {}
+#: Folder of the run that is going on, if any.
+_RUN: ContextVar[str | None] = ContextVar("run_folder", default=None)
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
@@ -72,7 +77,23 @@ def scratch_path(spark: SparkSession, name: str) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         shared = _LOCAL.setdefault(spark.sparkContext.applicationId, None) or tempfile.mkdtemp(prefix="shelfmark-")
         _LOCAL[spark.sparkContext.applicationId] = shared
-    return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    return f"{(_RUN.get() or shared).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def run_folder(spark: SparkSession, name: str = "run") -> Iterator[str]:
+    """All that :func:`settle` writes in this block goes into one folder, deleted at its end.
+
+    For work that ends inside the block: a frame read from there is gone with it.
+    """
+    path = scratch_path(spark, name)
+    before = _RUN.set(path)
+    try:
+        yield path
+    finally:
+        _RUN.reset(before)
+        target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
 
 
 def settle(df: DataFrame, name: str = "settled") -> DataFrame:

@@ -7,8 +7,8 @@ from collections.abc import Mapping, Sequence
 from typing import Any
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from shelfmark.operators.lookup import fits
 from shelfmark.operators.ranking import running_totals
@@ -16,7 +16,13 @@ from shelfmark.schemas import DATE_DIM_SCHEMA
 from shelfmark.session import settle
 
 # Dialect of a feed file; a config row may override each of them.
-DIALECT = {"fields_terminated_by": ",", "optionally_enclosed_by": '"', "lines_terminated_by": "\n", "ignore_rows": 1}
+DIALECT = {
+    "fields_terminated_by": ",",
+    "optionally_enclosed_by": '"',
+    "escaped_by": "\\",
+    "lines_terminated_by": "\n",
+    "ignore_rows": 1,
+}
 NULL_TEXT = "\\N"
 #: Holds the line of a record that does not have the columns of its config row.
 _BAD = "_bad_record"
@@ -57,22 +63,26 @@ def _read_escapes(text: Column) -> Column:
     return F.when(F.contains(text, F.lit("\\")), plain).otherwise(text)
 
 
+def _dialect(config: Mapping[str, Any]) -> dict[str, Any]:
+    return {**DIALECT, **{k: v for k, v in config.items() if k in DIALECT and v is not None}}
+
+
 def csv_options(config: Mapping[str, Any]) -> dict[str, str]:
-    dialect = {**DIALECT, **{k: v for k, v in config.items() if k in DIALECT and v is not None}}
+    """How one record is parsed."""
+    dialect = _dialect(config)
     quote = dialect["optionally_enclosed_by"]
     return {
         "sep": _unescape(dialect["fields_terminated_by"]),
         "quote": quote,
         "escape": quote or "\\",
         "lineSep": _unescape(dialect["lines_terminated_by"]),
-        "encoding": "UTF-8",
-        # a missing value is an empty text, only \N is NULL
-        "nullValue": NULL_TEXT,
+        # line breaks inside quotes stay as they are
+        "multiLine": "true",
+        # what the parser takes for a missing value, that is, also a field of no characters
+        "nullValue": "\0",
         "emptyValue": "",
         "mode": "PERMISSIVE",
         "columnNameOfCorruptRecord": _BAD,
-        # all columns are parsed, so that every record is checked
-        "columnPruning": "false",
     }
 
 
@@ -82,72 +92,139 @@ def load_csv(
     """All-text rows of the files under ``path``, read the way ``config`` says.
 
     ``config`` is a row of the config table (or a dict): field and line terminators,
-    optional quote, rows to skip per file, and the column list. With ``numbered`` an
-    ``id`` counts the rows 1, 2, ... in file order, as the staging key does.
-
-    A file is read in blocks by many tasks. Only the row count of each block goes
-    through a global running total; a row's number is its block's offset plus its
-    place in the block, so numbering needs no shuffle of the rows. A record is one
-    line, which is what lets one file be split: line breaks inside a text are written
-    as escapes (``\\n``), as ``export_csv`` does, and read back, like every other
-    escape by a backslash. ``\\N`` is NULL. A record with more or fewer fields than
-    columns, as a line break inside quotes makes two of, fails the job that reads it.
+    optional quote, escape, records to skip per file, and the column list. With
+    ``numbered`` an ``id`` counts the rows 1, 2, ... in file order, as the staging key does.
+
+    A file is read in blocks by many tasks, line by line; a record may be several lines, as
+    line breaks inside quotes belong to the text. A line begins a record if the quotes
+    before it in its file are even in number. So quotes are counted per block, a running
+    parity over the blocks says whether a block begins inside quotes, and only the lines of
+    records that are not whole are brought together. Blank lines between records are left.
+    Where no line has an odd number of quotes, every line is a record and nothing is moved:
+    the only thing ordered globally is one row per block.
+
+    ``\\N`` is NULL, and a backslash escapes line breaks and itself, as ``export_csv``
+    writes them; an empty ``escaped_by`` takes backslashes as they are. A record with more
+    or fewer fields than columns fails the job that reads it, a file that ends inside
+    quotes (a stray quote does that) this call.
     """
     columns = map_columns(config["staging_fields"])
-    skip = int(config.get("ignore_rows") if config.get("ignore_rows") is not None else DIALECT["ignore_rows"])
-    schema = T.StructType([T.StructField(c, T.StringType()) for c in [*columns, _BAD]])
-    reader = spark.read.schema(schema).options(**csv_options(config))
-    if skip == 1:
-        reader = reader.option("header", "true").option("enforceSchema", "true")
-    rows = reader.csv(path)
-    if skip <= 1:
-        rows = _checked(rows, columns)
-    rows = rows.withColumns({c: _read_escapes(F.col(c)) for c in columns})
-    if file_column and (numbered or skip > 1):
-        raise ValueError("rows with the address of their file are not numbered and skip the header at most")
-    if not numbered and skip <= 1:
-        rows = rows.select(*columns, "_metadata") if file_column else rows.select(*columns)
-        return rows.withColumn(file_column, F.col("_metadata.file_path")).drop("_metadata") if file_column else rows
-    return _numbered(rows, columns, skip if skip > 1 else 0)
-
-
-def _checked(rows: DataFrame, columns: list[str], of: Column | None = None) -> DataFrame:
-    """``rows`` (where ``of`` holds); reading one of them that was not whole raises."""
-    of = F.lit(True) if of is None else of
-    # the first column is named too, as Spark reads no query of the bad records alone
-    shown = F.concat(F.lit("fields do not match the columns: "), F.col(_BAD), F.substring(F.coalesce(columns[0], F.lit("")), 1, 0))
-    return rows.where(F.when(of & F.col(_BAD).isNotNull(), F.raise_error(shown).cast("boolean")).otherwise(of))
-
-
-def _numbered(rows: DataFrame, columns: list[str], skip: int) -> DataFrame:
-    block = ["_file", "_start"]
-    placed = rows.select(
-        *columns,
-        _BAD,
+    dialect = _dialect(config)
+    skip, quote = int(dialect["ignore_rows"]), dialect["optionally_enclosed_by"]
+    lines = spark.read.option("lineSep", _unescape(dialect["lines_terminated_by"])).text(path)
+    odd = F.char_length("value") - F.char_length(F.replace("value", F.lit(quote), F.lit(""))) if quote else F.lit(0)
+    lines = lines.select(
+        "value",
+        (odd % 2).alias("_odd"),
         F.col("_metadata.file_path").alias("_file"),
         F.col("_metadata.file_block_start").alias("_start"),
-        F.monotonically_increasing_id().alias("_seq"),
     )
-    blocks = placed.groupBy(*block).agg(F.count("*").alias("_rows"), F.min("_seq").alias("_first"))
-    in_table = running_totals(blocks, block, "_rows").withColumnRenamed("_before", "_offset")
-    if skip:
-        # how many skipped lines come before this block, and where its file begins
-        file_first = in_table.groupBy("_file").agg(F.min("_offset").alias("_file_offset"))
-        order = file_first.withColumn("_one", F.lit(skip))
-        skipped = running_totals(order, ["_file"], "_one").withColumnRenamed("_before", "_skipped")
-        in_table = in_table.join(skipped.select("_file", "_file_offset", "_skipped"), "_file")
+    blank = F.trim("value") == ""
+    filled = lines.where(~blank).withColumn("_seq", F.monotonically_increasing_id())
+    blocks = settle(
+        filled.groupBy("_file", "_start").agg(F.count("*").alias("_rows"), F.sum("_odd").alias("_odd"), F.min("_seq").alias("_first")),
+        "blocks",
+    )
+    cut = blocks.groupBy("_file").agg(F.sum("_odd").alias("_odd")).where(F.col("_odd") % 2 == 1).first()
+    if cut is not None:
+        raise BadFile(f"{cut['_file']} ends inside quotes")
+    if blocks.where("_odd > 0").isEmpty():
+        records = filled
     else:
-        in_table = in_table.withColumns({"_file_offset": F.lit(0), "_skipped": F.lit(0)})
+        records, blocks = _whole_records(lines, blank, blocks, _unescape(dialect["lines_terminated_by"]))
+    return _parsed(_placed(records, blocks, skip), columns, config, numbered, file_column)
+
+
+class BadFile(ValueError):
+    """A file that is not what its dialect says."""
+
+
+def _whole_records(lines: DataFrame, blank: Column, blocks: DataFrame, line_break: str) -> tuple[DataFrame, DataFrame]:
+    """Records of one or several lines, with blocks counted in records."""
+    block = ["_file", "_start"]
+    earlier = W.partitionBy("_file").orderBy("_start").rowsBetween(W.unboundedPreceding, -1)
+    inside = blocks.withColumn("_inside", F.coalesce(F.sum("_odd").over(earlier), F.lit(0)) % 2).select(*block, "_inside")
+    # settled, as the places of the lines go into two jobs
+    placed = settle(lines.withColumns({"_seq": F.monotonically_increasing_id(), "_blank": blank}), "lines")
+    before = W.partitionBy(*block).orderBy("_seq").rowsBetween(W.unboundedPreceding, -1)
+    known = placed.join(F.broadcast(inside) if fits(inside) else inside, block, "left")
+    quoted = (F.coalesce("_inside", F.lit(0)) + F.coalesce(F.sum("_odd").over(before), F.lit(0))) % 2 == 1
+    told = known.withColumn("_quoted", quoted).where("_quoted OR NOT _blank")
+    begins = (~F.col("_quoted")).cast("long")
+    told = settle(told.withColumn("_record", F.sum(begins).over(before.rowsBetween(W.unboundedPreceding, 0))), "lines")
+    counted = settle(
+        told.groupBy(*block).agg(F.sum(begins).alias("_rows")).where("_rows > 0").withColumn("_first", F.lit(0).cast("long")), "blocks"
+    )
+    alone = F.expr("NOT _quoted AND _odd = 0")
+    single = told.where(alone).select("value", *block, (F.col("_record") - 1).alias("_seq"))
+    # a part of a block's first record begins in an earlier block: the last that has records
+    starts = told.where(~alone).select(*block).distinct()
+    latest = W.partitionBy("_file").orderBy("_start").rowsBetween(W.unboundedPreceding, -1)
+    owners = (
+        starts.join(counted.select(*block, "_rows"), block, "full")
+        .withColumn("_owner", F.last(F.when(F.col("_rows").isNotNull(), F.struct("_start", "_rows")), ignorenulls=True).over(latest))
+        .select(*block, "_owner")
+    )
+    parts = told.where(~alone).join(F.broadcast(owners) if fits(owners) else owners, block)
+    carried = F.col("_record") == 0
+    joined = (
+        parts.select(
+            "_file",
+            F.when(carried, F.col("_owner._start")).otherwise(F.col("_start")).alias("_at"),
+            F.when(carried, F.col("_owner._rows")).otherwise(F.col("_record")).alias("_record"),
+            F.struct("_start", "_seq", "value").alias("_line"),
+        )
+        .groupBy("_file", "_at", "_record")
+        .agg(F.array_sort(F.collect_list("_line")).alias("_lines"))
+        .select(
+            F.array_join(F.transform("_lines", lambda x: x["value"]), line_break).alias("value"),
+            "_file",
+            F.col("_at").alias("_start"),
+            (F.col("_record") - 1).alias("_seq"),
+        )
+    )
+    return single.union(joined), counted
+
+
+def _placed(records: DataFrame, blocks: DataFrame, skip: int) -> DataFrame:
+    """Records with ``_file``, ``id`` over all files, and ``_kept``, false for the first
+    ``skip`` records of a file."""
+    block = ["_file", "_start"]
+    offsets = running_totals(blocks, block, "_rows").withColumnRenamed("_before", "_offset")
+    # the records to skip that come before this block, and where its file begins
+    files = blocks.groupBy("_file").agg(F.sum("_rows").alias("_all"))
+    skipped = running_totals(files.withColumn("_out", F.least("_all", F.lit(skip))), ["_file"], "_out")
+    begins = offsets.groupBy("_file").agg(F.min("_offset").alias("_file_offset"))
+    table = settle(offsets.join(begins, "_file").join(skipped.select("_file", F.col("_before").alias("_skipped")), "_file"), "offsets")
     # one row per file block: a block is one task's rows, which a plain join can shuffle too
-    in_table = settle(in_table, "blocks")
-    located = placed.join(F.broadcast(in_table) if fits(in_table) else in_table, block).withColumn(
-        "_row", F.col("_offset") + F.col("_seq") - F.col("_first")
+    located = records.join(F.broadcast(table) if fits(table) else table, block)
+    row = F.col("_offset") + F.col("_seq") - F.col("_first")
+    return located.select(
+        "value",
+        "_file",
+        (row - F.col("_skipped") - skip + 1).cast("long").alias("id"),
+        (row - F.col("_file_offset") >= skip).alias("_kept"),
     )
-    if skip:
-        # one condition, as a check of its own would be moved before the skipping
-        located = _checked(located, columns, F.col("_row") - F.col("_file_offset") >= skip)
-    number = F.col("_row") - F.col("_skipped") - F.lit(skip) + 1
-    return located.select(number.cast("long").alias("id"), *columns)
+
+
+def _parsed(records: DataFrame, columns: list[str], config: Mapping[str, Any], numbered: bool, file_column: str | None) -> DataFrame:
+    schema = ", ".join(f"`{c}` STRING" for c in [*columns, _BAD])
+    # a generator, as it parses once, and keeps the check below from moving before the skipping
+    fields = F.from_csv("value", schema, csv_options(config))
+    parsed = records.select("_file", "id", F.explode(F.filter(F.array(F.when(F.col("_kept"), fields)), lambda r: r.isNotNull())).alias("_r"))
+    bad = F.concat(F.lit("fields do not match the columns: "), F.col(f"_r.{_BAD}"))
+    checked = parsed.where(F.when(F.col(f"_r.{_BAD}").isNotNull(), F.raise_error(bad).cast("boolean")).otherwise(F.lit(True)))
+    escapes = bool(_dialect(config)["escaped_by"])
+
+    def text(column: str) -> Column:
+        # a field of no characters is an empty text, only \N is NULL, where there are escapes
+        found = F.coalesce(F.col(f"_r.`{column}`"), F.lit(""))
+        return F.when(found != NULL_TEXT, _read_escapes(found)) if escapes else found
+
+    fields = [text(c).alias(c) for c in columns]
+    number = [F.col("id")] if numbered else []
+    place = [F.col("_file").alias(file_column)] if file_column else []
+    return checked.select(*number, *fields, *place)
 
 
 def load_date_dim(spark: SparkSession, path: str) -> DataFrame:
@@ -173,15 +250,19 @@ def export_csv(df: DataFrame, path: str) -> int:
     return int(written.get["rows"])
 
 
-def file_stats(df: DataFrame) -> DataFrame:
-    """One row: ``rows``, ``bytes`` and ``size_kb`` (rounded up) of the files read.
+def folder_size(spark: SparkSession, path: str) -> DataFrame:
+    """One row: ``files`` and ``bytes`` of what lies under ``path``.
 
-    Sizes come from the listing of the files, so files without rows count too; their
-    contents are not read for it.
+    The listing is a distributed table; neither contents nor names come to the driver.
     """
-    files = df.inputFiles()
-    size = F.lit(0).cast("long")
-    if files:
-        size = df.sparkSession.read.format("binaryFile").load(files).agg(F.sum("length")).scalar()
-    counted = df.agg(F.count(F.lit(1)).alias("rows")).withColumn("bytes", size)
-    return counted.withColumn("size_kb", F.ceil(F.col("bytes") / 1024))
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+    return files.agg(F.count("*").alias("files"), F.coalesce(F.sum("length"), F.lit(0)).alias("bytes"))
+
+
+def file_stats(rows: DataFrame, path: str) -> DataFrame:
+    """One row: the number of ``rows``, and ``files``, ``bytes`` and ``size_kb`` (rounded up)
+    of the folder they were read from. Files without rows count too."""
+    size = folder_size(rows.sparkSession, path).withColumn("rows", F.lit(0).cast("long"))
+    counted = rows.agg(F.count(F.lit(1)).alias("rows"), *[F.lit(0).cast("long").alias(c) for c in ("files", "bytes")])
+    both = counted.unionByName(size).agg(*[F.sum(c).alias(c) for c in ("rows", "files", "bytes")])
+    return both.withColumn("size_kb", F.ceil(F.col("bytes") / 1024))

@@ -2,18 +2,21 @@
 
 import csv
 import json
+import os
 import random
 from urllib.parse import urljoin
 
 import pytest
 from pyspark.sql import functions as F
 
-from shelfmark.operators import calendar, checks, history
+from shelfmark.operators import calendar, checks, control, history
+from shelfmark.operators.control import AlreadyRun, MissingInput
 from shelfmark.plans import derived as D
-from shelfmark.operators.control import AlreadyRun
+from shelfmark.plans import pipeline, warehouse
 from shelfmark.plans.pipeline import ExportFailed, FeedPaths, LoadFailed, load_feeds, pages_to_csv, run_feed_files
-from shelfmark.schemas import DIMENSION_SCHEMA, FEED_A_FIELDS, FEED_B_FIELDS, KEYS, LOG_SCHEMA, MART_SCHEMA
+from shelfmark.schemas import DIMENSION_SCHEMA, FEED_A_FIELDS, FEED_B_FIELDS, KEYS, LOG_SCHEMA
 from shelfmark.sources import csv_feed, markup, pages, spec, tables
+from shelfmark.sources.versions import Conflict
 
 TRICKY = [("1", 'say "hi"', "a,b"), ("2", "", "x\\y"), ("3", "ế", " sp "), ("4", "\\N", "end")]
 
@@ -47,7 +50,7 @@ def test_file_stats_counts_files_without_rows(spark, tmp_path):
     (tmp_path / "a.csv").write_text("k\n")
     (tmp_path / "b.csv").write_text("k\n1\n2\n")
     read = csv_feed.load_csv(spark, str(tmp_path), {"staging_fields": "k"}, numbered=False)
-    assert tuple(csv_feed.file_stats(read).first()) == (2, 8, 1)
+    assert tuple(csv_feed.file_stats(read, str(tmp_path)).first()) == (2, 2, 8, 1)
 
 
 @pytest.mark.parametrize(("skip", "small"), [(0, True), (1, True), (3, True), (3, False)])
@@ -75,7 +78,7 @@ def test_file_stats(spark, tmp_path):
     path = str(tmp_path / "out")
     written = csv_feed.export_csv(df, path)
     read = csv_feed.load_csv(spark, path, {"staging_fields": "k"}, numbered=False)
-    row = csv_feed.file_stats(read).first()
+    row = csv_feed.file_stats(read, path).first()
     size = sum(p.stat().st_size for p in (tmp_path / "out").glob("part-*"))
     assert (row["rows"], row["bytes"], row["size_kb"]) == (written, size, -(-size // 1024))
 
@@ -210,7 +213,7 @@ def test_spec_from_json(spark):
 
 
 @pytest.mark.parametrize("feed, fields", [("a", FEED_A_FIELDS), ("b", FEED_B_FIELDS)])
-def test_file_to_mart(spark, tmp_path, feed, fields):
+def test_file_to_mart(spark, tmp_path, monkeypatch, feed, fields):
     raw = D.raw(spark, "/root/testdata/sf0.001", feed)
     rows = raw.orderBy("id").select(*fields).collect()
     path = tmp_path / "feed.csv"
@@ -223,24 +226,57 @@ def test_file_to_mart(spark, tmp_path, feed, fields):
     logs = spark.createDataFrame([(7, 2, str(path), "C_SE")], "file_log_id long, config_id long, file_path string, status string")
     stamp = F.lit("2024-11-04 01:00:00").cast("timestamp_ntz")
     logs = logs.withColumns({"create_time": stamp, "update_at": stamp})
-    p = {n: str(tmp_path / n) for n in ("staging", "dim_in", "dim_out", "mart_in", "mart_out", "calendar")}
-    calendar.date_dim(spark, *D.CALENDAR).write.parquet(p["calendar"])
-    spark.createDataFrame([], DIMENSION_SCHEMA).write.parquet(p["dim_in"])
-    spark.createDataFrame([], MART_SCHEMA).write.parquet(p["mart_in"])
+    logs = logs.select(*[(F.col(f.name) if f.name in logs.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in LOG_SCHEMA])
+    paths = FeedPaths(**{n: str(tmp_path / n) for n in ("log", "staging", "dimension", "mart", "calendar", "runs")})
+    calendar.date_dim(spark, *D.CALENDAR).write.parquet(paths.calendar)
+    tables.reload(logs, paths.log)
+
+    # the mart step fails after the dimension has been loaded
+    sync = warehouse.Mart.sync
+    monkeypatch.setattr(warehouse.Mart, "sync", lambda self: 1 / 0)
+    with pytest.raises(LoadFailed) as failed:
+        run_feed_files(spark, feed, config, configs, paths, D.AS_OF)
+    assert failed.value.log.first().status == tables.read(spark, paths.log).first().status == "L_FE"
+    monkeypatch.setattr(warehouse.Mart, "sync", sync)
+    with pytest.raises(MissingInput):  # it is no longer ready
+        run_feed_files(spark, feed, config, configs, paths, D.AS_OF)
+    # the next run neither reads nor parses the file again
+    for name in ("load_csv", "stage_feed"):
+        monkeypatch.setattr(pipeline, name, lambda *a, **b: 1 / 0)
+    done = run_feed_files(spark, feed, config, configs, paths, "2024-11-05 00:00:00", resume=7)
+    assert done.first().status == "L_SE" and not os.listdir(paths.runs)
+    with pytest.raises(MissingInput):
+        run_feed_files(spark, feed, config, configs, paths, D.AS_OF, resume=7)
 
-    done = run_feed_files(spark, feed, config, logs, configs, FeedPaths(**p), D.AS_OF)
-    assert done.first().status == "L_SE"
     staged = D.staged(spark, "/root/testdata/sf0.001", feed)
-    loaded = spark.read.parquet(p["dim_out"])
-    assert loaded.count() == staged.count() == spark.read.parquet(p["mart_out"]).count() > 0
+    loaded = warehouse.Dimension(spark, paths.dimension).read()
+    synced = warehouse.Mart(spark, paths.mart, warehouse.Dimension(spark, paths.dimension)).read()
+    assert loaded.count() == staged.count() == tables.read(spark, paths.staging).count() > 0
+    assert synced.count() == loaded.count() and {str(r.created_at) for r in loaded.collect()} == {D.AS_OF}
     same = ["product_name", "price", "length", "width", "height", "weight", "manufacturer"]
     assert loaded.select(same).exceptAll(staged.select(same)).isEmpty()
     assert sorted(r.id for r in loaded.collect()) == list(range(1, loaded.count() + 1))
 
-    # the mart's folder is there already, so the same load now fails and the log says so
-    with pytest.raises(LoadFailed) as failed:
-        run_feed_files(spark, feed, config, logs, configs, FeedPaths(**{**p, "dim_out": p["dim_out"] + "2"}), D.AS_OF)
-    assert failed.value.log.first().status == "L_FE"
+
+def test_a_ready_file_is_claimed_once(spark, tmp_path):
+    logs = [(1, 2, "C_SE"), (2, 2, "C_SE"), (3, 2, "C_FE")]
+    df = spark.createDataFrame(logs, "file_log_id long, config_id long, status string")
+    stamp = F.lit("2024-11-04 01:00:00").cast("timestamp_ntz")
+    df = df.withColumns({"create_time": stamp, "update_at": stamp, "file_path": F.lit("f")})
+    df = df.select(*[(F.col(f.name) if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in LOG_SCHEMA])
+    configs = spark.createDataFrame([(2, "two")], "config_id long, process_name string")
+    one, two = (warehouse.Log(spark, str(tmp_path / "log")) for _ in range(2))
+    one.table.replace(df)
+    # the second run begins at the state the first one saw: its commit is refused
+    base, _ = two.table.folder.head()
+    seen = two.read()
+    assert one.claim(configs, 2, D.AS_OF, "2024-11-04").file_log_id == 1
+    with pytest.raises(Conflict):
+        two.table.replace(control.transition(seen, 1, "L_P", D.AS_OF), base)
+    assert two.claim(configs, 2, D.AS_OF, "2024-11-04").file_log_id == 2
+    with pytest.raises(MissingInput):
+        one.claim(configs, 2, D.AS_OF, "2024-11-04")
+    assert {r.file_log_id: r.status for r in one.read().collect()} == {1: "L_P", 2: "L_P", 3: "C_FE"}
 
 
 def test_two_feeds_into_one_dimension(spark):
@@ -260,15 +296,15 @@ def test_two_feeds_into_one_dimension(spark):
 
 def test_pages_to_csv(spark, tmp_path):
     df = spark.createDataFrame([(PAGE_A,), (PAGE_A,)], "html string")
-    logs, path = spark.createDataFrame([], LOG_SCHEMA), str(tmp_path / "out")
-    log = pages_to_csv(df, spec.feed_a_spec(), path, logs, 2, D.AS_OF)
-    row = log.first()
+    logs, path = warehouse.Log(spark, str(tmp_path / "log")), str(tmp_path / "out")
+    row = pages_to_csv(df, spec.feed_a_spec(), path, logs, 2, D.AS_OF).first()
     assert (row.status, row["count"], row.file_path, row.file_log_id) == ("C_SE", 2, path, 1) and row.file_size >= 1
     rows = csv_feed.load_csv(spark, path, {"staging_fields": ", ".join(FEED_A_FIELDS)}).collect()
     assert [(r.name, r.images) for r in rows] == [("Chuột X1", "a.png, b.png")] * 2
     with pytest.raises(AlreadyRun):
-        pages_to_csv(df, spec.feed_a_spec(), path, log, 2, D.AS_OF)
+        pages_to_csv(df, spec.feed_a_spec(), path, logs, 2, D.AS_OF)
     bad = [dict(spec.feed_a_spec()[0], type="css")]
     with pytest.raises(ExportFailed) as failed:
-        pages_to_csv(df, bad, path, log, 3, D.AS_OF)
+        pages_to_csv(df, bad, path, logs, 3, D.AS_OF)
     assert {r.config_id: r.status for r in failed.value.log.collect()} == {2: "C_SE", 3: "C_FE"}
+    assert {r.config_id: r.status for r in logs.read().collect()} == {2: "C_SE", 3: "C_FE"}
