@@ -298,7 +298,51 @@ both_feeds AS (SELECT id, source, product_name, manufacturer, price, EXISTS (
     SELECT 1 FROM pairs JOIN act USING (stg_id) WHERE dim_id = one.id AND a = 1) AS isDelete FROM one
   UNION ALL SELECT new_id, source, product_name, manufacturer, price, FALSE FROM added)"""
 
+
+
+def _again(sql: str, mart: str, dw: str) -> str:
+    """A mart step over another mart and warehouse."""
+    return sql.replace("FROM mart m", f"FROM {mart} m").replace("JOIN dw s", f"JOIN {dw} s").replace("FROM dw ", f"FROM {dw} ")
+
+
+_TWICE = ", ".join(
+    (
+        "before AS (SELECT * FROM dim d WHERE NOT d.isDelete)",
+        f"updated0 AS ({_again(_UPDATED, 'mart', 'before')})",
+        f"synced0 AS (SELECT {_MART_COLUMNS} FROM updated0 UNION ALL {_again(_not_in('updated0'), 'mart', 'before')})",
+        f"mart1 AS (SELECT {_MART_COLUMNS} FROM synced0 WHERE id NOT IN (SELECT id FROM dim WHERE isDelete))",
+        f"updated1 AS ({_again(_UPDATED, 'mart1', 'dw')})",
+        f"synced1 AS (SELECT {_MART_COLUMNS} FROM updated1 UNION ALL {_not_in('updated1')})",
+    )
+)
+_TWICE_SYNCED = f"{_with('dw', '').rstrip()}, {_TWICE} {_without_deleted('synced1')}"
+
+_LAST_READY = """last AS (SELECT create_time AS t, config_id AS c FROM logs WHERE status = 'C_SE'
+      ORDER BY create_time DESC, config_id DESC LIMIT 1)"""
+_CLAIMED = "status = 'C_SE' AND config_id = c AND CAST(create_time AS DATE) = CAST(t AS DATE)"
+
+
+def _texts(text: str) -> str:
+    return (
+        "SELECT doc_id, source, CAST(length(t) AS BIGINT) AS chars, md5(t) AS text_md5,"
+        " (SELECT COUNT(*) FROM documents) AS ids, (SELECT CAST(COUNT(*) * (COUNT(*) + 1) // 2 AS BIGINT) FROM documents) AS id_sum"
+        f" FROM (SELECT *, {text} AS t FROM documents)"
+    )
+
+
 ORACLE: dict[str, str] = {
+    "scd2_increment": _with("loaded", "SELECT * FROM loaded"),
+    "arrivals_exactly_once": f"{_TWO_FEEDS} SELECT * FROM both_feeds",
+    "mart_increment": _TWICE_SYNCED,
+    "log_claims": f"""WITH {_LOGS}, {_LAST_READY}
+    SELECT file_log_id, config_id, strftime(create_time, {_STAMP}) AS create_time, file_path, count, file_size,
+      CASE WHEN {_CLAIMED} THEN '{D.AS_OF}' ELSE strftime(update_at, {_STAMP}) END AS update_at,
+      CASE WHEN {_CLAIMED} THEN 'L_P' ELSE status END AS status FROM logs, last""",
+    "ready_file_today": f"""WITH {_LOGS}, {_LAST_READY}
+    SELECT config_id, c_name AS process_name, file_log_id, file_path FROM logs JOIN last ON {_CLAIMED}
+    JOIN customer ON config_id = c_custkey ORDER BY file_log_id LIMIT 1""",
+    "csv_escapes": _texts("CASE WHEN doc_id % 10 <> 0 THEN text || '\\N \"x\\\"' || chr(13) || chr(10) || chr(9) END"),
+    "csv_line_breaks": _texts("text || '\\N \"x\\\"' || chr(10) || chr(10) || chr(9) || ',' || chr(10)"),
     "staging_reload": _FEED_ROWS["b"],
     "staging_append": _union_feeds(),
     "load_two_feeds": f"{_TWO_FEEDS} SELECT * FROM both_feeds",
@@ -373,10 +417,13 @@ ORACLE: dict[str, str] = {
         " AS file_path FROM orders"
     ),
     "csv_roundtrip": (
-        "SELECT c_custkey, c_name, CAST(c_nationkey AS BIGINT) AS c_nationkey, c_acctbal, c_mktsegment,"
-        " (SELECT COUNT(*) FROM customer) AS written, TRUE AS id_in_range FROM customer"
+        "SELECT c_custkey, c_name, CAST(c_nationkey AS BIGINT) AS c_nationkey, c_acctbal, c_mktsegment, n AS written, n AS ids,"
+        " CAST(n * (n + 1) // 2 AS BIGINT) AS id_sum FROM customer, (SELECT COUNT(*) AS n FROM customer)"
+    ),
+    "file_stats": (
+        "SELECT COUNT(*) AS rows, CAST(SUM(b) AS BIGINT) AS bytes, CAST(ceil(SUM(b) / 1024) AS BIGINT) AS size_kb"
+        " FROM (SELECT octet_length(encode(c_name || ', ' || c_mktsegment)) + 1 AS b FROM customer)"
     ),
-    "file_stats": "SELECT COUNT(*) AS rows, TRUE AS size_rounded_up FROM lineitem",
     "html_extract_fields": _HTML_FIELDS,
     "html_extract_links": _LINKS,
     "html_listing_links": _LISTING,

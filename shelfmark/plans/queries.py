@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import StreamingQueryException
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -14,11 +15,14 @@ from shelfmark.operators import calendar as C
 from shelfmark.operators import checks, control, history, mart, staging
 from shelfmark.operators.lookup import all_present
 from shelfmark.plans import derived as D
+from shelfmark.plans import warehouse
 from shelfmark.plans.pipeline import load_feeds, run_feed
-from shelfmark.schemas import DIMENSION_SCHEMA, KEYS
+from shelfmark.schemas import DIMENSION_SCHEMA, FEEDS, KEYS
 from shelfmark.session import scratch_path, settle
 from shelfmark.sources import csv_feed, pages, spec, tables
 from shelfmark.sources.markup import attribute, inner, opening
+from shelfmark.sources.versions import Conflict
+from shelfmark.streaming import arrivals
 
 Query = Callable[[SparkSession, str], DataFrame]
 DAY = "1997-05-28"
@@ -173,9 +177,60 @@ def load_two_feeds(spark: SparkSession, sf: str) -> DataFrame:
     return report(loaded.select("id", "source", *KEYS, "price", "isDelete"))
 
 
+def _stored_dimension(spark: SparkSession, sf: str) -> tuple[warehouse.Dimension, DataFrame]:
+    stg, dim = D.states(spark, sf, "a")
+    stored = warehouse.Dimension(spark, scratch_path(spark, "dimension"))
+    stored.create(dim, _calendar(spark))
+    return stored, stg
+
+
+def scd2_increment(spark: SparkSession, sf: str) -> DataFrame:
+    """The load by increments; a second load of the same name changes nothing."""
+    stored, stg = _stored_dimension(spark, sf)
+    for _ in range(2):
+        stored.load(stg, _calendar(spark), D.AS_OF, "day")
+    return report(stored.read())
+
+
+def arrivals_exactly_once(spark: SparkSession, sf: str) -> DataFrame:
+    """Files of feed A arrive, the stream is cut off after the load and started again, then
+    files of feed B arrive."""
+    folder, checkpoint = scratch_path(spark, "arrivals"), scratch_path(spark, "arrivals-checkpoint")
+    stored = warehouse.Dimension(spark, scratch_path(spark, "dimension"))
+
+    def cut(batch: int) -> None:
+        raise RuntimeError("cut off")
+
+    for feed, after in (("a", cut), ("a", None), ("b", None)):
+        fields = ["id", *FEEDS[feed].fields]
+        if after or feed == "b":
+            csv_feed.export_csv(D.raw(spark, sf, feed).select(*fields), f"{folder}/{feed}")
+        config = {"staging_fields": ", ".join(fields)}
+        options = {"loaded": after} if after else {}
+        stream = arrivals.load_into_dimension(
+            spark, f"{folder}/{feed}", config, f"{checkpoint}/{feed}", feed, stored, _calendar(spark), D.AS_OF, feed, **options
+        )
+        try:
+            stream.awaitTermination()
+        except StreamingQueryException:
+            if not after:
+                raise
+    return report(stored.read().select("id", "source", *KEYS, "price", "isDelete"))
+
+
 # --- mart ----------------------------------------------------------------------
 
 
+def mart_increment(spark: SparkSession, sf: str) -> DataFrame:
+    """A mart that was synced whole, after the changes of one load."""
+    stored, stg = _stored_dimension(spark, sf)
+    shop = warehouse.Mart(spark, scratch_path(spark, "mart"), stored)
+    shop.create(D.mart(stored.read()))
+    stored.load(stg, _calendar(spark), D.AS_OF, "day")
+    shop.sync()
+    return report(shop.read())
+
+
 def _mart_step(step: Callable[[DataFrame, DataFrame], DataFrame]) -> Query:
     def query(spark: SparkSession, sf: str) -> DataFrame:
         dim, loaded = _loaded(spark, sf)
@@ -221,13 +276,48 @@ def date_dim_copy(spark: SparkSession, sf: str) -> DataFrame:
 def ready_file(spark: SparkSession, sf: str) -> DataFrame:
     """The one ready file of a configuration on the last day it has one."""
     logs = D.logs(spark, sf)
-    ready = logs.filter(F.col("status") == "C_SE")
-    picked = ready.agg(F.max(F.struct("create_time", "config_id")).alias("last")).select("last.*").first()
+    picked = _last_ready(logs)
     day = picked["create_time"].strftime("%Y-%m-%d")
     one = control.ready_file(logs, D.configs(spark, sf), picked["config_id"], day)
     return report(one.select("config_id", "process_name", "file_log_id", "file_path"))
 
 
+def _last_ready(logs: DataFrame) -> Row:
+    ready = logs.filter(F.col("status") == "C_SE")
+    return ready.agg(F.max(F.struct("create_time", "config_id")).alias("last")).select("last.*").first()
+
+
+def ready_file_today(spark: SparkSession, sf: str) -> DataFrame:
+    """The same without a day, when that last day is today."""
+    logs = D.logs(spark, sf)
+    picked = _last_ready(logs)
+    days = F.datediff(F.current_date(), F.lit(picked["create_time"].strftime("%Y-%m-%d")).cast("date"))
+    moved = logs.withColumn("create_time", F.col("create_time") + F.make_dt_interval(days))
+    one = control.ready_file(moved, D.configs(spark, sf), picked["config_id"])
+    return report(one.select("config_id", "process_name", "file_log_id", "file_path"))
+
+
+def log_claims(spark: SparkSession, sf: str) -> DataFrame:
+    """The stored log after runs have claimed the files of a configuration and day until
+    none was ready; each claim began at the state that a run before had read."""
+    log, configs = warehouse.Log(spark, scratch_path(spark, "log")), D.configs(spark, sf)
+    log.table.replace(D.logs(spark, sf))
+    picked = _last_ready(log.read())
+    day = picked["create_time"].strftime("%Y-%m-%d")
+    while True:
+        base, _ = log.table.folder.head()
+        late = log.read()
+        try:
+            claimed = log.claim(configs, picked["config_id"], D.AS_OF, day)
+        except control.MissingInput:
+            return report(log.read())
+        try:
+            log.table.replace(control.transition(late, claimed["file_log_id"], "L_P", D.AS_OF), base)
+            raise AssertionError("two runs claimed one file")
+        except Conflict:
+            continue
+
+
 def ready_files(spark: SparkSession, sf: str) -> DataFrame:
     ready = control.ready_files(D.logs(spark, sf), D.configs(spark, sf))
     return report(ready.select("config_id", "process_name", "day", "file_log_id", "file_path"))
@@ -281,6 +371,7 @@ def csv_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     customer = D.table(spark, sf, "customer").select(*csv_feed.map_columns(CUSTOMER_FIELDS))
     written = csv_feed.export_csv(customer, path)
     loaded = csv_feed.load_csv(spark, path, {"staging_fields": CUSTOMER_FIELDS, "ignore_rows": 1})
+    ids = loaded.agg(F.count_distinct("id"), F.sum("id")).first()
     return loaded.select(
         F.col("c_custkey").cast("long"),
         "c_name",
@@ -288,14 +379,51 @@ def csv_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
         F.col("c_acctbal").cast("double"),
         "c_mktsegment",
         F.lit(written).cast("long").alias("written"),
-        F.col("id").between(1, written).alias("id_in_range"),
+        F.lit(ids[0]).cast("long").alias("ids"),
+        F.lit(ids[1]).cast("long").alias("id_sum"),
+    )
+
+
+TEXT_FIELDS = "doc_id, source, text"
+
+
+def _loaded_texts(spark: SparkSession, path: str, **dialect: str) -> DataFrame:
+    loaded = csv_feed.load_csv(spark, path, {"staging_fields": TEXT_FIELDS, **dialect})
+    ids = loaded.agg(F.count_distinct("id"), F.sum("id")).first()
+    return loaded.select(
+        F.col("doc_id").cast("long"),
+        "source",
+        F.char_length("text").cast("long").alias("chars"),
+        F.md5("text").alias("text_md5"),
+        F.lit(ids[0]).cast("long").alias("ids"),
+        F.lit(ids[1]).cast("long").alias("id_sum"),
     )
 
 
+def csv_escapes(spark: SparkSession, sf: str) -> DataFrame:
+    """Texts with quotes, line breaks, backslashes and NULL, out with escapes and back."""
+    path = scratch_path(spark, "csv")
+    text = F.when(F.col("doc_id") % 10 != 0, F.concat("text", F.lit('\\N "x\\"\r\n\t')))
+    csv_feed.export_csv(D.table(spark, sf, "documents").select("doc_id", "source", text.alias("text")), path)
+    return _loaded_texts(spark, path)
+
+
+def csv_line_breaks(spark: SparkSession, sf: str) -> DataFrame:
+    """The same kind of texts from files that have their line breaks as they are, in quotes."""
+    path = scratch_path(spark, "csv")
+    text = F.concat("text", F.lit('\\N "x\\"\n\n\t,\n'))
+    texts = D.table(spark, sf, "documents").select("doc_id", "source", text.alias("text"))
+    texts.write.options(header="true", quoteAll="true", quote='"', escape='"', emptyValue="").options(
+        ignoreLeadingWhiteSpace="false", ignoreTrailingWhiteSpace="false"
+    ).csv(path)
+    return _loaded_texts(spark, path, escaped_by="")
+
+
 def file_stats(spark: SparkSession, sf: str) -> DataFrame:
-    stats = csv_feed.file_stats(D.table(spark, sf, "lineitem"))
-    rounded_up = (F.col("size_kb") * 1024 >= F.col("bytes")) & ((F.col("size_kb") - 1) * 1024 < F.col("bytes"))
-    return stats.select("rows", rounded_up.alias("size_rounded_up"))
+    """Rows and bytes of a written folder of texts."""
+    path = scratch_path(spark, "texts")
+    D.table(spark, sf, "customer").select(F.concat_ws(", ", "c_name", "c_mktsegment").alias("value")).write.text(path)
+    return csv_feed.file_stats(spark.read.text(path), path).select("rows", "bytes", "size_kb")
 
 
 # --- pages ---------------------------------------------------------------------
@@ -422,6 +550,9 @@ QUERIES: dict[str, Query] = {
     "scd2_expire": scd2_expire,
     "scd2_load": scd2_load,
     "load_two_feeds": load_two_feeds,
+    "scd2_increment": scd2_increment,
+    "arrivals_exactly_once": arrivals_exactly_once,
+    "mart_increment": mart_increment,
     "mart_update": _mart_step(mart.mart_update),
     "mart_insert": _mart_step(mart.mart_insert),
     "mart_delete": _mart_step(mart.mart_delete),
@@ -432,6 +563,8 @@ QUERIES: dict[str, Query] = {
     "date_dim_copy": date_dim_copy,
     "date_fk": date_fk,
     "ready_file": ready_file,
+    "ready_file_today": ready_file_today,
+    "log_claims": log_claims,
     "ready_files": ready_files,
     "logs_on_day": logs_on_day,
     "log_by_id": log_by_id,
@@ -441,6 +574,8 @@ QUERIES: dict[str, Query] = {
     "run_report": run_report,
     "file_paths": file_paths,
     "csv_roundtrip": csv_roundtrip,
+    "csv_escapes": csv_escapes,
+    "csv_line_breaks": csv_line_breaks,
     "file_stats": file_stats,
     "html_extract_fields": html_extract_fields,
     "html_extract_links": html_extract_links,

@@ -14,7 +14,8 @@ def test_each_new_file_is_loaded_once(spark, tmp_path):
     def size(name):
         return (folder / name).stat().st_size
 
-    def load(rows, files):
+    def load(rows, files, batch):
+        assert batch == len(batches)
         name = F.substring_index("_path", "/", -1)
         batches.append((
             sorted(tuple(r) for r in rows.select(name, "name", "price").collect()),
