@@ -24,13 +24,14 @@ from __future__ import annotations
 
 import hashlib
 import re
-from collections.abc import Iterator
+from collections import Counter
+from collections.abc import Collection, Iterator
 from html.parser import HTMLParser
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
 
 from shelfmark.llm.common import settle, ship_package
 from shelfmark.llm.urls import url_host
@@ -39,6 +40,8 @@ from shelfmark.llm.urls import url_host
 MIN_PAGES = 5
 #: ... that are this share of the host's pages, so that chance repeats on a large host stay.
 MIN_SHARE = 0.01
+#: Recurring subtrees that are broadcast at most, eight bytes each.
+BROADCAST_MARKS = 2_000_000
 
 # Names of the HTML standard.
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
@@ -78,6 +81,7 @@ class _Tree(HTMLParser):
         super().__init__(convert_charrefs=True)
         self.root = Node("")
         self.open = [self.root]
+        self.counts: Counter[str] = Counter()  # of open elements by name
 
     def handle_starttag(self, tag: str, attrs: list) -> None:
         if tag in ENDS_P:
@@ -89,10 +93,14 @@ class _Tree(HTMLParser):
         self.open[-1].parts.append(node)
         if tag not in VOID:
             self.open.append(node)
+            self.counts[tag] += 1
 
     def _close(self, tag: str, scope: set[str]) -> None:
+        if not self.counts[tag]:
+            return  # a stray end tag does not walk the open elements
         for i in range(len(self.open) - 1, 0, -1):
             if self.open[i].tag == tag:
+                self.counts.subtract(node.tag for node in self.open[i:])
                 del self.open[i:]
                 return
             if self.open[i].tag in scope:
@@ -197,7 +205,10 @@ def _blocks(node: Node, dropped: set[int]) -> list[str]:
 def main_text(html: str | None, template: set[str]) -> str:
     """Text of one page; ``template`` holds the hashes of its host's recurring subtrees."""
     root = parse(html)
-    hashes = subtree_hashes(root)
+    return _text(root, subtree_hashes(root), template)
+
+
+def _text(root: Node, hashes: dict[int, tuple[str, ...]], template: set[str]) -> str:
     dropped: set[int] = set()
     boxes: set[int] = set()
     articles: list[Node] = []
@@ -228,42 +239,73 @@ def main_text(html: str | None, template: set[str]) -> str:
     return "\n\n".join(block for blocks in texts for block in blocks)
 
 
-def page_subtrees(html: str | None) -> list[str]:
+def countable(root: Node, hashes: dict[int, tuple[str, ...]]) -> list[str]:
     """Distinct hashes of the subtrees of one page that are neither void nor never text."""
-    root = parse(html)
-    hashes = subtree_hashes(root)
     found = (n for n, _, _ in _elements(root) if id(n) in hashes and n.parts and n.tag not in NEVER)
     return sorted({h for n in found for h in hashes[id(n)]})
 
 
+def page_subtrees(html: str | None) -> list[str]:
+    root = parse(html)
+    return countable(root, subtree_hashes(root))
+
+
+def marks(host: str | None, subtrees: Collection[str]) -> np.ndarray:
+    """The subtrees of a host's page as 64-bit numbers."""
+    site = hashlib.blake2b((host or "").encode("utf-8", "surrogatepass"), digest_size=8)
+    out = np.empty(len(subtrees), dtype=np.int64)
+    for i, subtree in enumerate(subtrees):
+        one = site.copy()
+        one.update(subtree.encode())
+        out[i] = int.from_bytes(one.digest(), "little", signed=True)
+    return out
+
+
 def _subtrees(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
-        found = batch["html"].map(page_subtrees)
-        sizes = found.map(len)
-        yield pd.DataFrame(
-            {"row": batch["row"].repeat(sizes), "host": batch["host"].repeat(sizes), "subtree": [h for x in found for h in x]}
-        )
+        for start in range(0, len(batch), 500):
+            part = batch.iloc[start : start + 500]
+            found = [marks(host, page_subtrees(html)) for host, html in zip(part["host"], part["html"])]
+            sizes = [len(x) for x in found]
+            rest = {c: part[c].repeat(sizes) for c in part.columns if c != "html"}
+            yield pd.DataFrame({**rest, "mark": np.concatenate(found)})
 
 
-def page_templates(pages: DataFrame, min_pages: int = MIN_PAGES, min_share: float = MIN_SHARE) -> DataFrame:
-    """``row``, ``template``: the subtrees of each page (``row``, ``host``, ``html``) that are
-    on enough pages of its host.
+def recurring_subtrees(pages: DataFrame, min_pages: int = MIN_PAGES, min_share: float = MIN_SHARE) -> DataFrame:
+    """``mark`` of the subtrees that are on enough pages of their host (``host``, ``html``).
 
-    Counts combine on the map side, so a host with a third of all pages sends one row
-    per subtree and task. A page's list holds its own subtrees only, so nothing is
-    gathered per host and the thresholds need not bound it.
+    Counts combine on the map side, so a host with a third of all pages sends one row per
+    subtree and task; neither pages nor their subtrees are written.
     """
     counts = pages.groupBy("host").agg(F.count("*").alias("pages"))
-    subtrees = settle(pages.select("row", "host", "html").mapInPandas(_subtrees, "row long, host string, subtree string"), "subtrees")
-    on = subtrees.groupBy("host", "subtree").agg(F.count("*").alias("on")).where(F.col("on") >= min_pages)
-    recurring = on.join(counts, "host").where(F.col("on") >= F.col("pages") * min_share)
-    # written first, so that its size is known and subtrees are shuffled only if it is large
-    recurring = settle(recurring.select("host", "subtree"), "recurring")
-    return subtrees.join(recurring, ["host", "subtree"], "left_semi").groupBy("row").agg(F.collect_list("subtree").alias("template"))
-
-
-def _extract(htmls: pd.Series, templates: pd.Series) -> pd.Series:
-    return pd.Series([main_text(h, set(t) if t is not None else set()) for h, t in zip(htmls, templates)], dtype=object)
+    subtrees = pages.select("host", "html").mapInPandas(_subtrees, "host string, mark long")
+    # the number has its host in it
+    on = subtrees.groupBy("mark").agg(F.count("*").alias("on"), F.first("host").alias("host")).where(F.col("on") >= min_pages)
+    counted = on.join(counts, on["host"].eqNullSafe(counts["host"]))
+    return counted.where(F.col("on") >= F.col("pages") * min_share).select("mark")
+
+
+def _extract(shared):
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for start in range(0, len(batch), 500):
+                part = batch.iloc[start : start + 500]
+                lists = [None] * len(part) if shared else part["template"]
+                texts = []
+                for html, host, own in zip(part["html"], part["host"], lists):
+                    known = shared.value if shared else np.sort(np.asarray(own if own is not None else [], dtype=np.int64))
+                    root = parse(html)
+                    hashes = subtree_hashes(root)
+                    names = countable(root, hashes)
+                    numbers = marks(host, names)
+                    at = np.searchsorted(known, numbers)
+                    hit = np.zeros(len(numbers), dtype=bool)
+                    inside = at < len(known)
+                    hit[inside] = known[at[inside]] == numbers[inside]
+                    texts.append(_text(root, hashes, {names[i] for i in np.flatnonzero(hit)}))
+                yield pd.DataFrame({"page_id": part["page_id"], "url": part["url"], "text": texts})
+
+    return run
 
 
 def extract_main_text(
@@ -273,14 +315,32 @@ def extract_main_text(
     page_id: str = "page_id",
     url: str = "url",
     html: str = "html",
+    broadcast_marks: int = BROADCAST_MARKS,
 ) -> DataFrame:
-    """``page_id``, ``url``, ``text``, ``n_chars`` of every page."""
+    """``page_id``, ``url``, ``text``, ``n_chars`` of every page.
+
+    Pages are read twice, to count and to extract; up to ``broadcast_marks`` recurring
+    subtrees (eight bytes each) are broadcast, so that no page is written or shuffled.
+    Beyond that every page is joined with its own recurring subtrees.
+    """
     ship_package(pages.sparkSession)
+    kind = dict(pages.select(F.col(page_id).alias("p")).dtypes)["p"]
     hosted = pages.select(
-        F.col(page_id).alias("page_id"), F.col(url).alias("url"), F.col(html).cast("string").alias("html"), url_host(F.col(url)).alias("host")
+        F.col(page_id).cast("string").alias("page_id"),
+        F.col(url).cast("string").alias("url"),
+        F.col(html).cast("string").alias("html"),
+        url_host(F.col(url)).alias("host"),
     )
-    hosted = settle(hosted.withColumn("row", F.monotonically_increasing_id()), "pages")
-    templates = settle(page_templates(hosted, min_pages, min_share), "templates")
-    extract = F.pandas_udf(_extract, StringType())
-    joined = hosted.join(templates, "row", "left").withColumn("text", extract("html", "template"))
-    return joined.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+    recurring = settle(recurring_subtrees(hosted, min_pages, min_share), "recurring")
+    columns = ["page_id", "url", "html", "host"]
+    schema = "page_id string, url string, text string"
+    if recurring.count() <= broadcast_marks:
+        known = np.sort(np.array([r["mark"] for r in recurring.collect()], dtype=np.int64))
+        shared = pages.sparkSession.sparkContext.broadcast(known)
+        texts = hosted.select(*columns).mapInPandas(_extract(shared), schema)
+    else:
+        numbered = settle(hosted.withColumn("row", F.monotonically_increasing_id()), "pages")
+        found = numbered.select("row", "host", "html").mapInPandas(_subtrees, "row long, host string, mark long")
+        templates = found.join(recurring, "mark", "left_semi").groupBy("row").agg(F.collect_list("mark").alias("template"))
+        texts = numbered.join(templates, "row", "left").select(*columns, "template").mapInPandas(_extract(None), schema)
+    return texts.select(F.col("page_id").cast(kind).alias("page_id"), "url", "text", F.length("text").cast("long").alias("n_chars"))

@@ -1,9 +1,14 @@
-"""Template boxes inside articles."""
+"""Template boxes inside articles, pages without marks, broken pages."""
+
+import time
+
+import pytest
 
 from shelfmark.llm import html_main
 
 
-def test_boxes_inside_articles(spark):
+@pytest.mark.parametrize("marks", [html_main.BROADCAST_MARKS, 0])
+def test_boxes_inside_articles(spark, marks):
     box = "<div class='x1'><p>Sign up</p><p>for letters</p></div>"
 
     def page(i):
@@ -19,7 +24,7 @@ def test_boxes_inside_articles(spark):
     rows += [(300 + i, f"http://copies.com/{i}", copy) for i in range(8)]
     rows += [(400 + i, f"http://few.com/{i}", f"<article><p>own {i}</p>{box}</article>") for i in range(3)]
     df = spark.createDataFrame(rows, "page_id long, url string, html string")
-    got = {r.page_id: r.text for r in html_main.extract_main_text(df).collect()}
+    got = {r.page_id: r.text for r in html_main.extract_main_text(df, broadcast_marks=marks).collect()}
     for i in range(8):
         want = [f"own {i} {k}" for k in range(16)]
         want.insert(i + 1, "shared quote")
@@ -42,3 +47,20 @@ def test_menu_of_one_section(spark):
     assert len(got) == len(rows)
     assert [got[0], got[1], got[5], got[10]] == ["own 0", "own 1\n\nby chance", "own 5", "own 10"]
     assert got[1000] == "menu\n\nown"
+
+
+def test_templates_alone_decide_where_nothing_is_marked(spark):
+    """Shells without an article and with names that no list has."""
+    shell = "<div class='q7'><ul><li>one</li><li>two</li></ul></div><div class='z1'>{}</div><div class='k3'><p>legal</p></div>"
+    rows = [(i, f"http://plain.com/{i}", f"<body>{shell.format(f'<p>own {i}</p><p>more {i}</p>')}</body>") for i in range(9)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in html_main.extract_main_text(df).collect()}
+    assert got == {i: f"own {i}\n\nmore {i}" for i in range(9)}
+    without = {r.page_id: r.text for r in html_main.extract_main_text(df, min_pages=10).collect()}
+    assert without[0] == "one\n\ntwo\n\nown 0\n\nmore 0\n\nlegal"
+
+
+def test_stray_end_tags_take_linear_time():
+    start = time.perf_counter()
+    text = html_main.main_text("<i>" * 20_000 + "word" + "</b>" * 20_000, set())
+    assert text == "word" and time.perf_counter() - start < 5

@@ -274,7 +274,7 @@ def test_pairs_under_the_minimum_of_shared_bytes_are_dropped():
     assert len(sets) == 56 and sum(set(s) <= {0, 2, 5, 7} for s in sets) == 4
 
 
-def test_one_of_each_group(spark, odd, empty):
+def test_one_of_each_group(spark, odd, empty, tmp_path, monkeypatch):
     draw = random.Random(2)
     base = [f"w{draw.randint(0, 10_000)}" for _ in range(400)]
     rows = []
@@ -290,6 +290,14 @@ def test_one_of_each_group(spark, odd, empty):
     assert kept.columns == [*odd.columns, "__fp", "__ROW"]
     assert sorted((r.doc_id for r in kept.collect()), key=lambda i: (i is None, i)) == [*want, None]
     assert 1 < len(want) < 60
+    # rows of files are told apart by their places, and nothing is written again
+    path = str(tmp_path / "docs")
+    spark.createDataFrame(rows, DOCS).repartition(3).write.parquet(path)
+    for bound in (simhash.BROADCAST_ROWS, 0):
+        monkeypatch.setattr(simhash, "BROADCAST_ROWS", bound)
+        stored = simhash.one_of_each_group(spark.read.parquet(path))
+        assert sorted((r.doc_id for r in stored.collect()), key=lambda i: (i is None, i)) == [*want, None]
+    assert "SortMergeJoin" not in stored._jdf.queryExecution().executedPlan().toString()
     wordless = [r for r in simhash.one_of_each_group(odd).collect() if not (r.text or "").split()]
     assert len(wordless) == 1
     assert simhash.one_of_each_group(empty).count() == 0
