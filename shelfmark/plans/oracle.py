@@ -425,6 +425,10 @@ ORACLE: dict[str, str] = {
         " FROM (SELECT octet_length(encode(c_name || ', ' || c_mktsegment)) + 1 AS b FROM customer)"
     ),
     "html_extract_fields": _HTML_FIELDS,
+    "html_nested_fields": f"""SELECT page_id, url, title, CASE WHEN ad0 THEN trim('in deep er ' || ad)
+      || CASE WHEN page_id % 2 = 0 THEN ', deep' ELSE '' END ELSE '' END AS ad,
+      CASE WHEN ad0 THEN trim('in deep er ' || ad) ELSE ad_by_sibling END AS ad_by_sibling
+    FROM ({_HTML_FIELDS}) JOIN (SELECT page_id, contains(html, '<div class="ad">') AS ad0 FROM pages) USING (page_id)""",
     "html_extract_links": _LINKS,
     "html_listing_links": _LISTING,
     "html_compose": _COMPOSE,

@@ -451,6 +451,17 @@ def html_extract_fields(spark: SparkSession, sf: str) -> DataFrame:
     return pages.extract_fields(D.table(spark, sf, "pages"), PAGE_SPEC)
 
 
+NESTED_SPEC = [f for f in PAGE_SPEC if f["field_name"] in ("title", "ad", "ad_by_sibling")]
+
+
+def html_nested_fields(spark: SparkSession, sf: str) -> DataFrame:
+    """Values that hold elements of their own kind, also one of the same pattern."""
+    ad = '<div class="ad">'
+    nested = F.replace("html", F.lit(ad), F.lit(f'{ad}<div>in</div><div class="b"><div>deep</div>er</div>'))
+    twice = F.replace(nested, F.lit("<div>deep</div>"), F.when(F.col("page_id") % 2 == 0, f"<div>{ad}deep</div></div>").otherwise("<div>deep</div>"))
+    return pages.extract_fields(D.table(spark, sf, "pages").select("page_id", "url", twice.alias("html")), NESTED_SPEC)
+
+
 def html_extract_links(spark: SparkSession, sf: str) -> DataFrame:
     return report(pages.extract_links(D.table(spark, sf, "pages"), "<li>.*?</li>"))
 
@@ -578,6 +589,7 @@ QUERIES: dict[str, Query] = {
     "csv_line_breaks": csv_line_breaks,
     "file_stats": file_stats,
     "html_extract_fields": html_extract_fields,
+    "html_nested_fields": html_nested_fields,
     "html_extract_links": html_extract_links,
     "html_listing_links": html_listing_links,
     "html_compose": html_compose,

@@ -45,12 +45,14 @@ def readable(page: Column) -> Column:
     return F.regexp_replace(page, r"=\s*'([^'\"<>]*+)'(?=[^<>]*+>)", '="$1"')
 
 
-def element_body(rest: Column, tag: str) -> Column:
-    """What precedes the closing tag that belongs to an element of name ``tag``.
+#: Elements that may hold their own kind; a fixed list. Others end at the next tag of their name.
+NESTING = set("article aside dd details div dl footer header li main nav ol section span table td th tr ul".split())
+_INNER = re.compile(r"\(\(\?:\[\^<\]\+\+\|<\(\?!/\?(\w+)\\b\)\)\*\+\)$")
 
-    ``rest`` begins behind the opening tag; an element that is never closed ends with it.
-    """
-    parts = F.split(rest, rf"(?i)(?=</?{tag}\b)")
+
+def _measured(rest: Column, tag: str) -> Column:
+    """``parts`` of the text cut at the tags of a name, how many of them (``n``) lie in the
+    element that ``rest`` begins in, and the ``depth`` at the end, 0 if it is closed."""
     start = F.struct(F.lit(1).alias("depth"), F.lit(0).alias("n"))
 
     def step(state: Column, part: Column) -> Column:
@@ -58,18 +60,74 @@ def element_body(rest: Column, tag: str) -> Column:
         depth = F.when(state["depth"] > 0, state["depth"] + opened).otherwise(0)
         return F.struct(depth.alias("depth"), (state["n"] + F.when(depth > 0, 1).otherwise(0)).alias("n"))
 
-    kept = F.aggregate(parts, start, step)["n"]
-    return F.array_join(F.slice(parts, F.lit(1), kept), "")
+    parts = F.split(rest, rf"(?i)(?=</?{tag}\b)")
+    # a list of one binds what is used several times, so that it is computed once
+    counted = F.transform(F.array(parts), lambda p: F.struct(p.alias("parts"), F.aggregate(p, start, step).alias("end")))
+    return F.transform(counted, lambda c: F.struct(c["parts"].alias("parts"), c["end"]["depth"].alias("depth"), c["end"]["n"].alias("n")))[0]
+
+
+def _body(measured: Column) -> Column:
+    return F.array_join(F.slice(measured["parts"], F.lit(1), measured["n"]), "")
+
+
+def element_body(rest: Column, tag: str) -> Column:
+    """What precedes the closing tag that belongs to an element of name ``tag``.
+
+    ``rest`` begins behind the opening tag; an element that is never closed ends with it.
+    """
+    return F.transform(F.array(_measured(rest, tag)), _body)[0]
+
+
+def bodies(page: Column, head: str, tag: str, unclosed: str | None = None) -> Column:
+    """Contents of all elements of name ``tag`` whose opening tag ends a match of ``head``.
+
+    An element goes to its own closing tag, whatever elements of its kind, also further
+    matches, it holds; these stand in the list as well. An element that is never closed
+    ends where the pattern ``unclosed`` does, else with the page.
+    """
+    cut = F.struct(F.split(page, head).alias("pieces"), F.regexp_extract_all(page, F.lit(head), F.lit(0)).alias("heads"))
+
+    def each(s: Column) -> Column:
+        def one(i: Column) -> Column:
+            piece = F.element_at(s["pieces"], i + 1)
+            later = F.zip_with(
+                F.slice(s["heads"], i + 1, F.size(s["heads"])),
+                F.slice(s["pieces"], i + 2, F.size(s["pieces"])),
+                lambda head, text: F.concat(head, text),
+            )
+            whole = F.concat(piece, F.array_join(later, ""))
+
+            def ended(m: Column) -> Column:
+                open_end = F.regexp_extract(piece, f"(?s)^{unclosed}", 1) if unclosed else _body(m)
+                return F.when(m["depth"] == 0, _body(m)).otherwise(open_end)
+
+            # most elements end before the next match; only the others need all that follows
+            own = F.array(_measured(piece, tag))
+            return F.transform(
+                own, lambda m: F.when(m["depth"] == 0, _body(m)).otherwise(F.transform(F.array(_measured(whole, tag)), ended)[0])
+            )[0]
+
+        return F.when(F.size(s["heads"]) > 0, F.transform(F.sequence(F.lit(1), F.size(s["heads"])), one)).otherwise(
+            F.array().cast("array<string>")
+        )
+
+    return F.flatten(F.transform(F.array(cut), each))
 
 
 def elements(page: Column, start: str) -> Column:
     """Contents of all elements whose opening tag matches ``start``, which begins with
-    ``<`` and the tag's name. An element inside another of the same pattern stands alone."""
+    ``<`` and the tag's name."""
     tag = re.match(r"<(\w+)", start)
     if tag is None:
         raise ValueError("the pattern of an opening tag begins with < and a name")
-    pieces = F.split(page, f"(?i){start}")
-    return F.transform(F.slice(pieces, F.lit(2), F.greatest(F.size(pieces) - 1, F.lit(0))), lambda p: element_body(p, tag[1]))
+    return bodies(page, f"(?i){start}", tag[1])
+
+
+def value_element(selector: str) -> tuple[str, str] | None:
+    """Pattern up to the value and the value's element, where a selector ends with the
+    content of an element that may hold its own kind."""
+    found = _INNER.search(selector)
+    return (selector[: found.start()], found[1]) if found and found[1] in NESTING else None
 
 
 def _character(code: Column) -> Column:

@@ -14,11 +14,16 @@ from shelfmark.sources.spec import header
 
 def _found(part: Column, kind: str, selector: str) -> Column:
     """Values, or pairs of label text and value, in one part of a page."""
-    pattern = F.lit(f"(?s){selector}")
+    pattern, group = F.lit(f"(?s){selector}"), 1 if kind == "value" else 2
+    values = F.regexp_extract_all(part, pattern, F.lit(group))
+    if nested := markup.value_element(selector):
+        head, tag = nested
+        pattern = F.lit(f"(?s){head}")
+        values = markup.bodies(part, f"(?s){head}", tag, markup.inner(tag))
     if kind == "value":
-        return F.regexp_extract_all(part, pattern, F.lit(1))
+        return values
     labels = F.transform(F.regexp_extract_all(part, pattern, F.lit(1)), markup.shown_text)
-    return F.arrays_zip(labels.alias("label"), F.regexp_extract_all(part, pattern, F.lit(2)).alias("value"))
+    return F.arrays_zip(labels.alias("label"), values.alias("value"))
 
 
 def _hits(found: Column, rule: dict[str, str]) -> Column:

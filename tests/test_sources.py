@@ -124,6 +124,22 @@ def _values(spark, column, *rows):
     return [r[0] for r in spark.createDataFrame([(r,) for r in rows], "t string").select(column).collect()]
 
 
+def test_values_hold_elements_of_their_kind(spark):
+    page = (
+        "<p>Pin</p><div>AA <div>x2</div> pcs</div><p>Cảm biến</p><div><div>Logi</div></div>"
+        "<div class='box-product-name'><h1>N</h1></div><p>Kết nối</p><div>open <b>end</b>"
+    )
+    df = spark.createDataFrame([(page,)], "html string")
+    row = pages.extract_fields(df, spec.feed_a_spec(), keep=[]).first()
+    assert (row.pin, row.sensor, row.name, row.connector) == ("AA x2 pcs", "Logi", "N", "open end")
+    outer = "<div class='x'>a<div class='x'>b</div>c</div><div class='x'>d"
+    got = spark.createDataFrame([(outer,)], "html string").select(markup.elements(F.col("html"), "<div\\b[^>]*>")).first()[0]
+    assert got == ["a<div class='x'>b</div>c", "b", "d"]
+    table = "<section id='table-2'><tr><td>DPI</td><td>one <table><tr><td>800</td></tr></table> two</td></tr></section>"
+    row = pages.extract_fields(spark.createDataFrame([(table,)], "html string"), spec.feed_b_spec(), keep=[]).first()
+    assert row.dpi == "one 800 two"
+
+
 def test_elements_nest(spark):
     got = _values(
         spark,
