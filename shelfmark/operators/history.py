@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import unicodedata
 from collections.abc import Sequence
 from datetime import datetime
 from functools import reduce
@@ -38,22 +39,50 @@ def with_key_collation(df: DataFrame, collation: str = "UNICODE_CI_AI_RTRIM") ->
     return df.withColumns({k: F.collate(F.col(k), collation) for k in KEYS})
 
 
-def _seen_keys(dim: DataFrame) -> DataFrame:
+def _accents() -> tuple[str, str]:
+    """Letters with accents and what they are without; then the accents themselves."""
+    letters, plain, marks = [], [], []
+    for char in map(chr, (*range(0x80, 0xD800), *range(0xE000, 0x30000))):
+        if unicodedata.category(char) == "Mn":
+            marks.append(char)
+            continue
+        base, *rest = unicodedata.normalize("NFD", char)
+        if rest and all(unicodedata.category(c) == "Mn" for c in rest):
+            letters.append(char)
+            plain.append(base)
+    return "".join(letters + marks), "".join(plain)
+
+
+#: Columns of the normalised key, next to the key itself.
+NORMAL = ("_product_name_key", "_manufacturer_key")
+
+
+def normalised(text: Column) -> Column:
+    """The text without regard to case, accents and trailing spaces, as a plain text that
+    hashes and compares by its bytes."""
+    return F.lower(F.translate(F.rtrim(text), *_accents()))
+
+
+def with_normal_keys(df: DataFrame) -> DataFrame:
+    return df.withColumns({n: normalised(F.col(k)) for n, k in zip(NORMAL, KEYS)})
+
+
+def _seen_keys(dim: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
     """Keys of every version, also deleted ones, collapsed before the shuffle."""
-    return dim.filter(all_present(KEYS)).groupBy(*KEYS).agg(F.lit(True).alias("_seen"))
+    return dim.filter(all_present(keys)).groupBy(*keys).agg(F.lit(True).alias("_seen"))
 
 
-def _compared(keyed: DataFrame, dim: DataFrame, small: bool) -> DataFrame:
+def _compared(keyed: DataFrame, dim: DataFrame, small: bool, keys: Sequence[str] = KEYS) -> DataFrame:
     """Per row of the batch (``_row``, its id) whose key some version carries: the number
     ``n`` of current versions, and whether one of them differs (``_differs``).
 
     One scan of the dimension. Versions are compared row by row, a hot key in slices, so
     that only fixed-width values are aggregated; texts would be sorted for it.
     """
-    batch = keyed.select(F.col("id").alias("_row"), *KEYS, *[F.col(c).alias(f"_new_{c}") for c in COMPARED])
+    batch = keyed.select(F.col("id").alias("_row"), *keys, *[F.col(c).alias(f"_new_{c}") for c in COMPARED])
     live = (F.col("isDelete") == F.lit(False)) & (F.col("expired_date") == F.lit(NEVER).cast("date"))
-    versions = dim.filter(all_present(KEYS)).select("id", *KEYS, *COMPARED, F.coalesce(live, F.lit(False)).alias("_live"))
-    pairs = lookup(versions, batch, KEYS, "inner", "id", small=small)
+    versions = dim.filter(all_present(keys)).select("id", *keys, *COMPARED, F.coalesce(live, F.lit(False)).alias("_live"))
+    pairs = lookup(versions, batch, keys, "inner", "id", small=small)
     differs = reduce(lambda a, b: a | b, [F.col(c) != F.col(f"_new_{c}") for c in COMPARED])
     return pairs.groupBy("_row").agg(
         F.count_if("_live").alias("n"), F.max(F.col("_live") & F.coalesce(differs, F.lit(False))).alias("_differs")
@@ -91,14 +120,16 @@ def changed_products(stg: DataFrame, dim: DataFrame, small: bool | None = None)
     return keyed.join(changed, keyed["id"] == changed["_row"]).select(*[keyed[c] for c in stg.columns], "n")
 
 
-def classify(stg: DataFrame, dim: DataFrame, small: bool | None = None) -> DataFrame:
+def classify(
+    stg: DataFrame, dim: DataFrame, small: bool | None = None, keys: Sequence[str] = KEYS
+) -> DataFrame:
     """New and changed rows of a batch in one pass, marked in ``_action``.
 
     ``stg`` holds one row per complete key, as de-duplication leaves it.
     """
     small = fits(stg) if small is None else small
-    keyed = stg.filter(all_present(KEYS))
-    compared = _compared(keyed, dim, small)
+    keyed = stg.filter(all_present(keys))
+    compared = _compared(keyed, dim, small, keys)
     action = F.when(F.col("_row").isNull(), NEW).when(F.col("_differs"), CHANGED)
     matched = (
         keyed.join(compared, keyed["id"] == compared["_row"], "left")
@@ -106,7 +137,7 @@ def classify(stg: DataFrame, dim: DataFrame, small: bool | None = None) -> DataF
         .filter(F.col("_action").isNotNull())
         .select(*[keyed[c] for c in stg.columns], "_action", "n")
     )
-    loose = stg.filter(~all_present(KEYS)).withColumns({"_action": F.lit(NEW), "n": F.lit(None).cast("long")})
+    loose = stg.filter(~all_present(keys)).withColumns({"_action": F.lit(NEW), "n": F.lit(None).cast("long")})
     return matched.unionByName(loose)
 
 
@@ -159,21 +190,23 @@ def expire(dim: DataFrame, ids: DataFrame, as_of: str, small: bool | None = None
     return _expired(joined, F.col("_expire").isNotNull(), F.lit(as_of).cast("date")).select(*dim.columns)
 
 
-def expire_keys(dim: DataFrame, keys: DataFrame, as_of: str, small: bool) -> DataFrame:
+def expire_keys(
+    dim: DataFrame, keys: DataFrame, as_of: str, small: bool, on: Sequence[str] = KEYS
+) -> DataFrame:
     """Mark all current versions of the given keys (columns: key, ``n``).
 
     Past versions cannot change, so they bypass the join; with few keys the current
     ones are matched by a broadcast and the dimension is not shuffled at all.
     """
     is_live = (
-        (F.col("isDelete") == F.lit(False)) & (F.col("expired_date") == F.lit(NEVER).cast("date")) & all_present(KEYS)
+        (F.col("isDelete") == F.lit(False)) & (F.col("expired_date") == F.lit(NEVER).cast("date")) & all_present(on)
     )
     day = F.lit(as_of).cast("date")
-    marks = keys.select(*KEYS, F.lit(True).alias("_hit"))
+    marks = keys.select(*on, F.lit(True).alias("_hit"))
     if small:
-        joined = dim.join(F.broadcast(marks), list(KEYS), "left")
+        joined = dim.join(F.broadcast(marks), list(on), "left")
         return _expired(joined, F.col("_hit") & is_live, day).select(*dim.columns)
-    live = lookup(dim.filter(is_live), marks, KEYS, "left", "id", counts=keys)
+    live = lookup(dim.filter(is_live), marks, on, "left", "id", counts=keys)
     past = dim.filter(~F.coalesce(is_live, F.lit(False)))
     return past.unionByName(_expired(live, F.col("_hit"), day).select(*dim.columns))
 
@@ -193,23 +226,29 @@ def with_defaults(df: DataFrame, as_of: str) -> DataFrame:
     )
 
 
-def scd2_load(dim: DataFrame, stg: DataFrame, calendar: DataFrame, as_of: str | datetime) -> DataFrame:
+def scd2_load(
+    dim: DataFrame, stg: DataFrame, calendar: DataFrame, as_of: str | datetime, normal: bool = False
+) -> DataFrame:
     """The dimension after loading one batch on ``as_of``, as a new snapshot.
 
     New products and changed products (in that order, each by staging id) continue
     the surrogate keys; every current version of a changed key is expired. The batch
     decides the plan: it is classified once, written out and counted, and a small
-    one is broadcast so that the dimension itself is only scanned.
+    one is broadcast so that the dimension itself is only scanned. With ``normal`` keys are
+    the same without regard to case, accents and trailing spaces.
     """
+    keys = KEYS
+    if normal:
+        keys, dim, stg = NORMAL, with_normal_keys(dim), with_normal_keys(stg)
     as_of = str(as_of)
     day = as_of[:10]
-    repeated = duplicate_keys(stg.where(all_present(KEYS)), KEYS).first()
+    repeated = duplicate_keys(stg.where(all_present(keys)), keys).first()
     if repeated is not None:
         raise ValueError(f"a batch has one row per key, this one repeats {tuple(repeated)}")
     small = fits(stg)
-    batch = settle(classify(stg, dim, small))
-    changed_keys = batch.filter(F.col("_action") == CHANGED).groupBy(*KEYS).agg(F.max("n").alias("n"))
-    kept = expire_keys(dim, changed_keys, day, small or fits(changed_keys))
+    batch = settle(classify(stg, dim, small, keys))
+    changed_keys = batch.filter(F.col("_action") == CHANGED).groupBy(*keys).agg(F.max("n").alias("n"))
+    kept = expire_keys(dim, changed_keys, day, small or fits(changed_keys), keys)
 
     top = dim.select(F.coalesce(F.max("id"), F.lit(0))).scalar()
     numbered = number_rows(batch.select("_action", "id", *PRODUCT, "source"), "id", top, lead=["_action"])

@@ -317,6 +317,27 @@ _TWICE = ", ".join(
 )
 _TWICE_SYNCED = f"{_with('dw', '').rstrip()}, {_TWICE} {_without_deleted('synced1')}"
 
+def _collated(sql: str) -> str:
+    """The same statement with names and manufacturers compared by their plain form."""
+    for one, other in (("d", "s"), ("m", "s")):
+        for key in KEYS:
+            equal = " = ".join(f"lower(strip_accents(rtrim({t}.{key})))" for t in (one, other))
+            sql = sql.replace(f"{one}.{key} = {other}.{key}", equal)
+    plain = "lower(strip_accents(rtrim(product_name)))"
+    return sql.replace("product_name NOT IN (SELECT product_name FROM", f"{plain} NOT IN (SELECT {plain} FROM")
+
+
+_VARIED = """varied AS (SELECT * REPLACE (CASE id % 4 WHEN 0 THEN upper(product_name)
+  WHEN 1 THEN translate(product_name, 'eao', 'éàô') WHEN 2 THEN product_name || '  ' ELSE product_name END AS product_name)
+  FROM stg)"""
+
+
+def _with_varied(last: str, select: str) -> str:
+    # the warehouse was loaded with the names as they were
+    before, load = _with(last, select).split(", fresh AS (", 1)
+    return f"{before}, {_VARIED}, " + _collated(f"fresh AS ({load}".replace("FROM stg s", "FROM varied s"))
+
+
 _LAST_READY = """last AS (SELECT create_time AS t, config_id AS c FROM logs WHERE status = 'C_SE'
       ORDER BY create_time DESC, config_id DESC LIMIT 1)"""
 _CLAIMED = "status = 'C_SE' AND config_id = c AND CAST(create_time AS DATE) = CAST(t AS DATE)"
@@ -332,6 +353,8 @@ def _texts(text: str) -> str:
 
 ORACLE: dict[str, str] = {
     "scd2_increment": _with("loaded", "SELECT * FROM loaded"),
+    "scd2_load_collated": _with_varied("loaded", "SELECT * FROM loaded"),
+    "mart_sync_collated": _with_varied("synced", _without_deleted("synced")),
     "arrivals_exactly_once": f"{_TWO_FEEDS} SELECT * FROM both_feeds",
     "mart_increment": _TWICE_SYNCED,
     "log_claims": f"""WITH {_LOGS}, {_LAST_READY}

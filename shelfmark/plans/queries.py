@@ -192,6 +192,28 @@ def scd2_increment(spark: SparkSession, sf: str) -> DataFrame:
     return report(stored.read())
 
 
+def _varied(df: DataFrame) -> DataFrame:
+    """Names in another case, with accents or trailing spaces."""
+    name, of = F.col("product_name"), F.pmod(F.col("id"), F.lit(4))
+    varied = F.when(of == 0, F.upper(name)).when(of == 1, F.translate(name, "eao", "éàô")).when(of == 2, F.concat(name, F.lit("  "))).otherwise(name)
+    return df.withColumn("product_name", varied)
+
+
+def _loaded_varied(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    stg, dim = D.states(spark, sf, "a")
+    return dim, history.scd2_load(dim, _varied(stg), _calendar(spark), D.AS_OF, normal=True)
+
+
+def scd2_load_collated(spark: SparkSession, sf: str) -> DataFrame:
+    """The daily load where names compare without case, accents and trailing spaces."""
+    return report(_loaded_varied(spark, sf)[1])
+
+
+def mart_sync_collated(spark: SparkSession, sf: str) -> DataFrame:
+    dim, loaded = _loaded_varied(spark, sf)
+    return report(mart.mart_sync(D.mart(dim), settle(loaded), normal=True))
+
+
 def arrivals_exactly_once(spark: SparkSession, sf: str) -> DataFrame:
     """Files of feed A arrive, the stream is cut off after the load and started again, then
     files of feed B arrive."""
@@ -562,6 +584,8 @@ QUERIES: dict[str, Query] = {
     "scd2_load": scd2_load,
     "load_two_feeds": load_two_feeds,
     "scd2_increment": scd2_increment,
+    "scd2_load_collated": scd2_load_collated,
+    "mart_sync_collated": mart_sync_collated,
     "arrivals_exactly_once": arrivals_exactly_once,
     "mart_increment": mart_increment,
     "mart_update": _mart_step(mart.mart_update),
