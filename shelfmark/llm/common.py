@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from shelfmark.session import settle, ship_package
 
-__all__ = ["WORD", "base_lower", "fold", "labelled_sample", "pieces", "segments", "settle", "ship_package", "table"]
+__all__ = ["WORD", "base_lower", "fold", "free_names", "labelled_sample", "pieces", "segments", "settle", "ship_package", "table"]
 
 #: A word: a run of anything but ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -21,6 +21,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def free_names(docs: DataFrame, *names: str) -> list[str]:
+    """Those names, longer where ``docs`` has a column of that name in any case."""
+    taken, out = {c.lower() for c in docs.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def fold(doc_id: Column, modulus: int) -> Column:
     """Remainder of the CRC-32 of the id's decimal text; a null id gives null."""
     return F.crc32(doc_id.cast("string").cast("binary")) % modulus
@@ -36,7 +47,8 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, target: str, training: C
 
     The ids are those with the smallest hash among the labels that ``training`` selects,
     so the choice is the same in every run and, below the bound, takes every label. A
-    label counts if it is 0 or 1; an id with several labels takes the largest. The
+    label counts if it is 0 or 1; an id with several labels takes the largest, an id with
+    several texts the first of them in order, so the bound holds for texts too. The
     bounded id list is what the join broadcasts.
     """
     chosen = (
@@ -46,7 +58,9 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, target: str, training: C
         .orderBy(F.xxhash64("doc_id"), "doc_id")
         .limit(bound)
     )
-    return docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+    found = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+    # of an id that several rows have, the first text in their order, a null one last
+    return found.groupBy("doc_id").agg(F.min("text").alias("text"), F.first("y").alias("y"))
 
 
 def pieces(texts: pd.Series, limit: int, overlap: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:

@@ -24,7 +24,6 @@ from __future__ import annotations
 
 import hashlib
 import re
-from collections import Counter
 from collections.abc import Collection, Iterator
 from html.parser import HTMLParser
 
@@ -81,7 +80,7 @@ class _Tree(HTMLParser):
         super().__init__(convert_charrefs=True)
         self.root = Node("")
         self.open = [self.root]
-        self.counts: Counter[str] = Counter()  # of open elements by name
+        self.counts: dict[str, int] = {}  # of open elements by name
 
     def handle_starttag(self, tag: str, attrs: list) -> None:
         if tag in ENDS_P:
@@ -93,14 +92,15 @@ class _Tree(HTMLParser):
         self.open[-1].parts.append(node)
         if tag not in VOID:
             self.open.append(node)
-            self.counts[tag] += 1
+            self.counts[tag] = self.counts.get(tag, 0) + 1
 
     def _close(self, tag: str, scope: set[str]) -> None:
-        if not self.counts[tag]:
+        if not self.counts.get(tag):
             return  # a stray end tag does not walk the open elements
         for i in range(len(self.open) - 1, 0, -1):
             if self.open[i].tag == tag:
-                self.counts.subtract(node.tag for node in self.open[i:])
+                for node in self.open[i:]:
+                    self.counts[node.tag] -= 1
                 del self.open[i:]
                 return
             if self.open[i].tag in scope:
@@ -153,11 +153,9 @@ def subtree_hashes(root: Node) -> dict[int, tuple[str, ...]]:
         if _is_article(node) or id(node) in holds:
             holds.add(id(parent))
             continue
-        digest = hashlib.blake2b(node.tag.encode(), digest_size=8)
-        for part in node.parts:
-            inner = hashes.get(id(part), "") if isinstance(part, Node) else SPACE.sub(" ", part)
-            digest.update(b"\0" + inner.encode("utf-8", "surrogatepass"))
-        hashes[id(node)] = digest.hexdigest()
+        parts = [node.tag, *(SPACE.sub(" ", p) if isinstance(p, str) else hashes.get(id(p), "") for p in node.parts)]
+        content = "\0".join(parts).encode("utf-8", "surrogatepass")
+        hashes[id(node)] = hashlib.blake2b(content, digest_size=8).hexdigest()
     places: dict[int, tuple[int, int]] = {}
     for node in {id(p): p for _, p, inside in order if inside}.values():
         children = [part for part in node.parts if isinstance(part, Node)]

@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from shelfmark.llm.common import WORD, settle
+from shelfmark.llm.common import free_names, settle, WORD
 
 WEIGHTS = (5, 2, 1)
 SHARE = 1.5
@@ -133,19 +133,19 @@ def mixed_texts(docs: DataFrame, text: str = "text", **options) -> DataFrame:
     """The mix itself: the rows of ``docs`` as often as taken, with ``epoch`` from 1.
 
     A document taken in part has its first words up to the cut. ``epoch`` and ``taken``
-    (words of this repeat) replace columns of those names.
+    (words of this repeat) replace columns of those names, in any case.
     """
-    name = "__row"
-    while name.lower() in {c.lower() for c in docs.columns}:
-        name += "_"
+    name, epochs, cut, size = free_names(docs, "__row", "__epochs", "__part", "__size")
     rows = settle(docs.withColumn(name, F.monotonically_increasing_id()), "mixed")
     plan = mix(rows, text=text, row=name, **options).where("taken > 0")
-    plan = plan.select(F.col("row").alias(name), F.col("epochs").alias("__epochs"), F.col("part").alias("__part"), F.col("size").alias("__size"))
-    repeats = F.col("__epochs") + F.when(F.col("__part") > 0, 1).otherwise(0)
-    joined = rows.join(plan, name).withColumn("epoch", F.explode(F.sequence(F.lit(1).cast("long"), repeats)))
-    partial = F.col("epoch") > F.col("__epochs")
+    plan = plan.select(F.col("row").alias(name), F.col("epochs").alias(epochs), F.col("part").alias(cut), F.col("size").alias(size))
+    replaced = {"epoch", "taken"}
+    kept = [c for c in docs.columns if c.lower() not in replaced]
+    repeats = F.col(epochs) + F.when(F.col(cut) > 0, 1).otherwise(0)
+    joined = rows.drop(*[c for c in docs.columns if c.lower() in replaced]).join(plan, name)
+    joined = joined.withColumn("epoch", F.explode(F.sequence(F.lit(1).cast("long"), repeats)))
+    partial = F.col("epoch") > F.col(epochs)
     words = F.regexp_extract_all(F.col(text), F.lit("[\\x20\\x09-\\x0D]*[^\\x20\\x09-\\x0D]+"), F.lit(0))
-    shown = F.when(partial & (F.col("__part") < F.col("__size")), F.array_join(F.slice(words, F.lit(1), F.col("__part").cast("int")), "")).otherwise(F.col(text))
-    taken = F.when(partial, F.col("__part")).otherwise(F.col("__size"))
-    kept = [F.col(f"`{c}`") for c in docs.columns if c not in (text, "epoch", "taken")]
-    return joined.select(*kept, shown.alias(text), "epoch", taken.alias("taken"))
+    shown = F.when(partial & (F.col(cut) < F.col(size)), F.array_join(F.slice(words, F.lit(1), F.col(cut).cast("int")), "")).otherwise(F.col(text))
+    taken = F.when(partial, F.col(cut)).otherwise(F.col(size))
+    return joined.select(*[F.col(f"`{c}`") for c in kept if c != text], shown.alias(text), "epoch", taken.alias("taken"))

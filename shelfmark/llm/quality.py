@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from shelfmark.llm.common import labelled_sample, ship_package
+from shelfmark.llm.common import free_names, labelled_sample, ship_package
 from shelfmark.llm.linear import fit_logistic
 
 #: Labelled texts the model is fitted on at most.
@@ -216,8 +216,6 @@ def score_expression(model: RuleEnsemble, statistics: str) -> Column:
 def with_quality(docs: DataFrame, model: RuleEnsemble, text: str = "text", score: str = "score") -> DataFrame:
     """``docs`` with the probability that each whole text is of good quality."""
     ship_package(docs.sparkSession)
-    held = "__statistics"
-    while held in docs.columns:
-        held += "_"
+    (held,) = free_names(docs, "__statistics")
     scored = docs.withColumn(held, statistics_of(F.col(text).cast("string")))
     return scored.withColumn(score, score_expression(model, held)).drop(held)

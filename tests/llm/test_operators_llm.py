@@ -12,7 +12,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 from shelfmark.llm import chat, decontaminate, html_main, mixing, quality, simhash, token_counts, topk, toxicity, urls
-from shelfmark.llm.common import fold, table
+from shelfmark.llm.common import fold, labelled_sample, table
 from shelfmark.llm.components import components
 from shelfmark.llm.queries import QUERIES
 from shelfmark.session import scratch_path
@@ -465,3 +465,21 @@ def test_pipeline_stages_on_odd_rows(spark, odd, empty):
         for _, stage in corpus_pipeline.STAGES:
             assert set(frame.columns) <= set(stage(spark, frame, SF).columns)
             stage(spark, frame, SF).count()
+
+
+def test_clashing_names_in_any_case(spark):
+    rows = spark.createDataFrame([(1, "a b c", "s"), (2, "d e", None)], "doc_id long, text string, source string")
+    names = {n: F.lit(n) for n in ("__part", "__EPOCHS", "__Size", "Epoch", "TAKEN", "__ROW")}
+    mixed = mixing.mixed_texts(rows.withColumns(names))
+    assert mixed.columns == ["doc_id", "source", "__part", "__EPOCHS", "__Size", "__ROW", "text", "epoch", "taken"]
+    assert {r["__part"] for r in mixed.collect()} == {"__part"}
+    model = quality.RuleEnsemble((), (), 0.0)
+    scored = quality.with_quality(rows.withColumn("__STATISTICS", F.lit("own")), model)
+    assert [r["__STATISTICS"] for r in scored.collect()] == ["own", "own"]
+
+
+def test_labelled_sample_is_bounded_in_texts(spark):
+    docs = spark.createDataFrame([(1, f"t{i}") for i in range(500)] + [(1, None), (2, None)], "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 1), (2, 0), (3, 1)], "doc_id long, toxic int")
+    got = labelled_sample(docs, labels, "toxic", F.lit(True), 10)
+    assert sorted(tuple(r) for r in got.collect()) == [(1, "t0", 1.0), (2, None, 0.0)]
