@@ -28,6 +28,8 @@ from shelfmark.llm.linear import fit_logistic
 #: Labelled texts the model is fitted on at most.
 MAX_TRAINING = 10_000
 TREES = 40
+#: Rows of each class that a tree is grown on at most, drawn anew for every tree.
+TREE_DRAWS = 2000
 DEPTH = 3
 #: Training texts a leaf holds at least.
 MIN_LEAF = 8
@@ -86,9 +88,9 @@ def text_statistics(text: str | None) -> tuple[float, ...]:
     symbols = sum(times * len(_SYMBOL.findall(word)) for word, times in counts.items() if not word.isalnum())
     pairs = set(zip(words, words[1:]))
     return (
-        float(min(n, 1000)),
+        float(n),
         chars / n,
-        float(min(longest, 200)),
+        float(longest),
         symbols / chars,
         digits / chars,
         upper / max(letters, 1),
@@ -173,7 +175,7 @@ def fit_rules(x: np.ndarray, y: np.ndarray, seed: int = 7) -> RuleEnsemble:
     classes = [np.flatnonzero(y == k) for k in (0.0, 1.0)]
     if all(len(c) for c in classes):
         for _ in range(TREES):
-            size = min(2000, max(len(c) for c in classes))
+            size = min(TREE_DRAWS, max(len(c) for c in classes))
             rows = np.concatenate([draw.choice(c, size=size) for c in classes])
             _grow(x[rows], y[rows], (), 0, draw, grown)
     # rules that tell some training texts from others
