@@ -418,7 +418,9 @@ def _brute_mart(mart_rows, dw):
         ids.append((m["product_name"], versions[-1]["id"] if changed else m["id"]))
     names = {n for n, _ in ids}
     if None not in names:
-        ids += [(d["product_name"], d["id"]) for d in live if d["product_name"] not in names]
+        # the mart holds a key once: of several current versions the newest
+        newest = [d for d in live if not any(same(d, o) and o["id"] > d["id"] for o in live)]
+        ids += [(d["product_name"], d["id"]) for d in newest if d["product_name"] not in names]
     gone = {d["id"] for d in dw if d["isDelete"]}
     return sorted((n, i) for n, i in ids if i not in gone)
 
