@@ -125,10 +125,12 @@ def load_csv(
         filled.groupBy("_file", "_start").agg(F.count("*").alias("_rows"), F.sum("_odd").alias("_odd"), F.min("_seq").alias("_first")),
         "blocks",
     )
-    cut = blocks.groupBy("_file").agg(F.sum("_odd").alias("_odd")).where(F.col("_odd") % 2 == 1).first()
-    if cut is not None:
-        raise BadFile(f"{cut['_file']} ends inside quotes")
-    if blocks.where("_odd > 0").isEmpty():
+    files = blocks.groupBy("_file").agg(F.sum("_odd").alias("_odd"))
+    open_file = F.max(F.when(F.col("_odd") % 2 == 1, F.col("_file")))
+    found = files.agg(open_file.alias("cut"), F.sum("_odd").alias("odd")).first()
+    if found["cut"] is not None:
+        raise BadFile(f"{found['cut']} ends inside quotes")
+    if not found["odd"]:
         records = filled
     else:
         records, blocks = _whole_records(lines, blank, blocks, _unescape(dialect["lines_terminated_by"]))
