@@ -2,14 +2,13 @@
 
 Vectors are sorted into cells around a few pivots, the roots of the data's cover trees,
 and cells into blocks of bounded size; a task sweeps its blocks one after the other. For
-every block it builds a cover tree: the children of a node lie within half its radius,
-and their centres are further apart than that; a node whose points shatter into nearly
-as many children is a leaf. Queries, in chunks of bounded size, travel as a tree of the
-same kind. The pair of a query node and a data node is pruned when the largest possible
-inner product, from centres and covering radii, stays under the worst k-th score of the
-query node's queries; leaf pairs are one matrix product. The k-th scores start from the
-best of a bounded sample of rows and rise along the sweep, so what leaves a task is at
-most k rows per query.
+every block it builds a whole cover tree: the children of a node lie within half its radius,
+and their centres are further apart than that. Queries, in chunks of bounded size, travel
+as a tree of the same kind. The pair of a query node and a data node is pruned when the
+largest possible inner product, from centres and covering radii, stays under the worst
+k-th score of the query node's queries; pairs of leaves are scored by matrix products.
+The k-th scores start from the best of a bounded sample of rows and rise along the sweep,
+so what leaves a task is at most k rows per query.
 
 Defined results: rows with a null id, a null vector or a null or non-finite component
 take no part; vectors of different length are never compared; an id that comes several
@@ -34,49 +33,77 @@ SCALE = 256
 #: Rows of a block, queries of a chunk, rows that give the first k-th scores.
 BLOCK, QUERIES, SEEDS = 4096, 8192, 2048
 PIVOTS = 16
-LEAF = 64
+LEAF = 16
+#: Children of a query node that are compared with those of a data node at a time.
+WIDE = 256
 
 
 class Node:
-    """A ball: centre, covering radius, and children or the rows of a leaf."""
+    """A ball: centre, covering radius, its rows, and its children, whose rows follow each other in ``rows``."""
 
-    __slots__ = ("centre", "norm", "radius", "rows", "children")
+    __slots__ = ("centre", "norm", "radius", "rows", "children", "starts", "sizes", "balls")
 
-    def __init__(self, centre: np.ndarray, radius: float, rows: np.ndarray, children: list[Node]) -> None:
+    def __init__(self, centre: np.ndarray, radius: float, rows: np.ndarray) -> None:
         self.centre, self.norm = centre, float(np.sqrt(centre @ centre))
-        self.radius, self.rows, self.children = radius, rows, children
+        self.radius, self.rows = radius, rows
+        self.children: list[Node] = []
+        self._parts(np.zeros(1, dtype=np.int64), [self])
+
+    def split(self, rows: np.ndarray, starts: np.ndarray, children: list[Node]) -> None:
+        self.rows, self.children = rows, children
+        self._parts(starts, children)
+
+    def _parts(self, starts: np.ndarray, balls: list[Node]) -> None:
+        """What is compared when the node is opened: its children, or itself if it is a leaf."""
+        self.starts, self.sizes = starts, np.diff(starts, append=len(self.rows))
+        self.balls = (
+            np.array([c.centre for c in balls]),
+            np.array([c.norm for c in balls]),
+            np.array([c.radius for c in balls]),
+        )
+
+
+def _spread(local: np.ndarray, far: np.ndarray, first: int, reach: float) -> tuple[np.ndarray, np.ndarray]:
+    """Centres, ``first`` among them, further apart than ``reach``, and each point's nearest one."""
+    squares = np.einsum("ij,ij->i", local, local)
+    nearest, owner, centres = far.copy(), np.zeros(len(local), dtype=np.int64), [first]
+    while nearest[new := int(nearest.argmax())] > reach:
+        gap = np.sqrt(np.maximum(squares + squares[new] - 2.0 * (local @ local[new]), 0.0))
+        closer = gap < nearest
+        closer[new], gap[new] = True, 0.0
+        nearest[closer], owner[closer] = gap[closer], len(centres)
+        centres.append(new)
+    return np.array(centres), owner
 
 
 def cover_tree(points: np.ndarray, rows: np.ndarray, centre: int) -> Node:
-    """Tree over ``points[rows]`` around the point ``centre``, built without recursion."""
+    """Tree over ``points[rows]`` around the point ``centre``, built without recursion.
 
-    def ball(rows: np.ndarray, centre: int) -> tuple[Node, np.ndarray]:
-        far = np.sqrt(((points[rows] - points[centre]) ** 2).sum(axis=1))
-        return Node(points[centre], float(far.max(initial=0.0)), rows, []), far
-
-    root, far = ball(rows, centre)
+    The centre of a node is the centre of one of its children (nesting), centres of
+    siblings are further apart than half the node's radius (separation), and every row
+    lies within that distance of its child's centre (covering). Nodes of up to ``LEAF``
+    rows and of equal rows are leaves; all others are divided, however many children it
+    takes. Each row becomes a new centre once at most, so n rows take n * n distances.
+    """
+    far = np.sqrt(((points[rows] - points[centre]) ** 2).sum(axis=1))
+    root = Node(points[centre], float(far.max(initial=0.0)), rows)
     todo = [(root, centre, far)]
     while todo:
         node, centre, far = todo.pop()
-        reach = node.radius / 2
-        n = len(node.rows)
-        if n <= LEAF or node.radius == 0:
+        if len(node.rows) <= LEAF or node.radius == 0:
             continue
-        # nesting: the node's own centre is a child's centre; separation: the next centre
-        # is a point that no chosen one covers
-        nearest, owner, centres = far.copy(), np.zeros(n, dtype=np.int64), [centre]
-        while nearest.max() > reach and len(centres) <= n // 8:
-            new = int(nearest.argmax())
-            gap = np.sqrt(((points[node.rows] - points[node.rows[new]]) ** 2).sum(axis=1))
-            closer = gap < nearest
-            nearest[closer], owner[closer] = gap[closer], len(centres)
-            centres.append(int(node.rows[new]))
-        if nearest.max() > reach:
-            continue  # shattered: a leaf
-        for number, c in enumerate(centres):
-            child, inner = ball(node.rows[owner == number], c)
-            node.children.append(child)
-            todo.append((child, c, inner))
+        local = points[node.rows]
+        centres, owner = _spread(local, far, int(np.flatnonzero(node.rows == centre)[0]), node.radius / 2)
+        order = np.argsort(owner, kind="stable")
+        starts = np.searchsorted(owner[order], np.arange(len(centres)))
+        # the radii come from plain differences, as those decide what is pruned
+        inner = np.sqrt(((local[order] - local[centres[owner[order]]]) ** 2).sum(axis=1))
+        heads, ordered, children = node.rows[centres], node.rows[order], []
+        for head, low, high in zip(heads, starts, np.append(starts[1:], len(order))):
+            child = Node(points[head], float(inner[low:high].max()), ordered[low:high])
+            children.append(child)
+            todo.append((child, int(head), inner[low:high]))
+        node.split(ordered, starts, children)
     return root
 
 
@@ -91,14 +118,20 @@ def farthest_first(points: np.ndarray, count: int) -> np.ndarray:
 
 
 class Search:
-    """The queries of one length, their tree and the best rows found so far."""
+    """The queries of one length, their tree and the best rows found so far.
+
+    ``scored`` counts the pairs of rows that were scored, ``bounded`` the pairs of nodes
+    whose bound was computed.
+    """
 
-    def __init__(self, ids: np.ndarray, points: np.ndarray, floor: np.ndarray, k: int) -> None:
+    def __init__(self, ids: np.ndarray, points: np.ndarray, floor: np.ndarray, k: int, tree: Node | None = None) -> None:
         self.ids, self.points, self.floor, self.k = ids, points, floor, k
-        self.tree = cover_tree(points, np.arange(len(ids)), 0)
+        self.tree = tree or cover_tree(points, np.arange(len(ids)), 0)
         self.found: dict[int, dict[int, float]] = {}
+        self.scored = self.bounded = 0
 
     def offer(self, rows: np.ndarray, ids: np.ndarray, points: np.ndarray) -> None:
+        self.scored += len(rows) * len(ids)
         scores = self.points[rows] @ points.T
         scores[self.ids[rows][:, None] == ids[None, :]] = -np.inf
         good = (scores >= self.floor[rows][:, None]) & (scores > -np.inf)
@@ -115,20 +148,48 @@ class Search:
 
     def sweep(self, ids: np.ndarray, points: np.ndarray) -> None:
         """Dual-tree traversal of the query tree and the tree of one block."""
-        todo = [(self.tree, cover_tree(points, np.arange(len(ids)), 0))]
+        todo = [(np.inf, self.tree, cover_tree(points, np.arange(len(ids)), 0))]
         while todo:
-            q, d = todo.pop()
-            most = q.centre @ d.centre + q.norm * d.radius + d.norm * q.radius + q.radius * d.radius
-            if most * (1 + 1e-9 * np.sign(most)) + 1e-6 < self.floor[q.rows].min():
+            most, q, d = todo.pop()
+            if most < self.floor[q.rows].min():
                 continue
-            if q.children and (q.radius >= d.radius or not d.children):
-                todo.extend((c, d) for c in q.children)
-            elif d.children:
-                # the most promising child last, so that it is searched first
-                order = sorted(d.children, key=lambda c: q.centre @ c.centre)
-                todo.extend((q, c) for c in order)
-            else:
-                self.offer(q.rows, ids[d.rows], points[d.rows])
+            for low in range(0, len(q.starts), WIDE):
+                todo.extend(self._open(q, low, d, ids, points))
+
+    def _open(self, q: Node, low: int, d: Node, ids: np.ndarray, points: np.ndarray) -> list[tuple[float, Node, Node]]:
+        """Compares the children of ``q`` from number ``low`` on with those of ``d``: pairs of
+        leaves are scored, the others that may hold a result are returned, the best last."""
+        part = slice(low, low + WIDE)
+        near, norms, radii = (x[part] for x in q.balls)
+        other, other_norms, other_radii = d.balls
+        bound = near @ other.T
+        bound += np.outer(norms, other_radii) + np.outer(radii, other_norms + other_radii)
+        bound += np.abs(bound) * 1e-9 + 1e-6  # rounding never prunes
+        self.bounded += bound.size
+        inside, others = (q.children or [q])[part], d.children or [d]
+        leaf = np.array([not c.children for c in inside])
+        other_leaf = np.array([not c.children for c in others])
+        if other_leaf.any():
+            for group in _groups(np.flatnonzero(leaf), q.sizes[part]):
+                rows = np.concatenate([inside[i].rows for i in group])
+                worst = np.minimum.reduceat(self.floor[rows], np.cumsum(q.sizes[part][group]) - q.sizes[part][group])
+                alive = (bound[group] >= worst[:, None]).any(axis=0) & other_leaf
+                if alive.any():
+                    chosen = d.rows[np.repeat(alive, d.sizes)]
+                    self.offer(rows, ids[chosen], points[chosen])
+        if leaf.all() and other_leaf.all():
+            return []
+        worst = np.array([self.floor[c.rows].min() for c in inside])
+        left, right = np.nonzero((bound >= worst[:, None]) & ~np.logical_and.outer(leaf, other_leaf))
+        order = np.argsort(bound[left, right], kind="stable")
+        return [(bound[i, j], inside[i], others[j]) for i, j in zip(left[order], right[order])]
+
+
+def _groups(numbers: np.ndarray, sizes: np.ndarray) -> Iterator[np.ndarray]:
+    """``numbers`` in runs of about ``LEAF`` rows."""
+    if len(numbers):
+        filled = (np.cumsum(sizes[numbers]) - 1) // LEAF
+        yield from np.split(numbers, np.flatnonzero(np.diff(filled)) + 1)
 
 
 def _matrix(vectors) -> np.ndarray:
@@ -153,7 +214,7 @@ def _assign(pivots: dict[int, np.ndarray]):
 
 def _sweep_blocks(shared, k: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        searches = {dim: Search(ids, points, floor.copy(), k) for dim, (ids, points, floor) in shared.value.items()}
+        searches = {dim: Search(ids, points, floor.copy(), k, tree) for dim, (ids, points, floor, tree) in shared.value.items()}
         for group in segments(batches, ["dim", "cell", "block"]):
             for (dim, _, _), block in group.groupby(["dim", "cell", "block"], sort=False):
                 if int(dim) in searches:
@@ -222,7 +283,8 @@ def top_k(
         for d, g in chunk.groupby("dim"):
             ids, points = g["vec_id"].to_numpy(), _matrix(g["vec"]).reshape(len(g), int(d))
             seed_ids, near = seed_points.get(int(d), (np.empty(0, np.int64), np.empty((0, int(d)))))
-            told[int(d)] = ids, points, _floors(ids, points, seed_ids, near, k)
+            tree = cover_tree(points, np.arange(len(ids)), 0)
+            told[int(d)] = ids, points, _floors(ids, points, seed_ids, near, k), tree
         shared = spark.sparkContext.broadcast(told)
         part = settle(blocked.mapInPandas(_sweep_blocks(shared, k), "query_id long, vec_id long, score long"), "found")
         found = part if found is None else found.union(part)
