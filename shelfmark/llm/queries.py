@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from shelfmark.llm import (
@@ -94,25 +94,44 @@ LICENSE_LINE = r"(?m)^Licensed under .*$\n?"
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Totals after two batches: all documents come; then license lines are cut out of
     texts, which revises their counts, and all but the first of exact copies go. The
-    second batch is committed twice, as after a failure."""
+    second batch is committed twice, as after a failure.
+
+    The first copy is the row of the smallest id, null ids last, then by source and
+    language; of equal rows one stays. Copies have equal counts, so they are counted per
+    source and language before they meet: a text that a third of all rows share is as
+    many rows as it has sources and languages. No row is looked up by its id, so null
+    and repeated ids count like others.
+    """
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "lang", "text")
     versions = token_counts.tokenizers(spark)
-    copies = F.sha2(F.coalesce("text", F.lit("")), 256)
-    ledger = settle(
-        token_counts.counted(docs.withColumn("copy", copies).withColumn("licensed", F.col("text").rlike(LICENSE_LINE)), versions), "counts"
+    licensed = F.coalesce(F.col("text").rlike(LICENSE_LINE), F.lit(False))
+    marked = docs.select(
+        "*",
+        F.sha2(F.coalesce("text", F.lit("")), 256).alias("copy"),
+        licensed.alias("licensed"),
+        F.when(licensed, F.regexp_replace("text", LICENSE_LINE, "")).alias("revised"),
     )
-    first = ledger.groupBy("copy").agg(F.min("doc_id").alias("first"))
-    marked = ledger.join(first, "copy").withColumn("gone", F.col("doc_id") > F.col("first"))
-    kept = docs.where(F.col("text").rlike(LICENSE_LINE))
-    revised = token_counts.counted(kept.withColumn("text", F.regexp_replace("text", LICENSE_LINE, "")), versions)
-    stays = marked.where("licensed AND NOT gone").select("doc_id")
-    columns = ["source", "lang", "tokens", "sign"]
-    old = marked.where("gone OR licensed").withColumn("sign", F.lit(-1)).select(columns)
-    new = revised.join(stays, "doc_id", "left_semi").withColumn("sign", F.lit(1)).select(columns)
+    before = token_counts.counted(marked, versions).withColumnRenamed("tokens", "before")
+    ledger = settle(token_counts.counted(before, versions, "revised").withColumnRenamed("tokens", "after"), "counts")
+
+    def as_map(prefix: str) -> Column:
+        return F.create_map(*[x for i, name in enumerate(versions) for x in (F.lit(name), F.col(f"{prefix}{i}"))])
+
+    counts = [F.max(F.col(c)[name]).alias(f"{c}{i}") for c in ("before", "after") for i, name in enumerate(versions)]
+    groups = ledger.groupBy("copy", "source", "lang").agg(
+        F.count("*").alias("rows"), F.min("doc_id").alias("id"), F.max("licensed").alias("licensed"), *counts
+    )
+    place = F.row_number().over(Window.partitionBy("copy").orderBy(F.col("id").asc_nulls_last(), "source", "lang"))
+    placed = groups.withColumn("first", place == 1)
+    changed = F.col("first") & F.col("licensed")
+    # one row stays, unless its text was revised: then it goes as it was and comes as it is
+    out = placed.select("source", "lang", as_map("before").alias("tokens"), (F.when(F.col("first") & ~F.col("licensed"), 1).otherwise(0) - F.col("rows")).alias("sign"))
+    back = placed.where(changed).select("source", "lang", as_map("after").alias("tokens"), F.lit(1).cast("long").alias("sign"))
+    second = settle(out.where("sign <> 0").unionByName(back), "revisions")
     path = scratch_path(spark, "token-rollup")
-    token_counts.commit(ledger.withColumn("sign", F.lit(1)), 0, path)
+    token_counts.commit(ledger.select("source", "lang", F.col("before").alias("tokens"), F.lit(1).alias("sign")), 0, path)
     for _ in range(2):
-        token_counts.commit(old.union(new), 1, path)
+        token_counts.commit(second, 1, path)
     return token_counts.totals(spark, path)
 
 

@@ -1,7 +1,8 @@
 """Token totals by source, language and tokenizer version, maintained from deltas.
 
 A batch is a set of signed rows: +1 for a document that came, -1 for one that went, both
-for one whose text or count was revised. Its deltas are the signed sums of documents and
+for one whose text or count was revised; equal rows may come as one with the sum of their
+signs. Its deltas are the signed sums of documents and
 tokens per group, and they are written as the batch's own partition of the rollup, which
 a repeated commit of the batch replaces as a whole (dynamic partition overwrite). Totals
 are the sum over all batches; a batch may be committed again after any failure, in any
