@@ -21,7 +21,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from shelfmark.llm.common import labelled_sample, pieces, ship_package
@@ -42,6 +42,8 @@ RIDGE = 2e-4
 PIECE = 400_000
 #: Code points of the texts whose n-grams are held at a time, a longer text apart.
 RUN = 2_000_000
+#: Features of training texts that a round of the fit works on at a time.
+BLOCK = 200_000
 
 #: Odd multiplier of the k-th character of an n-gram.
 _MULTIPLIERS = [(0x9E3779B1 * (2 * k + 1)) % (1 << 32) | 1 for k in range(16)]
@@ -136,53 +138,97 @@ def _features(used):
     return run
 
 
+def _scales(others: int, toxic: int):
+    """Packed per batch: the features that tell the classes apart, and their log ratios."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            neg, pos = batch["neg"].to_numpy(dtype=float), batch["pos"].to_numpy(dtype=float)
+            ratio = np.log((pos + 1) / (toxic + 2)) - np.log((neg + 1) / (others + 2))
+            keep = np.abs(ratio) >= MIN_RATIO
+            features = batch["feature"].to_numpy()[keep].astype("<i4").tobytes()
+            yield pd.DataFrame({"features": [features], "scales": [ratio[keep].astype("<f8").tobytes()]})
+
+    return run
+
+
+#: Of some texts that follow one another: the first one's number, how many they are, and for
+#: each feature that one of them has, the text (from 0) and the feature's place among those used.
+Block = tuple[int, int, np.ndarray, np.ndarray]
+
+
+def _blocks(rows: list[Row], place: np.ndarray) -> Iterator[Block]:
+    """The training texts in blocks of about ``BLOCK`` features; empties ``rows``."""
+    start, total = 0, len(rows)
+    rows.reverse()
+    while rows:
+        lists, size = [], 0
+        while rows and size < BLOCK:
+            lists.append(np.frombuffer(rows.pop()["features"], dtype="<i4"))
+            size += len(lists[-1])
+        owner = np.repeat(np.arange(len(lists), dtype=np.int32), [len(x) for x in lists])
+        yield start, len(lists), owner, place[np.concatenate(lists)]
+        start += len(lists)
+    assert start == total
+
+
+def _fit(blocks: list[Block], y: np.ndarray, scale: np.ndarray) -> tuple[np.ndarray, float]:
+    """Weights of the scaled features and the intercept.
+
+    A feature's value is its scale wherever a text has it, so blocks hold places only and
+    what a round computes for each of them is held for one block at a time.
+    """
+
+    def forward(w: np.ndarray) -> np.ndarray:
+        out, scaled = np.empty(len(y)), scale * w
+        for start, count, owner, column in blocks:
+            out[start : start + count] = np.bincount(owner, scaled[column], minlength=count)
+        return out
+
+    def backward(r: np.ndarray) -> np.ndarray:
+        out = np.zeros(len(scale))
+        for start, _, owner, column in blocks:
+            out += np.bincount(column, r[start:][owner], minlength=len(scale))
+        return out * scale
+
+    square = scale * scale
+    largest = max((float(np.bincount(owner, square[column], minlength=1).max()) for _, _, owner, column in blocks), default=0.0)
+    return fit_logistic(forward, backward, y, len(scale), largest + 1.0, l2=RIDGE, rounds=400)
+
+
 def fit_toxicity(docs: DataFrame, labels: DataFrame, training: Column, max_training: int = MAX_TRAINING) -> ToxicityModel:
     """Fit on ``labels.toxic`` of the rows that ``training`` (over labels) selects.
 
-    What reaches the driver is bounded: two counts per feature, and for each of at most
-    ``max_training`` texts the used features that it has.
+    What reaches the driver is bounded: the log ratio of each used feature, and for each of
+    at most ``max_training`` texts the used features that it has, both as packed bytes.
     """
     spark = docs.sparkSession
     ship_package(spark)
     sample = labelled_sample(docs, labels, "toxic", training, max_training).select("text", "y").persist()
     sizes = sample.groupBy("y").count().collect()
     n = {int(r["y"]): r["count"] for r in sizes}
-    counts = (
+    packed = (
         sample.mapInPandas(_count, "feature long, neg long, pos long")
         .groupBy("feature")
         .agg(F.sum("neg").alias("neg"), F.sum("pos").alias("pos"))
         .where(F.col("neg") + F.col("pos") >= MIN_TEXTS)
-        .toPandas()
+        .mapInPandas(_scales(n.get(0, 0), n.get(1, 0)), "features binary, scales binary")
+        .collect()
     )
-    feature = counts["feature"].to_numpy(dtype=np.int64)
-    neg, pos = counts["neg"].to_numpy(dtype=float), counts["pos"].to_numpy(dtype=float)
-    ratio = np.log((pos + 1) / (n.get(1, 0) + 2)) - np.log((neg + 1) / (n.get(0, 0) + 2))
-    keep = np.abs(ratio) >= MIN_RATIO
     scale = np.zeros(FEATURES)
-    scale[feature[keep]] = ratio[keep]
-    del counts, neg, pos
+    for row in packed:
+        scale[np.frombuffer(row["features"], dtype="<i4")] = np.frombuffer(row["scales"], dtype="<f8")
+    del packed
     used = spark.sparkContext.broadcast(scale != 0)
-    rows = sample.mapInPandas(_features(used), "y double, features binary").toPandas()
+    rows = sample.mapInPandas(_features(used), "y double, features binary").collect()
     sample.unpersist()
-    order = np.full(FEATURES, -1, dtype=np.int32)
-    features = np.sort(feature[keep])
-    order[features] = np.arange(len(features))
-    y = rows["y"].to_numpy(dtype=float)
-    lengths = [len(x) // 4 for x in rows["features"]]
-    flat = np.frombuffer(b"".join(rows["features"]), dtype="<i4")
-    del rows
-    owner, column = np.repeat(np.arange(len(y), dtype=np.int32), lengths), order[flat]
-    value = scale[flat].astype(np.float32)
-    bound = float(np.bincount(owner, value * value, minlength=1).max()) + 1.0
-    weights, intercept = fit_logistic(
-        lambda w: np.bincount(owner, value * w[column], minlength=len(y)),
-        lambda r: np.bincount(column, value * r[owner], minlength=len(features)),
-        y,
-        len(features),
-        bound,
-        l2=RIDGE,
-        rounds=400,
-    )
+    used.destroy()
+    features = np.flatnonzero(scale)
+    place = np.full(FEATURES, -1, dtype=np.int32)
+    place[features] = np.arange(len(features))
+    y = np.array([row["y"] for row in rows], dtype=float)
+    blocks = list(_blocks(rows, place))
+    weights, intercept = _fit(blocks, y, scale[features].astype(np.float32))
     table = np.zeros(FEATURES, dtype=np.float64)
     table[features] = weights * scale[features]
     return ToxicityModel(table, intercept if len(y) else 0.0)

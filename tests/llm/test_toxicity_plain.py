@@ -2,6 +2,7 @@
 
 import math
 import random
+import tracemalloc
 from collections import Counter
 
 import numpy as np
@@ -66,3 +67,20 @@ def test_fit_and_scores_against_plain_counts(spark):
         z = model.intercept + sum(model.weights[f] for f in features(text))
         assert got[doc_id] == pytest.approx(1 / (1 + math.exp(-z)))
     assert all((got[i] >= 0.5) == bool(labels[i]) for i in range(60, 80))
+
+
+def test_driver_memory_of_the_fit(spark):
+    """The driver holds packed features, and a round of the fit works on a block of them."""
+    draw = np.random.default_rng(5)
+    words = [["".join(draw.choice(list("abcdefghijklmnop"), 7)) for _ in range(1000)] for _ in range(2)]
+    texts = [" ".join(draw.choice(words[i % 2], 400)) for i in range(120)]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(len(texts))], "doc_id long, toxic int")
+    tracemalloc.start()
+    try:
+        model = toxicity.fit_toxicity(docs, labels, F.lit(True))
+        peak = tracemalloc.get_traced_memory()[1] / 1e6
+    finally:
+        tracemalloc.stop()
+    assert np.count_nonzero(model.weights) > 20_000
+    assert peak < 35
