@@ -214,6 +214,12 @@ def mart_sync_collated(spark: SparkSession, sf: str) -> DataFrame:
     return report(mart.mart_sync(D.mart(dim), settle(loaded), normal=True))
 
 
+def _spread(rows: DataFrame, rows_per_file: int = 50_000) -> DataFrame:
+    """Rows dealt out by their number, into one batch of files at most. A compressed table is
+    read by a task or two, which would write all of the much longer texts of its rows."""
+    return rows.repartition(min(rows.count() // rows_per_file + 1, arrivals.FILES_PER_BATCH))
+
+
 def arrivals_exactly_once(spark: SparkSession, sf: str) -> DataFrame:
     """Files of feed A arrive, the stream is cut off after the load and started again, then
     files of feed B arrive."""
@@ -226,7 +232,7 @@ def arrivals_exactly_once(spark: SparkSession, sf: str) -> DataFrame:
     for feed, after in (("a", cut), ("a", None), ("b", None)):
         fields = ["id", *FEEDS[feed].fields]
         if after or feed == "b":
-            csv_feed.export_csv(D.raw(spark, sf, feed).select(*fields), f"{folder}/{feed}")
+            csv_feed.export_csv(D.raw_feed(_spread(D.table(spark, sf, "part")), feed).select(*fields), f"{folder}/{feed}")
         config = {"staging_fields": ", ".join(fields)}
         options = {"loaded": after} if after else {}
         stream = arrivals.load_into_dimension(

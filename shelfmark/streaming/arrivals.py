@@ -12,6 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 from shelfmark.operators.staging import stage_feed
 from shelfmark.plans.warehouse import Dimension
 from shelfmark.schemas import FeedSpec
+from shelfmark.session import settle
 from shelfmark.sources.csv_feed import load_csv
 
 FILES_PER_BATCH = 1000
@@ -83,7 +84,10 @@ def load_into_dimension(
     def load(rows: DataFrame, files: DataFrame, batch: int) -> None:
         created = F.lit(as_of).cast("timestamp_ntz")
         raw = rows.drop("_path").withColumns({"id": F.col("id").cast("long"), "created_at": created})
-        dimension.load(stage_feed(raw, feed), calendar, as_of, f"{stream} {batch}")
+        name = f"{stream} {batch}"
+        if name not in dimension.state()["loads"]:
+            # settled, as a load looks at its batch several times and each would parse the files
+            dimension.load(settle(stage_feed(raw, feed), "staged"), calendar, as_of, name)
         loaded(batch)
 
     return load_new_files(spark, folder, config, checkpoint, load)
